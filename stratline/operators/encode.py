@@ -22,6 +22,7 @@ def no_cut(df: DataFrame, name: str) -> DataFrame:
 
 
 NUMBERS = ["Data_Value", "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size"]
+SMALL_DICTIONARY = 20_000
 ENCODED = ["stratum_category", "stratum_value", "region", "LocationAbbr"]
 
 
@@ -61,40 +62,59 @@ def collapse_rare(
     )
 
 
-def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Dictionary (column_name, category, code): 0-based position in sorted order.
-
-    One pass gives the distinct categories of all columns.
-    """
+def category_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct known categories of all columns as (column_name, category), in one pass."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("category")) for c in columns]
     )
-    cells = (
+    return (
         df.select(F.explode(pairs).alias("p"))
         .select("p.*")
         .where(F.col("category").isNotNull())
         .distinct()
-        .withColumn("n", F.lit(1))
     )
-    ranked = running_totals(cells, "category", ["n"], by=["column_name"])
+
+
+def category_index(cells: DataFrame) -> DataFrame:
+    """Dictionary (column_name, category, code): 0-based position in sorted order."""
+    ranked = running_totals(cells.withColumn("n", F.lit(1)), "category", ["n"], by=["column_name"])
     return ranked.select("column_name", "category", F.col("n_before").cast("int").alias("code"))
 
 
-def label_encode(df: DataFrame, columns: Sequence[str], cut: Cut = no_cut) -> DataFrame:
+def label_encode(
+    df: DataFrame, columns: Sequence[str], cut: Cut = no_cut, small: int = SMALL_DICTIONARY
+) -> DataFrame:
     """Adds <column>_enc for each present column; NULL stays NULL.
 
-    Whether a dictionary is broadcast is left to Spark, which knows its size by then.
+    A dictionary of up to `small` categories is numbered on the driver and broadcast;
+    fetching one row more than that tells. A larger one is numbered and joined by Spark.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    codes = cut(category_index(df, columns), "codes")
+    cells = category_cells(df, columns)
+    head = cells.limit(small + 1).collect()
+    if len(head) <= small:
+        tables = {}
+        for c in columns:
+            found = sorted(row["category"] for row in head if row["column_name"] == c)
+            kind = df.schema[c].dataType.simpleString()
+            tables[c] = F.broadcast(
+                df.sparkSession.createDataFrame(
+                    list(zip(found, range(len(found)))), f"__category {kind}, `{c}_enc` int"
+                )
+            )
+    else:
+        codes = cut(category_index(cells), "codes")
+        tables = {
+            c: codes.where(F.col("column_name") == c).select(
+                F.col("category").alias("__category"), F.col("code").alias(f"{c}_enc")
+            )
+            for c in columns
+        }
     out = df
-    for c in columns:
-        table = codes.where(F.col("column_name") == c).select(
-            F.col("category").alias("__category"), F.col("code").alias(f"{c}_enc")
-        )
-        out = out.join(table, out[c] == table["__category"], "left").drop("__category")
+    for c, codes in tables.items():
+        out = out.join(codes, out[c] == codes["__category"], "left").drop("__category")
     return out
 
 
