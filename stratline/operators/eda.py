@@ -52,25 +52,25 @@ def describe(df: DataFrame, value: str) -> DataFrame:
     quarter = scalar(
         quantiles(df, value, QUARTILES), *[F.max(q).alias(q) for q in QUARTILES]
     )
-    return df.agg(
+    summary = df.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-    ).select(
-        "count", "mean", "std", "min", *[quarter[q].alias(q) for q in QUARTILES], "max"
-    )
+    ).withColumn("__q", quarter)
+    return summary.select("count", "mean", "std", "min", *[f"__q.{q}" for q in QUARTILES], "max")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are listed."""
     span = scalar(df, F.min(value).alias("lo"), F.max(value).alias("hi"))
-    width = (span["hi"] - span["lo"]) / bins
+    width = (F.col("__s.hi") - F.col("__s.lo")) / bins
     # When all values are equal there is no width, and bin 0 takes them all.
-    index = F.coalesce(F.floor(F.try_divide(F.col(value) - span["lo"], width)), F.lit(0))
+    index = F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("__s.lo"), width)), F.lit(0))
     counted = (
         df.where(F.col(value).isNotNull())
+        .select(value, span.alias("__s"))
         .select(F.least(index, F.lit(bins - 1)).cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -172,9 +172,8 @@ def leaderboard(metrics: DataFrame, columns: Sequence[str], sort_by: str) -> Dat
         .agg(F.max("value"))
     )
     best = scalar(wide, *[F.max(c).alias(c) for c in columns])
-    return wide.select(
-        "model", *columns, *[(F.col(c) == best[c]).alias(f"best_{c}") for c in columns]
-    ).orderBy(F.col(sort_by).desc_nulls_last(), "model")
+    flags = [(F.col(c) == F.col(f"__b.{c}")).alias(f"best_{c}") for c in columns]
+    return wide.withColumn("__b", best).select("model", *columns, *flags).orderBy(F.col(sort_by).desc_nulls_last(), "model")
 
 
 def hotspots(

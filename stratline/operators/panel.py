@@ -48,8 +48,10 @@ def no_value() -> Column:
 def year_scale(df: DataFrame, fit: DataFrame | None = None, year: str = "YearStart") -> DataFrame:
     """(year - first) / max(last - first, 1) over all rows, or over those of `fit`."""
     span = scalar(fit or df, F.min(year).alias("lo"), F.max(year).alias("hi"))
-    scaled = (F.col(year) - span["lo"]) / F.greatest(span["hi"] - span["lo"], F.lit(1))
-    return df.withColumn("year_normalized", scaled)
+    scaled = (F.col(year) - F.col("__span.lo")) / F.greatest(
+        F.col("__span.hi") - F.col("__span.lo"), F.lit(1)
+    )
+    return df.withColumn("__span", span).withColumn("year_normalized", scaled).drop("__span")
 
 
 def ci_width(df: DataFrame) -> DataFrame:
@@ -208,12 +210,13 @@ def impute_medians(
     columns = list(columns) if columns is not None else numeric_columns(df)
     if not columns:
         return df
-    table = scalar(
-        medians(fit or df, columns),
-        *[F.max(F.when(F.col("column_name") == c, F.col("median"))).alias(c) for c in columns],
-    )
+    # One row for each column comes back, as from the fit of any imputer.
+    table = {row["column_name"]: row["median"] for row in medians(fit or df, columns).collect()}
     kinds = dict(df.dtypes)
-    filled = {c: F.coalesce(F.col(f"`{c}`").cast("double"), table[c]) for c in columns}
+    filled = {
+        c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(table.get(c)).cast("double"))
+        for c in columns
+    }
     if kinds.get("YearStart") == "int" and "YearStart" in filled:
         filled["YearStart"] = filled["YearStart"].cast("int")
     return df.withColumns(filled)

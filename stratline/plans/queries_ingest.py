@@ -10,7 +10,7 @@ from stratline.plans import carriers
 from stratline.plans.carriers import EXTRACT_SQL, SETTINGS, table
 from stratline.plans.registry import query
 from stratline.settings import TARGET_CLASS, TARGET_QUESTION
-from stratline.sources import ingest
+from stratline.sources import ingest, sinks
 
 INDICATOR_SQL = f"""{EXTRACT_SQL},
 indicator AS (
@@ -59,7 +59,8 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_panel(spark: SparkSession, sf: str) -> DataFrame:
-    return encode.clean(indicator(spark, sf), SETTINGS)
+    cut = sinks.table_cut(spark)
+    return cut(encode.clean(indicator(spark, sf), SETTINGS, cut), "clean")
 
 
 MESSY_SQL = """

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+import uuid
+from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,6 +35,16 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.parquet(path)
 
 
+def table_cut(spark: SparkSession, folder: str | None = None) -> Callable[[DataFrame, str], DataFrame]:
+    """A function (df, name) that writes df to a table of its own and reads it back.
+
+    Without a folder the tables go to a new one under the cluster's checkpoint folder.
+    They are written stages, so a lost executor costs no recomputation of what came before.
+    """
+    base = folder or f"{checkpoint_dir(spark).rstrip('/')}/stages-{uuid.uuid4().hex}"
+    return lambda df, name: write_table(df, f"{base.rstrip('/')}/{name}.parquet")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header and no index; one file for each partition."""
     df.write.mode("overwrite").csv(path, header=True, escape='"')
