@@ -5,7 +5,6 @@ They are applied to the handful of rows a test ends in, so plain numpy is enough
 
 from __future__ import annotations
 
-from functools import lru_cache
 from math import erfc, exp, inf, lgamma, log, nan, sqrt
 
 import numpy as np
@@ -64,12 +63,12 @@ def correlation_p(rho: float, n: float) -> float:
     return t_two_sided(rho * sqrt((n - 2) / (1.0 - rho * rho)), n - 2)
 
 
-@lru_cache(maxsize=1)
 def _nodes() -> tuple[np.ndarray, np.ndarray]:
     return np.polynomial.legendre.leggauss(200)
 
 
-_Phi = np.vectorize(lambda z: 0.5 * erfc(-z / sqrt(2.0)))
+def _normal_cdf(z: np.ndarray) -> np.ndarray:
+    return np.array([0.5 * erfc(-v / sqrt(2.0)) for v in z.ravel()]).reshape(z.shape)
 
 
 def _range_tail(w: np.ndarray, k: int) -> np.ndarray:
@@ -77,9 +76,9 @@ def _range_tail(w: np.ndarray, k: int) -> np.ndarray:
     x, weight = _nodes()
     z = 8.5 * x
     density = 8.5 * weight * np.exp(-z * z / 2.0) / sqrt(2.0 * np.pi)
-    upper = _Phi(z)
+    upper = _normal_cdf(z)
     # The largest of the k values lies at z, the others in [z - w, z].
-    gap = upper[None, :] ** (k - 1) - (upper[None, :] - _Phi(z[None, :] - w[:, None])) ** (k - 1)
+    gap = upper[None, :] ** (k - 1) - (upper[None, :] - _normal_cdf(z[None, :] - w[:, None])) ** (k - 1)
     return k * (gap * density).sum(axis=1)
 
 
@@ -102,7 +101,6 @@ def studentized_range_tail(q: float, k: int, df: float) -> float:
     return float(min(1.0, max(0.0, (density * _range_tail(q * s, k)).sum())))
 
 
-@lru_cache(maxsize=64)
 def studentized_range_quantile(p: float, k: int, df: float) -> float:
     """Critical value q with P(Q > q) = 1 - p, by bisection."""
     low, high = 0.0, 1.0

@@ -3,11 +3,13 @@ worked out on its few result rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from stratline.functions import distributions as dist
 from stratline.functions.lookups import EDUCATION_RANK, INCOME_RANK, lookup
@@ -16,33 +18,36 @@ from stratline.operators.rows import scalar
 
 ALPHA = 0.05
 
+# Workers get the helper functions themselves, so they need no copy of this package.
+register_pickle_by_value(dist)
+register_pickle_by_value(sys.modules[__name__])
 
-@pandas_udf("double")
+
+@pandas_udf(DoubleType())
 def f_p_value(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([dist.f_tail(*args) for args in zip(f, d1, d2)])
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([dist.t_two_sided(*args) for args in zip(t, df)])
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def rho_p_value(rho: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([dist.correlation_p(*args) for args in zip(rho, n)])
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def range_p_value(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([dist.studentized_range_tail(a, int(b), c) for a, b, c in zip(q, k, df)])
 
 
-@pandas_udf("double")
-def range_critical(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for p, k, df in batches:
-        yield pd.Series(
-            [dist.studentized_range_quantile(a, int(b), c) for a, b, c in zip(p, k, df)]
-        )
+@pandas_udf(DoubleType())
+def range_critical(p: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
+    # All rows of a table share one critical value.
+    known = {args: dist.studentized_range_quantile(*args) for args in set(zip(p, k.astype(int), df))}
+    return pd.Series([known[args] for args in zip(p, k.astype(int), df)])
 
 
 def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
