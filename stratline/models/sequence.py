@@ -33,6 +33,7 @@ def forecast(
     """Models fitted on training windows, and predictions with a split for all windows."""
     windows = panel.sequences(df, feature_names, target, settings.seq_length, unit)
     flat, names = flatten(windows, settings.seq_length, len(feature_names))
+    flat = flat.where(F.col("target").isNotNull())
     flat = flat.withColumn("split", targets.sequence_split_name(F.col("target_year"), settings))
     chosen = regressors or {"ridge": {"alpha": 1.0}}
     train = flat.where(F.col("split") == "train")

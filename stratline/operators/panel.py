@@ -41,6 +41,12 @@ FEATURES = [
 ]
 
 
+def is_unique(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether every key occurs once (one action, reduced before its shuffle)."""
+    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return copies.where(F.col("n") > 1).isEmpty()
+
+
 def no_value() -> Column:
     return F.lit(None).cast("double")
 
@@ -200,26 +206,38 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return quantiles(long, "value", {"median": 0.5}, by=["column_name"])
 
 
-def impute_medians(
-    df: DataFrame, columns: Sequence[str] | None = None, fit: DataFrame | None = None
-) -> DataFrame:
-    """Missing numbers become the median of their column over all rows (or over `fit`).
+def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """{column: exact median}; a column without any value is missing from it.
 
-    Imputed columns are DOUBLE; a column without any value stays NULL.
+    One number per column comes back to the driver, as from the fit of any imputer.
     """
-    columns = list(columns) if columns is not None else numeric_columns(df)
     if not columns:
-        return df
-    # One row for each column comes back, as from the fit of any imputer.
-    table = {row["column_name"]: row["median"] for row in medians(fit or df, columns).collect()}
+        return {}
+    return {row["column_name"]: row["median"] for row in medians(df, columns).collect()}
+
+
+def fill(df: DataFrame, values: dict[str, float]) -> DataFrame:
+    """Missing numbers replaced; the columns become DOUBLE, an INT year stays INT."""
     kinds = dict(df.dtypes)
     filled = {
-        c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(table.get(c)).cast("double"))
-        for c in columns
+        c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(v).cast("double"))
+        for c, v in values.items()
     }
     if kinds.get("YearStart") == "int" and "YearStart" in filled:
         filled["YearStart"] = filled["YearStart"].cast("int")
-    return df.withColumns(filled)
+    return df.withColumns(filled) if filled else df
+
+
+def impute_medians(
+    df: DataFrame, columns: Sequence[str] | None = None, fit: DataFrame | None = None
+) -> DataFrame:
+    """Missing numbers become the median of their column over all rows (or over `fit`).
+
+    A column without any value stays NULL.
+    """
+    columns = list(columns) if columns is not None else numeric_columns(df)
+    known = fit_medians(fit or df, columns)
+    return fill(df, {c: known.get(c) for c in columns})
 
 
 def features(

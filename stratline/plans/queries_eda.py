@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from stratline.functions.lookups import EDUCATION_RANK, INCOME_RANK
+from stratline.models import training
 from stratline.operators import eda, metrics, ordering, stats, targets
 from stratline.plans import carriers
 from stratline.plans.carriers import LABELLED_SQL, SETTINGS, SPARSE_SQL, table
-from stratline.plans.queries_ingest import PREPARED_SQL, prepared
+from stratline.plans.queries_ingest import PREPARED_SQL, prepared, prepared_table
 from stratline.plans.queries_panel import LAGGED_SQL, SPLIT_SQL, lagged
 from stratline.plans.registry import query
 
@@ -32,7 +33,7 @@ WHERE "YearStart" = (SELECT max("YearStart") FROM prepared) GROUP BY 1)
 SELECT "LocationDesc", round(mean, 6) AS mean FROM m WHERE mean IS NOT NULL
 ORDER BY m.mean DESC, "LocationDesc" LIMIT 15""")
 def top_locations_latest_year(spark, sf):
-    latest = eda.latest_year(prepared(spark, sf))
+    latest = eda.latest_year(prepared_table(spark, sf))
     means = eda.group_mean(latest, ["LocationDesc"], "Data_Value")
     return rounded(eda.top_k(means, "mean", 15, tie="LocationDesc"), "mean")
 
@@ -62,7 +63,7 @@ def yearly_band(spark, sf):
 SELECT stratum_category, round(mean, 6) AS mean,
   round((SELECT avg(mean) FROM m), 6) AS mean_of_means FROM m""")
 def stratum_means(spark, sf):
-    out = eda.mean_of_group_means(prepared(spark, sf), "stratum_category", "Data_Value")
+    out = eda.mean_of_group_means(prepared_table(spark, sf), "stratum_category", "Data_Value")
     return rounded(out, "mean", "mean_of_means")
 
 
@@ -152,8 +153,6 @@ SELECT doc_id, quality AS y,
   CAST((SELECT count(*) FROM labels) AS DOUBLE) / (2 * n_class) AS weight
 FROM labels JOIN n ON quality = y""")
 def balanced_class_weights(spark, sf):
-    from stratline.models import training
-
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
     return training.balanced_weights(labels, "y")
 
@@ -320,7 +319,7 @@ def _spearman_sql(category, levels):
 
 
 def _spearman(spark, sf, category, levels):
-    rows = stats.ranked_stratum(prepared(spark, sf), category, levels, "level")
+    rows = stats.ranked_stratum(prepared_table(spark, sf), category, levels, "level")
     return rounded(stats.spearman(rows, "level", "Data_Value"), "rho").select("n", "rho")
 
 
@@ -360,5 +359,5 @@ def statistical_impact(spark, sf):
         )
         return df.select(label.alias("test"), F.explode(pairs).alias("p")).select("test", "p.*")
 
-    tests = stats.impact(prepared(spark, sf))
+    tests = stats.impact(prepared_table(spark, sf))
     return reduce(lambda a, b: a.unionByName(b), [long(n, d) for n, d in tests.items()])

@@ -58,6 +58,11 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
     return encode.prepare(indicator(spark, sf), SETTINGS)
 
 
+def prepared_table(spark: SparkSession, sf: str) -> DataFrame:
+    """prepared(), written once for queries that read it several times."""
+    return sinks.table_cut(spark)(prepared(spark, sf), "prepared")
+
+
 def clean_panel(spark: SparkSession, sf: str) -> DataFrame:
     cut = sinks.table_cut(spark)
     return cut(encode.clean(indicator(spark, sf), SETTINGS, cut), "clean")
