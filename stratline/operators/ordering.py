@@ -188,11 +188,11 @@ def next_in_order(
     inside = Window.partitionBy(*keys).orderBy(*rest)
     heads = pieces.groupBy(*keys).agg(F.min(F.struct(*rest, F.col(value).alias("__v"))).alias("__h"))
     following = Window.partitionBy(*by).orderBy(first, "__slice")
-    heads = heads.select(*keys, F.lead(F.struct("__h.__v")).over(following).alias("__next"))
+    heads = heads.select(*keys, F.lead(F.struct("__h.__v")).over(following).alias("__following"))
     marked = pieces.withColumn("__in", F.lead(F.struct(F.col(value).alias("__v"))).over(inside))
     # A struct keeps "the next row holds NULL" apart from "there is no next row".
     return (
         attach(marked, heads, keys)
-        .withColumn(name, F.coalesce("__in", "__next")["__v"])
-        .drop("__slice", "__in", "__next")
+        .withColumn(name, F.coalesce("__in", "__following")["__v"])
+        .drop("__slice", "__in", "__following")
     )
