@@ -178,7 +178,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
         pairs.join(ranks["x"], "x")
         .join(ranks["y"], "y")
         .agg(
-            F.sum(w).alias("n"),
+            F.coalesce(F.sum(w), F.lit(0)).alias("n"),
             F.sum(w * dx * dy).alias("xy"),
             F.sum(w * dx * dx).alias("xx"),
             F.sum(w * dy * dy).alias("yy"),

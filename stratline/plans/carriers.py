@@ -47,7 +47,7 @@ INDICATORS = [
     (TARGET_CLASS, "Obesity / Weight Status", TARGET_QUESTION, 350000),
     ("Physical Activity", "Physical Activity - Behavior", "Percent of adults who are inactive", 250000),
 ]
-MIN_ORDERS = 10
+MIN_ORDERS = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

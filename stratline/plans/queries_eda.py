@@ -238,13 +238,13 @@ steps AS (SELECT *, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w
   FROM cells WINDOW w AS (PARTITION BY lang ORDER BY score DESC))"""
 
 
-@query(f"WITH {STEPS_SQL} SELECT lang, score AS threshold, fp / q AS fpr, tp / p AS tpr FROM steps")
+@query(f"WITH {STEPS_SQL} SELECT lang, score AS threshold, fp / nullif(q, 0) AS fpr, tp / nullif(p, 0) AS tpr FROM steps")
 def roc_points(spark, sf):
     return metrics.roc_points(carriers.labelled_documents(spark, sf), ["lang"])
 
 
 @query(f"""WITH {STEPS_SQL} SELECT lang,
-  round(sum(neg * (tp - pos + CAST(pos AS DOUBLE) / 2)) / (CAST(max(p) AS DOUBLE) * max(q)), 6)
+  round(sum(neg * (tp - pos + CAST(pos AS DOUBLE) / 2)) / nullif(CAST(max(p) AS DOUBLE) * max(q), 0), 6)
   AS roc_auc FROM steps GROUP BY 1""")
 def roc_auc(spark, sf):
     out = metrics.roc_auc(carriers.labelled_documents(spark, sf), ["lang"])
@@ -315,7 +315,8 @@ def _spearman_sql(category, levels):
       FROM prepared WHERE stratum_category = '{category}') WHERE x IS NOT NULL),
     ranked AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
       rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM rows_)
-    SELECT count(*) AS n, round(corr(rx, ry), 6) AS rho FROM ranked"""
+    SELECT count(*) AS n, CASE WHEN NOT isnan(corr(rx, ry)) THEN round(corr(rx, ry), 6) END AS rho
+    FROM ranked"""
 
 
 def _spearman(spark, sf, category, levels):
