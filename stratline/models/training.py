@@ -16,6 +16,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 from math import sqrt
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -27,6 +28,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
+from pyspark.util import inheritable_thread_target
 
 from stratline.settings import Settings
 from stratline.sources import sinks
@@ -190,26 +192,30 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
         base = balanced_weights(base, LABEL, WEIGHT)
     # Every model passes over these rows many times.
     base = base.persist()
-    fitted = {}
+
+    def fit_one(name: str) -> Fitted:
+        params, data, done = configs[name], base, [vectorise]
+        if "scale_pos_weight" in params:
+            heavy = F.when(F.col(LABEL) == 1, float(params["scale_pos_weight"])).otherwise(1.0)
+            data = data.withColumn("__pos_weight", heavy)
+        for stage in stages[name](params, facts, settings.random_state):
+            if hasattr(stage, "fit"):
+                stage = stage.fit(data)
+            data = stage.transform(data)
+            done.append(stage)
+        fitted = Fitted(name, PipelineModel(done), facts)
+        log.info("fitted %s %s on %d rows", track, name, facts.n_rows)
+        if folder:
+            sinks.save_model(fitted.model, folder, track, name)
+        return fitted
+
     try:
-        for name, params in configs.items():
-            data = base
-            if "scale_pos_weight" in params:
-                heavy = F.when(F.col(LABEL) == 1, float(params["scale_pos_weight"])).otherwise(1.0)
-                data = data.withColumn("__pos_weight", heavy)
-            done = [vectorise]
-            for stage in stages[name](params, facts, settings.random_state):
-                if hasattr(stage, "fit"):
-                    stage = stage.fit(data)
-                data = stage.transform(data)
-                done.append(stage)
-            fitted[name] = Fitted(name, PipelineModel(done), facts)
-            log.info("fitted %s %s on %d rows", track, name, facts.n_rows)
-            if folder:
-                sinks.save_model(fitted[name].model, folder, track, name)
+        # Independent fits share the cached rows; one alone seldom fills a cluster.
+        with ThreadPool(max(1, min(settings.parallel_fits, len(configs)))) as pool:
+            done = pool.map(inheritable_thread_target(train.sparkSession)(fit_one), list(configs))
+        return {fitted.name: fitted for fitted in done}
     finally:
         base.unpersist()
-    return fitted
 
 
 def fit_regressors(

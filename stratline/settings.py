@@ -93,6 +93,8 @@ class Settings:
     run_permutation: bool = True
     permutation_repeats: int = 10
     save_models: bool = True
+    # Models of a track that are fitted at the same time.
+    parallel_fits: int = 4
 
     def override(self, **changes) -> "Settings":
         """A copy with some fields replaced; dict fields are merged, and a model
