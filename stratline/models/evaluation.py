@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratline.models.training import Fitted, fit_classifiers, fit_regressors, score
 from stratline.operators import metrics
-from stratline.operators.ordering import attach, running_totals
+from stratline.operators.encode import Cut, no_cut
+from stratline.operators.ordering import attach, hold_small, running_totals
 from stratline.settings import Settings
 
 
@@ -26,12 +27,23 @@ def classification_metrics(pred: DataFrame, by: Sequence[str] = ("model", "split
 
 
 def evaluate(
-    models: Mapping[str, Fitted], df: DataFrame, label: str, split: Column, track: str
+    models: Mapping[str, Fitted],
+    df: DataFrame,
+    label: str,
+    split: Column,
+    track: str,
+    cut: Cut = no_cut,
 ) -> DataFrame:
-    """Long metrics of all models on the rows whose split is val or test."""
+    """Long metrics of all models on the rows whose split is val or test.
+
+    Ranking scores reads the predictions several times, so a job cuts there.
+    """
     rows = df.withColumn("split", split).where(F.col("split").isin("val", "test"))
     pred = score(rows, models, label, keep=["split"])
-    out = regression_metrics(pred) if track == "regression" else classification_metrics(pred)
+    if track == "regression":
+        out = regression_metrics(pred)
+    else:
+        out = classification_metrics(cut(pred, f"predictions_{track}"))
     return out.select(F.lit(track).alias("track"), "model", "split", "metric", "value")
 
 
@@ -97,7 +109,8 @@ def group_cv(
 ) -> tuple[DataFrame, DataFrame]:
     """Cross-validation in which a group is never split: (fold metrics, mean per model)."""
     rows = df.where(F.col(target).isNotNull())
-    rows = attach(rows, group_folds(rows, group, settings.cv_folds), [group]).persist()
+    folds = hold_small(group_folds(rows, group, settings.cv_folds))
+    rows = attach(rows, folds, [group]).persist()
     fit = fit_regressors if track == "regression" else fit_classifiers
     scored = []
     try:

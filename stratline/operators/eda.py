@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratline.operators.ordering import attach, quantiles, value_cells
+from stratline.operators.ordering import attach, hold_small, quantiles
 from stratline.operators.rows import scalar, text_columns
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -91,17 +91,17 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
 def box_plot(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group: quartiles, whiskers at the outermost values within 1.5 IQR, outlier count."""
     rows = df.where(F.col(group).isNotNull())
-    quarter = quantiles(rows, value, QUARTILES, by=[group])
-    cells = attach(value_cells(rows, value, [group]).withColumnRenamed("n", "__n"), quarter, [group])
+    quarter = quantiles(rows, value, QUARTILES, by=[group]).drop("n")
+    fenced = attach(rows.select(group, value), hold_small(quarter), [group])
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     inside = (F.col(value) >= F.col("q25") - reach) & (F.col(value) <= F.col("q75") + reach)
-    return cells.groupBy(group).agg(
-        F.max("n").alias("n"),
+    return fenced.groupBy(group).agg(
+        F.count(value).alias("n"),
         *[F.max(q).alias(q) for q in QUARTILES],
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("__n"))), F.lit(0)).alias("n_outliers"),
-    )
+        F.count_if(~inside).alias("n_outliers"),
+    ).where(F.col("n") > 0)
 
 
 def box_outliers(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -110,7 +110,7 @@ def box_outliers(df: DataFrame, group: str, value: str) -> DataFrame:
     quarter = quantiles(rows, value, QUARTILES, by=[group]).drop("n")
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     outside = (F.col(value) < F.col("q25") - reach) | (F.col(value) > F.col("q75") + reach)
-    return attach(rows, quarter, [group]).where(outside).drop(*QUARTILES)
+    return attach(rows, hold_small(quarter), [group]).where(outside).drop(*QUARTILES)
 
 
 def any_text_matches(df: DataFrame, pattern: str, columns: Sequence[str] | None = None) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratline.functions import lookups
 from stratline.functions.parsing import strip, to_double, to_year
-from stratline.operators.ordering import attach, running_totals
+from stratline.operators.ordering import SMALL_ROWS, attach, hold_small, running_totals
 from stratline.operators.rows import count_by, distinct_rows
 from stratline.settings import Settings
 
@@ -22,7 +22,6 @@ def no_cut(df: DataFrame, name: str) -> DataFrame:
 
 
 NUMBERS = ["Data_Value", "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size"]
-SMALL_DICTIONARY = 20_000
 ENCODED = ["stratum_category", "stratum_value", "region", "LocationAbbr"]
 
 
@@ -56,7 +55,7 @@ def collapse_rare(
     """Values with fewer than `min_rows` rows become `other`."""
     rare = count_by(df, column).where(F.col("n") < min_rows).select(column, F.lit(True).alias("__r"))
     return (
-        attach(df, rare, [column])
+        attach(df, hold_small(rare), [column])
         .withColumn(column, F.when(F.col("__r"), F.lit(other)).otherwise(F.col(column)))
         .drop("__r")
     )
@@ -77,12 +76,14 @@ def category_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def category_index(cells: DataFrame) -> DataFrame:
     """Dictionary (column_name, category, code): 0-based position in sorted order."""
-    ranked = running_totals(cells.withColumn("n", F.lit(1)), "category", ["n"], by=["column_name"])
+    ranked = running_totals(
+        cells.withColumn("n", F.lit(1)), "category", ["n"], by=["column_name"], few_groups=True
+    )
     return ranked.select("column_name", "category", F.col("n_before").cast("int").alias("code"))
 
 
 def label_encode(
-    df: DataFrame, columns: Sequence[str], cut: Cut = no_cut, small: int = SMALL_DICTIONARY
+    df: DataFrame, columns: Sequence[str], cut: Cut = no_cut, small: int = SMALL_ROWS
 ) -> DataFrame:
     """Adds <column>_enc for each present column; NULL stays NULL.
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratline.operators.ordering import running_totals
+from stratline.operators.ordering import running_totals, split_points
 
 REGRESSION = ["mae", "mse", "rmse", "r2"]
 CLASSIFICATION = ["accuracy", "precision", "recall", "f1"]
@@ -95,12 +95,12 @@ def confusion_matrix(
 
 
 def _score_steps(pred: DataFrame, by: Sequence[str], y: str, score: str) -> DataFrame:
-    cells = (
-        pred.where(F.col(y).isNotNull() & F.col(score).isNotNull())
-        .groupBy(*by, score)
-        .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
+    known = pred.where(F.col(y).isNotNull() & F.col(score).isNotNull())
+    cells = known.groupBy(*by, score).agg(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
-    return running_totals(cells, score, ["pos", "neg"], by, descending=True)
+    points = split_points(known, score)
+    return running_totals(cells, score, ["pos", "neg"], by, descending=True, points=points)
 
 
 def roc_points(

@@ -18,17 +18,34 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Rows one window task may hold before the value axis is cut.
 SLICE_ROWS = 1_000_000
 MAX_SLICES = 4096
+# Rows a table may have to be fetched and broadcast.
+SMALL_ROWS = 20_000
 
 
-def split_points(df: DataFrame, key: str, slice_rows: int | None = None) -> list:
+def hold_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """`df` as a broadcast local table if it has at most `limit` rows, else `df` itself.
+
+    For tables that are expected to be small but have no proven bound, such as one row
+    per group. Fetching one row more than the limit is the check.
+    """
+    limit = SMALL_ROWS if limit is None else limit
+    head = df.limit(limit + 1).collect()
+    if len(head) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+
+
+def split_points(
+    df: DataFrame, key: str, slice_rows: int | None = None, rows: int | None = None
+) -> list:
     """Ascending values of `key` that cut `df` into slices of about `slice_rows` rows.
 
-    Empty when the whole input is small. The sample is bounded (128 keys per slice), so
-    the driver never holds more than that.
+    Empty when the whole input is small; `rows` saves counting it. The sample is bounded
+    (128 keys per slice), so the driver never holds more than that.
     """
     target = slice_rows or SLICE_ROWS
     keys = df.select(key).where(F.col(key).isNotNull())
-    rows = keys.count()
+    rows = keys.count() if rows is None else rows
     if rows <= target:
         return []
     slices = min(ceil(rows / target), MAX_SLICES)
@@ -57,11 +74,6 @@ def slice_of(key: Column, points: Sequence) -> Column:
     )
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equi-join condition in which NULL matches NULL."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Null-safe left join on equally named keys; the right side is unique on them."""
     other = right.select(
@@ -78,11 +90,13 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     points: Sequence | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Running sums along `key` within each `by` group of a table that is unique on them.
 
     For every column t in `totals` this adds t_before (rows strictly ahead), t_upto
-    (this row included) and t_all (the whole group).
+    (this row included) and t_all (the whole group). `few_groups` says that the number of
+    groups does not grow with the data (columns, models), so that slice totals are small.
     """
     by = list(by)
     if points is None:
@@ -111,6 +125,8 @@ def running_totals(
         *[F.coalesce(F.sum(t).over(ahead), F.lit(0)).alias(f"__{t}_ahead") for t in totals],
         *[F.sum(t).over(group).alias(f"{t}_all") for t in totals],
     )
+    if not by or few_groups:
+        offsets = F.broadcast(offsets)
     upto = (
         Window.partitionBy(*by, "__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -134,30 +150,79 @@ def quantiles(
     probs: Mapping[str, float],
     by: Sequence[str] = (),
     points: Sequence | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles per group: columns `by`, n and one per name."""
+    """Exact linearly interpolated quantiles per group: columns `by`, n and one per name.
+
+    A large input is first counted per slice, which moves next to nothing, and only the
+    slices in which a wanted position lies are ordered.
+    """
     by = list(by)
     if points is None:
         points = split_points(df, value)
-    ranked = running_totals(value_cells(df, value, by), value, ["n"], by, points=points)
+
+    def positions(total: Column) -> dict[str, Column]:
+        return {name: F.lit(float(p)) * (total - 1) for name, p in probs.items()}
+
+    def holds(at: Column) -> Column:
+        lies = [(F.col("n_before") <= i) & (i < F.col("n_upto")) for i in (F.floor(at), F.ceil(at))]
+        return lies[0] | lies[1]
+
+    known = df.where(F.col(value).isNotNull())
+    ranked = _wanted_slices(known, value, by, points, positions, holds) if points else None
+    if ranked is None:
+        cells = value_cells(df, value, by)
+        ranked = running_totals(cells, value, ["n"], by, points=points, few_groups=few_groups)
+
     picks = [F.max("n_all").alias("n")]
-    for name, p in probs.items():
-        position = F.lit(float(p)) * (F.col("n_all") - 1)
-        for side, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+    for name, at in positions(F.col("n_all")).items():
+        for side, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             hit = (F.col("n_before") <= index) & (index < F.col("n_upto"))
             picks.append(F.max(F.when(hit, F.col(value))).alias(f"__{name}_{side}"))
     found = ranked.groupBy(*by).agg(*picks)
     out = [F.col(b) for b in by] + [F.col("n")]
-    for name, p in probs.items():
-        position = F.lit(float(p)) * (F.col("n") - 1)
+    for name, at in positions(F.col("n")).items():
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        out.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
+        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
     return found.select(*out)
 
 
-def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def _wanted_slices(known, value, by, points, positions, holds) -> DataFrame | None:
+    """Ranked cells of the slices that hold a wanted position; None if those are many."""
+    sliced = known.withColumn("__slice", slice_of(F.col(value), points))
+    counts = sliced.groupBy(*by, "__slice").agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    upto = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)
+    spans = counts.select(
+        *by,
+        "__slice",
+        (F.sum("n").over(upto) - F.col("n")).alias("n_before"),
+        F.sum("n").over(upto).alias("n_upto"),
+        F.sum("n").over(group).alias("n_all"),
+    )
+    needed = reduce(lambda a, b: a | b, [holds(at) for at in positions(F.col("n_all")).values()])
+    wanted = spans.where(needed).select(*by, "__slice", F.col("n_before").alias("__ahead"), "n_all")
+    held = hold_small(wanted)
+    if held is wanted:
+        return None
+    cells = (
+        attach(sliced, held, [*by, "__slice"])
+        .where(F.col("__ahead").isNotNull())
+        .groupBy(*by, "__slice", "__ahead", "n_all", value)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    inside = Window.partitionBy(*by, "__slice").orderBy(value)
+    running = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return cells.withColumn("n_upto", F.col("__ahead") + running).withColumn(
+        "n_before", F.col("n_upto") - F.col("n")
+    )
+
+
+def average_ranks(
+    df: DataFrame, value: str, by: Sequence[str] = (), rows: int | None = None
+) -> DataFrame:
     """Distinct values with their count n and the mean rank of their ties."""
-    points = split_points(df, value)
+    points = split_points(df, value, rows=rows)
     ranked = running_totals(value_cells(df, value, by), value, ["n"], by, points=points)
     return ranked.select(
         *by, value, "n", (F.col("n_before") + (F.col("n") + 1) / 2).alias("avg_rank")

@@ -203,7 +203,7 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ]
     )
     long = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull())
-    return quantiles(long, "value", {"median": 0.5}, by=["column_name"])
+    return quantiles(long, "value", {"median": 0.5}, by=["column_name"], few_groups=True)
 
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:

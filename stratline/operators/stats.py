@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType
 
 from stratline.functions import distributions as dist
 from stratline.functions.lookups import EDUCATION_RANK, INCOME_RANK, lookup
-from stratline.operators.ordering import average_ranks
+from stratline.operators.ordering import SMALL_ROWS, average_ranks
 from stratline.operators.rows import scalar
 
 ALPHA = 0.05
@@ -162,20 +162,26 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     Rows are reduced to distinct (x, y) pairs with counts, ranks are computed on distinct
     values, and the correlation is a weighted sum around the known mean rank (n + 1) / 2.
     """
-    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    pairs = both.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(
-        F.count(F.lit(1)).alias("w")
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        F.col(x).alias("x"), F.col(y).alias("y")
     )
-    ranks = {
-        axis: average_ranks(both.select(F.col(name).alias(axis)), axis).select(
-            axis, (F.col("avg_rank")).alias(f"r_{axis}")
-        )
-        for axis, name in (("x", x), ("y", y))
-    }
-    middle = scalar(both, ((F.count(F.lit(1)) + 1) / 2).alias("m"))["m"]
+    # One pass tells the number of rows and which rank table is small enough to broadcast.
+    facts = both.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct("x").alias("x"),
+        F.approx_count_distinct("y").alias("y"),
+    ).first()
+    ranks = {}
+    for axis in ("x", "y"):
+        table = average_ranks(both, axis, rows=facts["n"])
+        table = table.select(axis, F.col("avg_rank").alias(f"r_{axis}"))
+        ranks[axis] = F.broadcast(table) if facts[axis] <= SMALL_ROWS else table
+    middle = F.lit((facts["n"] + 1) / 2)
     dx, dy, w = F.col("r_x") - middle, F.col("r_y") - middle, F.col("w")
     sums = (
-        pairs.join(ranks["x"], "x")
+        both.groupBy("x", "y")
+        .agg(F.count(F.lit(1)).alias("w"))
+        .join(ranks["x"], "x")
         .join(ranks["y"], "y")
         .agg(
             F.coalesce(F.sum(w), F.lit(0)).alias("n"),

@@ -83,7 +83,7 @@ def model_table(clean: DataFrame, settings: Settings, cut: Cut) -> ModelTable:
     )
 
 
-def _track(name, model, settings, folder, cv, result):
+def _track(name, model, settings, folder, cv, result, cut):
     label = "Data_Value" if name == "regression" else model.target
     if label not in model.table.columns:
         log.error("target %s was not built, %s skipped", label, name)
@@ -94,7 +94,7 @@ def _track(name, model, settings, folder, cv, result):
     fitted = fit(train, model.feature_names, label, settings, saved)
     result.fitted[name] = fitted
     split = targets.split_name(F.col("YearStart"), settings)
-    measured = evaluation.evaluate(fitted, model.table, label, split, name)
+    measured = evaluation.evaluate(fitted, model.table, label, split, name, cut)
     keys = [k for k in KEYS if k in model.table.columns]
     important = explain.importances(fitted, val, label, keys, name, settings)
     if cv:
@@ -138,7 +138,7 @@ def run(
     measured, important = [], []
     for name in ("regression", "classification"):
         if track in (name, "both"):
-            m, i = _track(name, model, settings, folder, cv, result)
+            m, i = _track(name, model, settings, folder, cv, result, cut)
             measured += [m] if m is not None else []
             important += [i] if i is not None else []
     if measured:
