@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from stratline.models.evaluation import regression_metrics
 from stratline.models.training import Fitted, fit_regressors, score
 from stratline.operators import panel, targets
+from stratline.operators.encode import Cut, no_cut
 from stratline.settings import Settings
 
 
@@ -29,12 +30,14 @@ def forecast(
     settings: Settings = Settings(),
     unit: Sequence[str] = ("LocationDesc", "stratum_category", "stratum_value"),
     regressors: dict | None = None,
+    cut: Cut = no_cut,
 ) -> tuple[dict[str, Fitted], DataFrame]:
     """Models fitted on training windows, and predictions with a split for all windows."""
     windows = panel.sequences(df, feature_names, target, settings.seq_length, unit)
     flat, names = flatten(windows, settings.seq_length, len(feature_names))
     flat = flat.where(F.col("target").isNotNull())
     flat = flat.withColumn("split", targets.sequence_split_name(F.col("target_year"), settings))
+    flat = cut(flat, "windows")
     chosen = regressors or {"ridge": {"alpha": 1.0}}
     train = flat.where(F.col("split") == "train")
     models = fit_regressors(train, names, "target", Settings(regressors=chosen))

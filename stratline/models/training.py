@@ -93,7 +93,7 @@ def _linear(params, facts, seed, alpha=0.0, l1=False):
             # The closed form takes one pass; an L1 penalty has none.
             solver="auto" if l1 else "normal",
             maxIter=5000 if l1 else 100,
-            tol=1e-10,
+            tol=1e-9,
         )
     ]
 
@@ -147,7 +147,7 @@ def _logistic(params, facts, seed):
             standardization=False,
             regParam=(n - 1) / (params.get("C", 1.0) * n * n),
             maxIter=params.get("max_iter", 1000),
-            tol=1e-8,
+            tol=1e-7,
         ),
     ]
 
@@ -184,14 +184,17 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
         raise ValueError(f"unknown {track} models: {unknown}")
     if train.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         sinks.checkpoint_dir(train.sparkSession)  # long boosting runs cut their lineage there
+    # Every model passes over these columns many times; vectors are put together on the way.
     rows = train.where(F.col(label).isNotNull())
-    facts = training_facts(rows, features, label)
+    rows = rows.select(
+        *[F.col(f"`{c}`").cast("double").alias(c) for c in features],
+        F.col(label).cast("double").alias(LABEL),
+    ).persist()
+    facts = training_facts(rows, features, LABEL)
     vectorise = assembler(features)
-    base = vectorise.transform(rows).select(VECTOR, F.col(label).cast("double").alias(LABEL))
+    base = vectorise.transform(rows)
     if track == "classification":
         base = balanced_weights(base, LABEL, WEIGHT)
-    # Every model passes over these rows many times.
-    base = base.persist()
 
     def fit_one(name: str) -> Fitted:
         params, data, done = configs[name], base, [vectorise]
@@ -215,7 +218,7 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
             done = pool.map(inheritable_thread_target(train.sparkSession)(fit_one), list(configs))
         return {fitted.name: fitted for fitted in done}
     finally:
-        base.unpersist()
+        rows.unpersist()
 
 
 def fit_regressors(

@@ -243,11 +243,14 @@ def impute_medians(
 def features(
     df: DataFrame,
     settings: Settings = Settings(),
-    unique: bool = False,
+    unique: bool | None = None,
     impute: bool = True,
     cut: Cut = no_cut,
 ) -> DataFrame:
-    """The feature table of a cleaned panel."""
+    """The feature table of a cleaned panel; checks whether units are unique if not told."""
+    if unique is None:
+        unit = [k for k in settings.unit_key if k in df.columns]
+        unique = bool(unit) and is_unique(df, [*unit, "YearStart"])
     train = F.col("YearStart") <= settings.train_max_year
     on_train = settings.fit_on == "train"
     out = year_scale(df, df.where(train) if on_train else None)

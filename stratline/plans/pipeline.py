@@ -145,7 +145,9 @@ def run(
         result.metrics = cut(reduce(DataFrame.unionByName, measured), "metrics")
         result.importances = cut(reduce(DataFrame.unionByName, important), "importances")
     if settings.run_sequences and track in ("regression", "both"):
-        _, pred = sequence.forecast(model.table, model.feature_names, "Data_Value", settings)
+        _, pred = sequence.forecast(
+            model.table, model.feature_names, "Data_Value", settings, cut=cut
+        )
         result.sequence_metrics = cut(sequence.evaluate(pred), "sequence_metrics")
     if folder and result.metrics is not None:
         sinks.write_metrics(result.metrics, f"{folder}/metrics")

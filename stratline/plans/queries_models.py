@@ -185,6 +185,7 @@ def sequence_forecast(spark, sf):
     _, pred = sequence.forecast(
         rows, ["Data_Value", "n"], settings=SETTINGS, unit=["unit"],
         regressors={"ridge": {"alpha": 1.0}, "gradient_boosting": {"n_estimators": 5}},
+        cut=sinks.table_cut(spark),
     )
     return sequence.evaluate(pred)
 

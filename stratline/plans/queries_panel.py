@@ -10,6 +10,7 @@ from stratline.plans import carriers
 from stratline.plans.carriers import EXTRACT_SQL, SETTINGS, SPARSE_SQL, table
 from stratline.plans.queries_ingest import CLEAN_SQL, PREPARED_SQL, clean_panel, prepared
 from stratline.plans.registry import query
+from stratline.sources import sinks
 
 TRAIN_MAX, VAL_MIN, VAL_MAX, TEST_MIN = (
     SETTINGS.train_max_year, SETTINGS.val_min_year, SETTINGS.val_max_year, SETTINGS.test_min_year,
@@ -45,17 +46,28 @@ SPLIT_SQL = f"""CASE WHEN "YearStart" <= {TRAIN_MAX} THEN 'train'
   WHEN "YearStart" >= {TEST_MIN} THEN 'test' END"""
 
 
-def lagged(spark, sf):
-    base = carriers.sparse(spark, sf)
+def lagged_from(base):
     return panel.lag_summary(panel.calendar_lags(base, ["unit"], unique=True))
 
 
-def warned(spark, sf):
-    base = lagged(spark, sf)
-    source = carriers.sparse(spark, sf)
+def lagged(spark, sf):
+    return lagged_from(carriers.sparse(spark, sf))
+
+
+def warned_from(base):
     train = F.col("YearStart") <= TRAIN_MAX
-    limit = rows.scalar(targets.threshold(source, 75, train), F.max("high_risk_threshold").alias("t"))
-    return targets.early_warning(targets.flag_high_risk(base, limit["t"]), ["unit"], unique=True)
+    limit = rows.scalar(targets.threshold(base, 75, train), F.max("high_risk_threshold").alias("t"))
+    flagged = targets.flag_high_risk(lagged_from(base), limit["t"])
+    return targets.early_warning(flagged, ["unit"], unique=True)
+
+
+def sparse_table(spark, sf):
+    """The sparse panel, written once: threshold, scale and windows all read it."""
+    return sinks.table_cut(spark)(carriers.sparse(spark, sf), "sparse")
+
+
+def warned(spark, sf):
+    return warned_from(sparse_table(spark, sf))
 
 
 @query(f"""WITH {LABELLED_PANEL_SQL}
@@ -65,8 +77,8 @@ SELECT unit, "YearStart", "Data_Value", {SCALED_SQL.format(t='sparse')},
 FROM warned""")
 def panel_model_table(spark, sf):
     """Flagship: lags, trend, precision, train-only risk label, early warning and split."""
-    base = carriers.sparse(spark, sf)
-    out = panel.ci_width(panel.year_scale(warned(spark, sf), fit=base))
+    base = sparse_table(spark, sf)
+    out = panel.ci_width(panel.year_scale(warned_from(base), fit=base))
     return out.withColumn("split", targets.split_name(F.col("YearStart"), SETTINGS)).select(
         "unit", "YearStart", "Data_Value", "year_normalized", "ci_width", "lag_1", "lag_2",
         "rolling_mean_3", "trend_1yr", "high_risk_obesity", "early_warning", "split",
@@ -188,7 +200,7 @@ def feature_matrix(spark, sf):
 @query(f"""WITH {FEATURES_SQL} SELECT "YearStart", "LocationAbbr", stratum_category, stratum_value,
   {', '.join(_filled(c) for c in FEATURE_NUMBERS)} FROM featured""")
 def imputed_features(spark, sf):
-    return panel.features(clean_panel(spark, sf), SETTINGS)
+    return panel.features(clean_panel(spark, sf), SETTINGS, cut=sinks.table_cut(spark))
 
 
 @query(f"""WITH {FEATURES_SQL},
@@ -219,14 +231,14 @@ _MEDIANS = " UNION ALL ".join(
 @query(f"WITH {SPARSE_SQL} SELECT column_name, n, round(median, 6) AS median FROM ({_MEDIANS})")
 def column_medians(spark, sf):
     names = ["Data_Value", "Low_Confidence_Limit", "High_Confidence_Limit", "n"]
-    out = panel.medians(carriers.sparse(spark, sf), names)
+    out = panel.medians(sparse_table(spark, sf), names)
     return out.withColumn("median", F.round("median", 6))
 
 
 @query(f"""WITH {SPARSE_SQL} SELECT round(quantile_cont("Data_Value", 0.75), 6) AS high_risk_threshold
 FROM sparse WHERE "YearStart" <= {TRAIN_MAX}""")
 def risk_threshold(spark, sf):
-    out = targets.threshold(carriers.sparse(spark, sf), 75, F.col("YearStart") <= TRAIN_MAX)
+    out = targets.threshold(sparse_table(spark, sf), 75, F.col("YearStart") <= TRAIN_MAX)
     return out.select(F.round("high_risk_threshold", 6).alias("high_risk_threshold"))
 
 

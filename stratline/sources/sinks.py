@@ -32,7 +32,8 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known, so no job has to look for it in the files.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_cut(spark: SparkSession, folder: str | None = None) -> Callable[[DataFrame, str], DataFrame]:
