@@ -37,10 +37,6 @@ log = logging.getLogger(__name__)
 
 VECTOR, SCALED, LABEL, WEIGHT = "__features", "__scaled", "__label", "__weight"
 
-# Memory for the split statistics of one pass over the data. With the default of 256 MB
-# a deep forest needs more driver memory than small drivers have.
-TREE_MEMORY_MB = 64
-
 
 @dataclass(frozen=True)
 class Facts:
@@ -103,7 +99,7 @@ def _tree_params(params, seed):
         featuresCol=VECTOR,
         labelCol=LABEL,
         seed=seed,
-        maxMemoryInMB=TREE_MEMORY_MB,
+        maxMemoryInMB=params.get("memory_mb", 256),
         maxBins=params.get("max_bins", 32),
     )
 

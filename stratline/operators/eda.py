@@ -98,8 +98,9 @@ def box_plot(df: DataFrame, group: str, value: str) -> DataFrame:
     return fenced.groupBy(group).agg(
         F.count(value).alias("n"),
         *[F.max(q).alias(q) for q in QUARTILES],
-        F.min(F.when(inside, F.col(value))).alias("whisker_low"),
-        F.max(F.when(inside, F.col(value))).alias("whisker_high"),
+        # A whisker never ends inside the box.
+        F.least(F.min(F.when(inside, F.col(value))), F.max("q25")).alias("whisker_low"),
+        F.greatest(F.max(F.when(inside, F.col(value))), F.max("q75")).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),
     ).where(F.col("n") > 0)
 

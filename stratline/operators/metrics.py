@@ -17,7 +17,8 @@ def regression(
 ) -> DataFrame:
     """n, mae, mse, rmse and r2 per group, over rows with a known y.
 
-    The total sum of squares is taken around the group's own mean.
+    The total sum of squares is taken around the group's own mean. When y is constant, r2
+    is 1 for exact predictions and 0 otherwise; of a single row it is NULL.
     """
     error = F.col(y) - F.col(prediction)
     sums = (
@@ -30,10 +31,14 @@ def regression(
             F.var_pop(y).alias("__var"),
         )
     )
+    r2 = (
+        F.when(F.col("n") < 2, None)
+        .when(F.col("__var") > 0, 1 - F.try_divide("mse", "__var"))
+        .otherwise((F.col("mse") == 0).cast("double"))
+    )
     return sums.select(
-        *by, "n", "mae", "mse", F.sqrt("mse").alias("rmse"),
-        (1 - F.try_divide("mse", "__var")).alias("r2"),
-    )
+        *by, "n", "mae", "mse", F.sqrt("mse").alias("rmse"), r2.cast("double").alias("r2")
+    )
 
 
 def _counts(y, p):

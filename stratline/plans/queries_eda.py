@@ -115,7 +115,8 @@ fenced AS (SELECT e.event_id, e.event_type, value, q.* EXCLUDE (event_type),
 
 @query(f"""WITH {BOX_SQL} SELECT event_type, max(n) AS n, round(max(q25), 6) AS q25,
   round(max(q50), 6) AS q50, round(max(q75), 6) AS q75,
-  min(value) FILTER (WHERE inside) AS whisker_low, max(value) FILTER (WHERE inside) AS whisker_high,
+  least(min(value) FILTER (WHERE inside), max(q25)) AS whisker_low,
+  greatest(max(value) FILTER (WHERE inside), max(q75)) AS whisker_high,
   count(*) FILTER (WHERE NOT inside) AS n_outliers FROM fenced GROUP BY 1""")
 def box_plot(spark, sf):
     out = eda.box_plot(table(spark, sf, "events"), "event_type", "value")
@@ -180,7 +181,7 @@ def last_value_forecast(spark, sf):
 @query(f"""WITH {LAST_VALUE_SQL}, s AS (SELECT split, count(*) AS n, avg(abs(y - prediction)) AS mae,
   avg((y - prediction) * (y - prediction)) AS mse, var_pop(y) AS v FROM guess GROUP BY 1)
 SELECT split, n, round(mae, 4) AS mae, round(mse / 1e6, 4) AS mse, round(sqrt(mse), 4) AS rmse,
-  round(1 - mse / v, 6) AS r2 FROM s""")
+  CASE WHEN n > 1 THEN round(1 - mse / nullif(v, 0), 6) END AS r2 FROM s""")
 def regression_metrics(spark, sf):
     out = metrics.regression(last_value_forecast(spark, sf), ["split"])
     return out.select(

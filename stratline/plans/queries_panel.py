@@ -371,3 +371,16 @@ def labelled_rows_only(spark, sf):
 WHERE "YearStart" = (SELECT max("YearStart") FROM extract)""")
 def latest_year_rows(spark, sf):
     return eda.latest_year(encode.coerce_numbers(carriers.extract(spark, sf)))
+
+
+@query(f"""WITH {SPARSE_SQL} SELECT "YearStart", count(*) AS n, min("Data_Value") AS low,
+  max("Data_Value") AS high FROM sparse GROUP BY 1""")
+def written_table_rescan(spark, sf):
+    """A stage table written partitioned by year and read back with its types."""
+    folder = sinks.table_folder(spark)
+    back = sinks.write_table(carriers.sparse(spark, sf), f"{folder}/sparse.parquet", "YearStart")
+    return back.groupBy("YearStart").agg(
+        F.count("*").alias("n"),
+        F.min("Data_Value").alias("low"),
+        F.max("Data_Value").alias("high"),
+    )

@@ -15,13 +15,17 @@ METRICS_SCHEMA = "track string, model string, split string, metric string, value
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set."""
+    """The shared folder the cluster names in spark.checkpoint.dir.
+
+    Only a local session may do without: it gets a folder of its own.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not path:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         path = os.path.join(tempfile.gettempdir(), "stratline-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", path)
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
+    if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(path)
     return path
 
@@ -36,13 +40,17 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_folder(spark: SparkSession) -> str:
+    """A new folder for stage tables below the cluster's checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/stages-{uuid.uuid4().hex}"
+
+
 def table_cut(spark: SparkSession, folder: str | None = None) -> Callable[[DataFrame, str], DataFrame]:
     """A function (df, name) that writes df to a table of its own and reads it back.
 
-    Without a folder the tables go to a new one under the cluster's checkpoint folder.
     They are written stages, so a lost executor costs no recomputation of what came before.
     """
-    base = folder or f"{checkpoint_dir(spark).rstrip('/')}/stages-{uuid.uuid4().hex}"
+    base = folder or table_folder(spark)
     return lambda df, name: write_table(df, f"{base.rstrip('/')}/{name}.parquet")
 
 

@@ -179,7 +179,10 @@ def test_regression_metrics(spark):
     assert got["rmse"] == pytest.approx(math.sqrt((error**2).mean()))
     assert got["r2"] == pytest.approx(1 - (error**2).sum() / ((pdf.y - pdf.y.mean()) ** 2).sum())
     constant = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y double, prediction double")
-    assert metrics.regression(constant).first()["r2"] is None
+    assert metrics.regression(constant).first()["r2"] == 0.0
+    assert metrics.regression(constant.where("prediction = 1")).first()["r2"] is None
+    exact = constant.selectExpr("y", "y as prediction")
+    assert metrics.regression(exact).first()["r2"] == 1.0
 
 
 # --- exploration ---------------------------------------------------------------------------

@@ -101,9 +101,34 @@ def test_sinks_round_trip(spark, tmp_path):
     assert sinks.metrics_dict(sinks.read_metrics(spark, str(tmp_path / "m"))) == {"ridge": {"val_r2": 0.5}}
 
 
+class Conf(dict):
+    get = dict.get
+
+
+class Session:
+    """A session as far as checkpoint_dir looks at it."""
+
+    def __init__(self, spark, master, **conf):
+        self.conf = Conf(conf)
+        self.sparkContext = type(
+            "Context", (), {"master": master, "_jsc": spark.sparkContext._jsc, "setCheckpointDir": print}
+        )
+
+
 def test_the_cluster_checkpoint_folder_is_respected(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    assert sinks.checkpoint_dir(spark) == (before or spark.conf.get("spark.checkpoint.dir"))
+    named = Session(spark, "yarn", **{"spark.checkpoint.dir": "hdfs://shared/x"})
+    sinks.checkpoint_dir(spark)
+    assert sinks.checkpoint_dir(named) == "hdfs://shared/x"
+    assert sinks.checkpoint_dir(Session(spark, "local[2]")).endswith("stratline-checkpoints")
+    with pytest.raises(RuntimeError):
+        sinks.checkpoint_dir(Session(spark, "yarn"))
+
+
+def test_value_columns():
+    class Frame:
+        columns = ["Data_Value", "value", "x", "DATAVALUE"]
+
+    assert rows.value_columns(Frame) == ["Data_Value", "value", "DATAVALUE"]
 
 
 def test_duplicates_and_keep_first(spark):
