@@ -140,7 +140,7 @@ def low_cardinality(
         .where(F.col("value").isNotNull())
         .distinct()
     )
-    few = (
+    few = hold_small(
         cells.groupBy("column_name")
         .agg(F.count(F.lit(1)).alias("n_distinct"))
         .where((F.col("n_distinct") > 1) & (F.col("n_distinct") < limit))

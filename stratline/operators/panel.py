@@ -83,8 +83,9 @@ def calendar_lags(
     """lag_L: value of the same unit exactly L years earlier, NULL when not observed.
 
     A unit key part that is NULL counts as a value of its own. All lags share one shuffle
-    on the unit. Where a (unit, year) has several rows the lag is its first row in the
-    order `tie`, `value`; rows are neither added nor lost. Rows without a year get no lag.
+    on the unit. Where a (unit, year) has several rows the lag is taken from the first in
+    the order `tie`, `value` (without `tie`, the smallest value); rows are neither added nor
+    lost. Rows without a year get no lag.
     """
     unit = list(unit)
     known = F.col(year).isNotNull()
@@ -94,11 +95,9 @@ def calendar_lags(
             {f"lag_{n}": F.when(known, F.max(value).over(years.rangeBetween(-n, -n))) for n in lags}
         )
     order = [c for c in tie if c != value]
-    cells = (
-        df.where(known)
-        .groupBy(*unit, year)
-        .agg(F.min(F.struct(*order, F.col(value).alias("__v")))["__v"].alias("__v"))
-    )
+    # A plain minimum is a hash aggregate, a minimum of structs is a sorting one.
+    first = F.min(F.struct(*order, F.col(value).alias("__v")))["__v"] if order else F.min(value)
+    cells = df.where(known).groupBy(*unit, year).agg(first.alias("__v"))
     years = Window.partitionBy(*unit).orderBy(year)
     cells = cells.select(
         *unit, year, *[F.max("__v").over(years.rangeBetween(-n, -n)).alias(f"lag_{n}") for n in lags]

@@ -198,14 +198,19 @@ def duplicate_rows(spark, sf):
 
 
 @query("""SELECT * EXCLUDE (rn) FROM (
-  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, o_orderdate, o_orderkey, o_totalprice,
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y,
+    strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey, o_totalprice,
     row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderdate, o_orderkey) AS rn
   FROM orders) WHERE rn = 1""")
 def keep_first_per_key(spark, sf):
     orders = table(spark, sf, "orders").select(
-        "o_custkey", F.year("o_orderdate").alias("y"), "o_orderdate", "o_orderkey", "o_totalprice"
+        "o_custkey",
+        F.year("o_orderdate").alias("y"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        "o_orderkey",
+        "o_totalprice",
     )
-    return rows.keep_first(orders, ["o_custkey", "y"], order=["o_orderdate", "o_orderkey"])
+    return rows.keep_first(orders, ["o_custkey", "y"], order=["day", "o_orderkey"])
 
 
 def _profile(names):
@@ -288,15 +293,16 @@ def topic_text_filter(spark, sf):
 def _few(tab, names):
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count(DISTINCT "{c}") AS n_distinct,
-        list_slice(list_sort(list(DISTINCT "{c}") FILTER (WHERE "{c}" IS NOT NULL)), 1, 10)
-        AS first_values FROM {tab}""" for c in names
+        array_to_string(list_slice(list_sort(list(DISTINCT "{c}")
+          FILTER (WHERE "{c}" IS NOT NULL)), 1, 10), '; ') AS first_values FROM {tab}""" for c in names
     )
 
 
 @query(f"""SELECT * FROM ({_few('part', ['p_name', 'p_brand', 'p_type'])})
 WHERE n_distinct > 1 AND n_distinct < 50""")
 def low_cardinality_columns(spark, sf):
-    return eda.low_cardinality(table(spark, sf, "part"))
+    few = eda.low_cardinality(table(spark, sf, "part"))
+    return few.withColumn("first_values", F.array_join("first_values", "; "))
 
 
 @query("SELECT count(*) AS n_rows, CAST(11 AS INTEGER) AS n_columns FROM lineitem")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stratline.models import sequence
 from stratline.operators import eda, encode, panel, quality, rows, targets
 from stratline.operators.ordering import next_in_order
 from stratline.plans import carriers
@@ -347,9 +348,15 @@ def windows(spark, sf):
     )
 
 
-@query(f"WITH {WINDOWS_SQL} SELECT * FROM windows")
+_STEPS = ", ".join(
+    f"features[{t + 1}][{i + 1}] AS x_{t}_{i}" for t in range(3) for i in range(2)
+)
+
+
+@query(f"WITH {WINDOWS_SQL} SELECT unit, target_year, target, {_STEPS} FROM windows")
 def sequence_windows(spark, sf):
-    return windows(spark, sf)
+    flat, _ = sequence.flatten(windows(spark, sf), length=3, n_features=2)
+    return flat
 
 
 @query(f"""WITH {WINDOWS_SQL} SELECT CASE WHEN target_year <= {TRAIN_MAX} THEN 'train'
