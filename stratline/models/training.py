@@ -24,7 +24,12 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import (
+    StandardScaler,
+    StandardScalerModel,
+    VectorAssembler,
+    VectorSlicer,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -35,7 +40,8 @@ from stratline.sources import sinks
 
 log = logging.getLogger(__name__)
 
-VECTOR, SCALED, LABEL, WEIGHT = "__features", "__scaled", "__label", "__weight"
+# VECTOR holds all features; INPUT what a linear model makes of them first.
+VECTOR, INPUT, LABEL, WEIGHT = "__features", "__input", "__label", "__weight"
 
 
 @dataclass(frozen=True)
@@ -80,9 +86,16 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 def _linear(params, facts, seed, alpha=0.0, l1=False):
     alpha = params.get("alpha", alpha)
     penalty = alpha if l1 else alpha * facts.label_sd / max(facts.n_rows, 1)
+    # A constant feature has coefficient 0 anyway, but makes the normal equations singular.
+    sizes = list(facts.feature_sd.values())
+    varying = [i for i, sd in enumerate(sizes) if sd > 0] or list(range(len(sizes)))
+    first = []
+    if len(varying) < len(sizes):
+        first = [VectorSlicer(inputCol=VECTOR, outputCol=INPUT, indices=varying)]
     return [
+        *first,
         LinearRegression(
-            featuresCol=VECTOR,
+            featuresCol=INPUT if first else VECTOR,
             labelCol=LABEL,
             regParam=penalty,
             elasticNetParam=1.0 if l1 else 0.0,
@@ -90,7 +103,7 @@ def _linear(params, facts, seed, alpha=0.0, l1=False):
             solver="auto" if l1 else "normal",
             maxIter=5000 if l1 else 100,
             tol=1e-9,
-        )
+        ),
     ]
 
 
@@ -135,9 +148,9 @@ def _boosting(params, facts, seed, kind, subsample=1.0):
 def _logistic(params, facts, seed):
     n = max(facts.n_rows, 1)
     return [
-        StandardScaler(inputCol=VECTOR, outputCol=SCALED, withMean=True, withStd=True),
+        StandardScaler(inputCol=VECTOR, outputCol=INPUT, withMean=True, withStd=True),
         LogisticRegression(
-            featuresCol=SCALED,
+            featuresCol=INPUT,
             labelCol=LABEL,
             weightCol=WEIGHT,
             standardization=False,
@@ -264,10 +277,10 @@ def score(
                 for other in ("rawPrediction", "probability"):
                     if stage.hasParam(f"{other}Col"):
                         extra[stage.getParam(f"{other}Col")] = f"__{other}{i}"
-                if stage.getFeaturesCol() == SCALED:
-                    extra[stage.featuresCol] = f"{SCALED}{i}"
+                if stage.getFeaturesCol() == INPUT:
+                    extra[stage.featuresCol] = f"{INPUT}{i}"
             else:
-                extra = {stage.outputCol: f"{SCALED}{i}"}
+                extra = {stage.outputCol: f"{INPUT}{i}"}
             out = stage.copy(extra).transform(out)
         prediction, chance = F.col(f"__p{i}"), F.lit(None).cast("double")
         if f"__probability{i}" in out.columns:
@@ -287,9 +300,12 @@ def standard_coefficients(fitted: Fitted) -> dict[str, float] | None:
     """Coefficients on features scaled by the population standard deviation, if linear."""
     if not hasattr(fitted.last, "coefficients"):
         return None
-    names = fitted.model.stages[0].getInputCols()
-    values = fitted.last.coefficients.toArray()
-    if fitted.last.getFeaturesCol() == SCALED:
+    first, second = fitted.model.stages[:2]
+    names = first.getInputCols()
+    values = [float(v) for v in fitted.last.coefficients.toArray()]
+    if isinstance(second, StandardScalerModel):
         shrink = sqrt(max(fitted.facts.n_rows - 1, 1) / max(fitted.facts.n_rows, 1))
-        return {c: float(v) * shrink for c, v in zip(names, values)}
-    return {c: float(v) * fitted.facts.feature_sd[c] for c, v in zip(names, values)}
+        return {c: v * shrink for c, v in zip(names, values)}
+    kept = second.getIndices() if isinstance(second, VectorSlicer) else range(len(names))
+    found = {names[i]: v for i, v in zip(kept, values)}
+    return {c: found.get(c, 0.0) * fitted.facts.feature_sd[c] for c in names}

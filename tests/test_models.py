@@ -63,6 +63,26 @@ def test_linear_models_equal_closed_forms(data):
         assert own == pytest.approx(x @ w + y.mean(), abs=1e-5), name
 
 
+def test_constant_features_get_no_weight(spark, tmp_path):
+    pdf = rows()
+    pdf["flat"] = 7.0
+    pdf["sum"] = pdf["a"] + pdf["b"] + np.random.default_rng(1).normal(0, 1e-3, len(pdf))
+    names = ["a", "flat", "b", "sum"]
+    df = spark.createDataFrame(pdf)
+    models = training.fit_regressors(
+        df, names, "y", Settings(regressors={"linear_regression": {}}), str(tmp_path)
+    )
+    x = pdf[["a", "b", "sum"]].to_numpy()
+    z = (x - x.mean(0)) / x.std(0)
+    w = np.linalg.lstsq(z, pdf["y"] - pdf["y"].mean(), rcond=None)[0]
+    got = training.standard_coefficients(models["linear_regression"])
+    assert got["flat"] == 0.0
+    assert [got[c] for c in ("a", "b", "sum")] == pytest.approx(list(w), rel=1e-5)
+    again = {"linear_regression": sinks.load_model(str(tmp_path), "regression", "linear_regression")}
+    pred = training.score(df, again, "y", keep=["row"]).toPandas().sort_values("row")
+    assert pred["prediction"].to_numpy() == pytest.approx(z @ w + pdf["y"].mean(), abs=1e-5)
+
+
 def test_logistic_equals_newton_solution(data):
     pdf, df = data
     models = training.fit_classifiers(
