@@ -111,21 +111,51 @@ def lasso_coefficient(spark, sf):
 _K = 5
 
 
-@query(f"""WITH RECURSIVE sizes AS (SELECT c_nationkey AS grp, count(*) AS n FROM customer GROUP BY 1),
+def _folds_sql(tab, group):
+    """folds(grp, fold): each group, from the largest down, joins the lightest fold."""
+    lightest = "CAST(list_position(s.loads, list_min(s.loads)) AS INTEGER)"
+    loads = ", ".join(
+        f"s.loads[{i}] + CASE WHEN {lightest} = {i} THEN o.n ELSE 0 END" for i in range(1, _K + 1)
+    )
+    return f"""
+sizes AS (SELECT {group} AS grp, count(*) AS n FROM {tab} GROUP BY 1),
 ordered AS (SELECT *, row_number() OVER (ORDER BY n DESC, grp) AS r FROM sizes),
 steps(r, grp, fold, loads) AS (
   SELECT CAST(0 AS BIGINT), CAST(NULL AS INTEGER), CAST(NULL AS INTEGER),
     [CAST(0 AS BIGINT) {', CAST(0 AS BIGINT)' * (_K - 1)}]
   UNION ALL
-  SELECT o.r, o.grp, CAST(list_position(s.loads, list_min(s.loads)) AS INTEGER),
-    [{', '.join(f'''s.loads[{i}] + CASE WHEN list_position(s.loads, list_min(s.loads)) = {i}
-      THEN o.n ELSE 0 END''' for i in range(1, _K + 1))}]
-  FROM steps s JOIN ordered o ON o.r = s.r + 1)
-SELECT grp AS c_nationkey, fold FROM steps WHERE r > 0""")
+  SELECT o.r, o.grp, {lightest}, [{loads}] FROM steps s JOIN ordered o ON o.r = s.r + 1),
+folds AS (SELECT grp, fold FROM steps WHERE r > 0)"""
+
+
+@query(f"WITH RECURSIVE {_folds_sql('customer', 'c_nationkey')} SELECT grp AS c_nationkey, fold FROM folds")
 def group_folds(spark, sf):
     return evaluation.group_folds(table(spark, sf, "customer"), "c_nationkey", _K)
 
 
+@query(f"""WITH RECURSIVE {LAG_ROWS_SQL},
+grouped AS (SELECT lag_rows.*, c_nationkey FROM lag_rows JOIN customer ON unit = c_custkey),
+{_folds_sql('grouped', 'c_nationkey')},
+tagged AS (SELECT g.*, fold FROM grouped g JOIN folds ON c_nationkey = grp),
+fits AS (SELECT f.fold, regr_slope(y, x1) AS b, regr_intercept(y, x1) AS a
+  FROM (SELECT DISTINCT fold FROM folds) f JOIN tagged t ON t.fold <> f.fold GROUP BY 1),
+err AS (SELECT t.fold, avg(abs(y - a - b * x1)) AS mae,
+  1 - avg((y - a - b * x1) * (y - a - b * x1)) / var_pop(y) AS r2
+  FROM tagged t JOIN fits ON t.fold = fits.fold GROUP BY 1)
+SELECT 'linear_regression' AS model, 'mae' AS metric, round(avg(mae), 4) AS mean FROM err
+UNION ALL SELECT 'linear_regression', 'r2', round(avg(r2), 4) FROM err""")
+def group_cv_line(spark, sf):
+    """Five folds that keep nations whole, a straight line on the previous value."""
+    cut = sinks.table_cut(spark)
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    rows = lag_rows(spark, sf).join(customer, F.col("unit") == F.col("c_custkey"))
+    settings = Settings(regressors={"linear_regression": {}}, cv_folds=_K)
+    _, mean = evaluation.group_cv(
+        cut(rows, "grouped"), ["lag_1"], "Data_Value", "c_nationkey", "regression", settings
+    )
+    return mean.withColumn("mean", F.round("mean", 4))
+
+
 def survey_model(spark, sf):
     cut = sinks.table_cut(spark)
     raw = cut(carriers.extract(spark, sf), "extract")
@@ -148,12 +178,14 @@ def regression_models(spark, sf):
 @query()
 def classification_models(spark, sf):
     """All four classifiers for the early-warning label of the sparse panel."""
-    rows = warned(spark, sf).where(F.col("lag_1").isNotNull())
+    cut = sinks.table_cut(spark)
     names = ["YearStart", "Data_Value", "lag_1"]
+    rows = warned(spark, sf).where(F.col("lag_1").isNotNull()).select(*names, "early_warning")
+    rows = cut(rows, "labelled")
     train = rows.where(F.col("YearStart") <= TRAIN_MAX)
     models = training.fit_classifiers(train, names, "early_warning", SMALL)
     split = targets.split_name(F.col("YearStart"), SMALL)
-    return evaluation.evaluate(models, rows, "early_warning", split, "classification")
+    return evaluation.evaluate(models, rows, "early_warning", split, "classification", cut)
 
 
 @query()
