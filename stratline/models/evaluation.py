@@ -22,7 +22,7 @@ def regression_metrics(pred: DataFrame, by: Sequence[str] = ("model", "split"))
 def classification_metrics(pred: DataFrame, by: Sequence[str] = ("model", "split")) -> DataFrame:
     """Long (by, metric, value): accuracy, precision, recall, f1, roc_auc."""
     counted = metrics.to_long(metrics.classification(pred, by), by, metrics.CLASSIFICATION)
-    area = metrics.to_long(metrics.roc_auc(pred, by), by, ["roc_auc"])
+    area = metrics.to_long(metrics.roc_auc(pred, by, few_groups=True), by, ["roc_auc"])
     return counted.unionByName(area)
 
 
@@ -123,7 +123,8 @@ def group_cv(
             out = metrics.to_long(metrics.regression(pred, by), by, ["mae", "r2"])
         else:
             f1 = metrics.classification(pred, by).select(*by, F.col("weighted_f1").alias("f1"))
-            auc = metrics.roc_auc(pred, by, one_class=0.5).select(*by, F.col("roc_auc").alias("auc"))
+            auc = metrics.roc_auc(pred, by, one_class=0.5, few_groups=True)
+            auc = auc.withColumnRenamed("roc_auc", "auc")
             out = metrics.to_long(f1, by, ["f1"]).unionByName(metrics.to_long(auc, by, ["auc"]))
         # A few numbers per fold and model: fetched here, before the rows are released.
         found = out.collect()

@@ -99,36 +99,53 @@ def confusion_matrix(
     return counts.select(*by, F.explode(cells).alias("c")).select(*by, "c.*")
 
 
-def _score_steps(pred: DataFrame, by: Sequence[str], y: str, score: str) -> DataFrame:
+def _score_steps(
+    pred: DataFrame, by: Sequence[str], y: str, score: str, few_groups: bool
+) -> DataFrame:
     known = pred.where(F.col(y).isNotNull() & F.col(score).isNotNull())
     cells = known.groupBy(*by, score).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
-    points = split_points(known, score)
-    return running_totals(cells, score, ["pos", "neg"], by, descending=True, points=points)
+    return running_totals(
+        cells, score, ["pos", "neg"], by, descending=True,
+        points=split_points(known, score), few_groups=few_groups,
+    )
 
 
 def roc_points(
-    pred: DataFrame, by: Sequence[str] = (), y: str = "y", score: str = "score"
-) -> DataFrame:
-    """One point per distinct score: share of negatives and positives at or above it."""
-    return _score_steps(pred, by, y, score).select(
-        *by,
-        F.col(score).alias("threshold"),
-        F.try_divide("neg_upto", "neg_all").alias("fpr"),
-        F.try_divide("pos_upto", "pos_all").alias("tpr"),
-    )
+    pred: DataFrame, by: Sequence[str] = (), y: str = "y", score: str = "score",
+    few_groups: bool = False,
+) -> DataFrame:
+    """The curve from its origin (threshold infinity), one point per distinct score: share
+    of negatives and positives at or above it."""
+
+    def point(threshold, neg, pos):
+        return F.struct(
+            threshold.cast("double").alias("threshold"),
+            F.try_divide(neg, F.col("neg_all")).alias("fpr"),
+            F.try_divide(pos, F.col("pos_all")).alias("tpr"),
+        )
+
+    here = point(F.col(score), F.col("neg_upto"), F.col("pos_upto"))
+    origin = point(F.lit(float("inf")), F.lit(0), F.lit(0))
+    highest = F.col("pos_before") + F.col("neg_before") == 0
+    points = F.when(highest, F.array(origin, here)).otherwise(F.array(here))
+    steps = _score_steps(pred, by, y, score, few_groups)
+    return steps.select(*by, F.explode(points).alias("p")).select(*by, "p.*")
 
 
 def roc_auc(
     pred: DataFrame, by: Sequence[str] = (), y: str = "y", score: str = "score",
-    one_class: float | None = None,
+    one_class: float | None = None, few_groups: bool = False,
 ) -> DataFrame:
-    """Tie-aware area under the ROC curve; `one_class` where only one class occurs."""
+    """Tie-aware area under the ROC curve; `one_class` where only one class occurs.
+
+    `few_groups`: the groups are models, splits or folds, see running_totals.
+    """
     area = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2))
     auc = F.try_divide(area, F.max("pos_all") * F.max("neg_all").cast("double"))
     return (
-        _score_steps(pred, by, y, score)
+        _score_steps(pred, by, y, score, few_groups)
         .groupBy(*by)
         .agg(F.coalesce(auc, F.lit(one_class).cast("double")).alias("roc_auc"))
     )

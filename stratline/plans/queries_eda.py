@@ -239,7 +239,10 @@ steps AS (SELECT *, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w
   FROM cells WINDOW w AS (PARTITION BY lang ORDER BY score DESC))"""
 
 
-@query(f"WITH {STEPS_SQL} SELECT lang, score AS threshold, fp / nullif(q, 0) AS fpr, tp / nullif(p, 0) AS tpr FROM steps")
+@query(f"""WITH {STEPS_SQL}
+SELECT lang, score AS threshold, fp / nullif(q, 0) AS fpr, tp / nullif(p, 0) AS tpr FROM steps
+UNION ALL SELECT DISTINCT lang, CAST('infinity' AS DOUBLE), CAST(0 AS DOUBLE) / nullif(q, 0),
+  CAST(0 AS DOUBLE) / nullif(p, 0) FROM steps""")
 def roc_points(spark, sf):
     return metrics.roc_points(carriers.labelled_documents(spark, sf), ["lang"])
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from stratline.models import evaluation, explain, sequence, training
 from stratline.operators import targets
 from stratline.plans import carriers, pipeline
-from stratline.plans.carriers import SETTINGS, table
+from stratline.plans.carriers import SETTINGS, SPARSE_SQL, table
 from stratline.plans.queries_panel import LAGGED_SQL, SPLIT_SQL, TRAIN_MAX, lagged, warned
 from stratline.plans.registry import query
 from stratline.settings import Settings
@@ -222,6 +222,30 @@ def sequence_forecast(spark, sf):
     return sequence.evaluate(pred)
 
 
+@query(f"""WITH {SPARSE_SQL},
+windows AS (SELECT "YearStart" AS target_year, "Data_Value" / 1000.0 AS y,
+  lag("Data_Value") OVER (PARTITION BY unit ORDER BY "YearStart") / 1000.0 AS x FROM sparse),
+named AS (SELECT *, CASE WHEN target_year <= {TRAIN_MAX} THEN 'train'
+  WHEN target_year <= {SETTINGS.val_max_year} THEN 'val' ELSE 'test' END AS split
+  FROM windows WHERE x IS NOT NULL),
+line AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM named WHERE split = 'train'),
+e AS (SELECT split, avg(abs(y - a - b * x)) AS mae, avg((y - a - b * x) * (y - a - b * x)) AS mse,
+  var_pop(y) AS v FROM named, line WHERE split <> 'train' GROUP BY 1)
+SELECT 'linear_regression' AS model, split, metric, round(value, 4) AS value FROM (
+  SELECT split, 'mae' AS metric, mae AS value FROM e
+  UNION ALL SELECT split, 'mse', mse FROM e
+  UNION ALL SELECT split, 'rmse', sqrt(mse) FROM e
+  UNION ALL SELECT split, 'r2', 1 - mse / v FROM e)""")
+def sequence_line(spark, sf):
+    """Next observed value from the last one: windows of length one and a straight line."""
+    rows = carriers.sparse(spark, sf).withColumn("Data_Value", F.col("Data_Value") / 1000.0)
+    _, pred = sequence.forecast(
+        rows, ["Data_Value"], settings=SETTINGS.override(seq_length=1), unit=["unit"],
+        regressors={"linear_regression": {}}, cut=sinks.table_cut(spark),
+    )
+    return sequence.evaluate(pred).withColumn("value", F.round("value", 4))
+
+
 @query()
 def panel_analysis(spark, sf):
     """The whole job on the survey extract: metrics, cross-validation, sequence metrics."""

@@ -140,10 +140,13 @@ def test_auc_counts_ties_as_half(scored, monkeypatch, slice_rows):
     expected = ((pairs > 0) + 0.5 * (pairs == 0)).mean()
     assert metrics.roc_auc(df).first()["roc_auc"] == pytest.approx(expected, abs=1e-12)
     curve = metrics.roc_points(df).toPandas().sort_values("threshold", ascending=False)
-    assert len(curve) == pdf.score.nunique()
+    assert len(curve) == pdf.score.nunique() + 1
+    assert tuple(curve.iloc[0][["threshold", "fpr", "tpr"]]) == (math.inf, 0.0, 0.0)
+    trapezoids = (curve.fpr.diff() * (curve.tpr + curve.tpr.shift()) / 2).sum()
+    assert trapezoids == pytest.approx(expected, abs=1e-12)
     assert (curve.tpr.iloc[-1], curve.fpr.iloc[-1]) == (1.0, 1.0)
     first = pdf[pdf.score == pdf.score.max()]
-    assert curve.tpr.iloc[0] == pytest.approx((first.y == 1).sum() / len(pos))
+    assert curve.tpr.iloc[1] == pytest.approx((first.y == 1).sum() / len(pos))
 
 
 def test_classification_counts(scored):
