@@ -86,3 +86,40 @@ def test_median_property(spark, values):
     points = sorted({float(v) for v in values})[::3]
     got = ordering.quantiles(df, "v", {"m": 0.5}, points=points).first()["m"]
     assert got == pytest.approx(float(np.median(values)), rel=1e-12, abs=1e-9)
+
+
+def test_operators_on_many_slices_agree_with_one(spark, monkeypatch):
+    """Everything built on ordered slices, with groups and NULLs."""
+    from stratline.operators import eda, encode, metrics, panel, targets
+
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame(
+        {
+            "g": rng.choice(["x", "y", "z", None], 250, p=[0.6, 0.2, 0.1, 0.1]),
+            "v": rng.choice([*rng.normal(0, 3, 40), np.nan], 250).round(3),
+            "w": rng.integers(0, 9, 250).astype(float),
+            "y": rng.integers(0, 2, 250),
+        }
+    )
+    plain = pdf.astype(object).where(pdf.notna(), None)
+    df = spark.createDataFrame(plain, "g string, v double, w double, y int")
+    jobs = {
+        "medians": lambda: panel.medians(df, ["v", "w", "y"]),
+        "threshold": lambda: targets.threshold(df, 90, value="v"),
+        "box": lambda: eda.box_plot(df, "g", "v"),
+        "outliers": lambda: eda.box_outliers(df, "g", "v"),
+        "describe": lambda: eda.describe(df, "v"),
+        "codes": lambda: encode.label_encode(df, ["g"], small=1),
+        "roc": lambda: metrics.roc_points(df, ["g"], score="v", few_groups=True),
+        "auc": lambda: metrics.roc_auc(df, ["g"], score="v"),
+    }
+
+    def results():
+        return {name: sorted(map(repr, job().collect())) for name, job in jobs.items()}
+
+    one = results()
+    monkeypatch.setattr(ordering, "SLICE_ROWS", 6)
+    assert results() == one
+    # Too many wanted slices to fetch: the quantiles take the general way.
+    monkeypatch.setattr(ordering, "SMALL_ROWS", 1)
+    assert results() == one
