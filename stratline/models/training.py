@@ -15,7 +15,7 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
-from math import sqrt
+from math import ceil, sqrt
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
@@ -44,6 +44,9 @@ log = logging.getLogger(__name__)
 VECTOR, INPUT, LABEL, WEIGHT = "__features", "__input", "__label", "__weight"
 
 
+ROWS_PER_TASK = 10_000
+
+
 @dataclass(frozen=True)
 class Facts:
     """What a fit needs to know about the training rows beforehand."""
@@ -201,7 +204,9 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
     ).persist()
     facts = training_facts(rows, features, LABEL)
     vectorise = assembler(features)
-    base = vectorise.transform(rows)
+    # Boosting runs several short jobs per tree: few rows should not be many tasks. More
+    # partitions than there are stay as they are.
+    base = vectorise.transform(rows.coalesce(max(1, ceil(facts.n_rows / ROWS_PER_TASK))))
     if track == "classification":
         base = balanced_weights(base, LABEL, WEIGHT)
 
