@@ -1,7 +1,7 @@
 """What both text classifiers share: a bounded training sample and a hashed vocabulary.
 
 A classifier is fitted on a bounded sample of labelled rows: for each class the max_docs
-rows with the smallest hash of doc_id and text. The bound is a parameter; everything is
+rows with the smallest hash of the doc_id. The bound is a parameter; everything is
 scored. Weights of a row stand for the labelled rows of its class that were not drawn.
 """
 
@@ -36,14 +36,17 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int
         .groupBy("id")
         .agg(F.max("label").alias("label"))
     )
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).where(F.col("id").isNotNull())
-    keyed = rows.join(marks, "id").withColumn("draw", F.xxhash64("id", "text"))
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("id")).where("id is not null")
+    known = ids.join(marks, "id").distinct().withColumn("draw", F.xxhash64("id"))  # no texts yet
     drawn = None
     for value in (0, 1):
-        some = keyed.where(F.col("label") == value).orderBy("draw", "id").limit(max_docs)
+        some = known.where(F.col("label") == value).orderBy("draw", "id").limit(max_docs)
         drawn = some if drawn is None else drawn.unionByName(some)
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    )
+    # At most 2 * max_docs ids are sent to the texts; of several texts of an id one is used.
+    drawn = rows.join(F.broadcast(drawn), "id").dropDuplicates(["id"])
     totals = marks.groupBy("label").agg(F.count("*").alias("n"))
     return (
         drawn.withColumn("fold", F.pmod("draw", F.lit(5)).cast("int"))

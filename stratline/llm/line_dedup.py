@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratline.llm import texts
+from stratline.llm import sieve, texts
 from stratline.sources import sinks
 
 
@@ -119,7 +119,9 @@ def repeats(docs: DataFrame, plan: Chunks, cut) -> DataFrame:
     is_head = F.struct("id", "key", "line").eqNullSafe(F.col("head")).alias("is_head")
     wanted = places.select("id", "key", F.struct("line", "lines", "words", "worded", "hash", is_head).alias("w"))
     wanted = wanted.groupBy("id", "key").agg(F.collect_set("w").alias("wanted"))
-    texts_of = join_key(keyed(docs), wanted, "inner")
+    wanted = cut(wanted, "wanted")
+    may = sieve.Sieve(wanted, "key")
+    texts_of = join_key(keyed(docs).where(may.column(F.col("key"))), wanted, "inner")
     bodies = texts_of.dropDuplicates(["id", "key"]).select("id", "key", F.split("text", "\n").alias("parts"), F.explode("wanted").alias("w"))
     body = F.array_join(F.slice("parts", F.col("w.line") + 1, F.col("w.lines")), "\n").alias("body")
     bodies = cut(bodies.select("id", "key", "w.*", body), "bodies")
@@ -169,11 +171,15 @@ def joined(found: list[dict], plan: Chunks) -> list[dict]:
 def deduplicate(docs: DataFrame, plan: Chunks = Chunks()) -> DataFrame:
     """The documents without their repeated passages, same columns."""
     gone = removals(docs, plan)
+    may = sieve.Sieve(gone, "key")
     names = {n: f"_{k}_{n}" for k, n in enumerate(("id", "key", "gone"))}
     gone = gone.withColumnsRenamed(names)
     text = F.col("text").cast("string")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(names["id"])) & (F.xxhash64(text) == F.col(names["key"]))
-    both = docs.join(gone, same, "left")
+    key = F.xxhash64(text)
+    # Texts that surely lose nothing stay where they are.
+    touched = docs.where(may.column(key))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(names["id"])) & (key == F.col(names["key"]))
+    both = touched.join(gone, same, "left")
     going = F.col(names["gone"])
     left = F.filter(
         F.split(text, "\n"),
@@ -183,4 +189,4 @@ def deduplicate(docs: DataFrame, plan: Chunks = Chunks()) -> DataFrame:
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         both = both.withColumn("n_chars", F.when(going.isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return both.select(*docs.columns)
+    return both.select(*docs.columns).unionAll(docs.where(~may.column(key)))

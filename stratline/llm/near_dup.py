@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructType
 
-from stratline.llm import graph, texts
+from stratline.llm import graph, sieve, texts
 from stratline.sources import sinks
 
 
@@ -211,10 +211,11 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     nodes = cut(nodes.withColumn("node", F.xxhash64("whole", "second")), "nodes")
     keys = nodes.select("node", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = cut(keys.join(shared, "band"), "members")
+    members = cut(ranked(keys.join(shared, "band")), "members")
     used = members.select("node").distinct().join(nodes.select("node", "whole", "second"), "node")
     text_rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    whole_of = node_texts(text_rows, darts).join(used, ["whole", "second"]).dropDuplicates(["node"]).select("node", "text")
+    wanted = sieve.Sieve(used, "whole")
+    whole_of = node_texts(text_rows, darts, wanted).join(used, ["whole", "second"]).dropDuplicates(["node"]).select("node", "text")
     sets = cut(shingle_sets(whole_of, darts), "sets")
     labels = edges = compared = checked = None
     turn = 0
@@ -250,15 +251,27 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     return rows.select("id", "whole", "second").join(cut(heads, "heads"), ["whole", "second"])
 
 
-def node_texts(rows: DataFrame, darts: Darts) -> DataFrame:
-    """(whole, second, text) of every row."""
+def ranked(keys: DataFrame) -> DataFrame:
+    """Members of buckets with a rank: how many members their buckets have, all together.
+
+    A text with many variants agrees with each of them more often than they agree with one
+    another, so it has the largest rank among them, and one comparison with it joins them."""
+    sizes = keys.groupBy("band").agg(F.count("*").alias("n"))
+    rank = keys.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("rank"))
+    return keys.join(rank, "node").select("band", "node", F.struct("rank", "node").alias("rank"))
+
+
+def node_texts(rows: DataFrame, darts: Darts, wanted: sieve.Sieve) -> DataFrame:
+    """(whole, second, text) of the rows that may be wanted."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in texts.blocks(batch.column(0)):
                 whole, second = identity(block, darts)
+                used = pa.array(wanted.has(whole))
                 part = batch.column(0).slice(block.first_row, block.rows)
-                yield pa.RecordBatch.from_arrays([pa.array(whole), pa.array(second), part], names=["whole", "second", "text"])
+                found = pa.RecordBatch.from_arrays([pa.array(whole), pa.array(second), part], names=["whole", "second", "text"])
+                yield found.filter(used)
 
     return rows.mapInArrow(run, "whole bigint, second bigint, text string")
 
@@ -282,17 +295,18 @@ def choose(members: DataFrame, labels: DataFrame | None, compared: DataFrame | N
     members of different classes then include one that has met all the others. Anchors are
     members outside the largest class of their bucket."""
     if labels is None:
-        first = members.groupBy("band").agg(F.min("node").alias("node"))
+        first = members.groupBy("band").agg(F.max("rank").getField("node").alias("node"))
         first = cut(first.withColumn("label", F.col("node")), f"anchors-{turn}")
         return None if first.isEmpty() else first
     left = members.join(compared, ["band", "node"], "left_anti").join(labels, "node", "left")
-    left = left.select("band", "node", F.coalesce("label", "node").alias("label"))
-    sizes = left.groupBy("band", "label").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    left = left.select("band", "node", "rank", F.coalesce("label", "node").alias("label"))
+    sizes = left.groupBy("band", "label").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
     most = sizes.groupBy("band").agg(F.count("*").alias("classes"), F.max(F.struct("n", "label")).alias("top"))
     open_ = sizes.join(most.where("classes > 1"), "band").where(F.col("label") != F.col("top.label"))
     # One member of each of a few classes: the classes of a bucket are few, its members many.
-    some = open_.groupBy("band").agg(F.array_sort(F.collect_list(F.struct("n", "label", "node"))).alias("found"))
-    some = some.select("band", F.explode(F.slice("found", 1, darts.anchors)).alias("x")).select("band", "x.node", "x.label")
+    some = open_.groupBy("band").agg(F.sort_array(F.collect_list(F.struct("rank", "label")), False).alias("found"))
+    some = some.select("band", F.explode(F.slice("found", 1, darts.anchors)).alias("x"))
+    some = some.select("band", F.col("x.rank.node").alias("node"), F.col("x.label").alias("label"))
     some = cut(some, f"anchors-{turn}")
     return None if some.isEmpty() else some
 
