@@ -81,7 +81,7 @@ def member(content: bytes, level: int) -> bytes:
 
 def clean(value: object) -> str:
     """A header value holds no line break."""
-    return " ".join(str(value).split("\r")).replace("\n", " ")
+    return " ".join(str(value).splitlines())
 
 
 def record(row) -> bytes:
@@ -177,10 +177,10 @@ class WarcReader(DataSourceReader):
         return tuple(values)
 
     def row(self, values: tuple, block: bytes, revisit: bool) -> tuple:
-        http, split, payload = block.partition(b"\r\n\r\n")
-        told = fields(http).get("content-length") if http.startswith(b"HTTP/") else None
-        if told is None and not revisit:
-            payload, split = block, b""
+        http, _, payload = block.partition(b"\r\n\r\n")
+        told = fields(http).get("content-length")
+        if not http.startswith(b"HTTP/"):
+            told, payload = None, block
         size = int(told) if told and told.isdigit() else len(payload)
         return (*values, size, None if revisit or not self.payload else payload)
 
