@@ -69,12 +69,17 @@ def early_warning(
     """Whether a unit that is not high-risk now is so in its next observed row.
 
     NULL for rows that are high-risk now, have no next row, or miss a key part. The next
-    row is the next one observed, which need not be the following calendar year.
+    row is the next one observed, which need not be the following calendar year. Copies of a
+    (unit, year) come in the order of `tie`, then of a hash of the row; the hash also cuts a
+    hot (unit, year) into slices, whatever its other columns hold.
     """
     order = [year, *[c for c in tie if c != year]]
     if not unique:
-        order += [c for c in df.columns if c not in (*order, *unit, flag)] + [flag]
+        rest = [c for c in df.columns if c not in (*order, *unit, flag)] + [flag]
+        df = df.withColumn("__hash", F.xxhash64(*[F.col(f"`{c}`") for c in rest]))
+        order += ["__hash", *rest]
     out = next_in_order(df, unit, order, flag, "__next", unique)
+    out = out.drop("__hash")
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in unit])
     label = F.when(keyed & (F.col(flag) == 0) & F.col("__next").isNotNull(), F.col("__next"))
     return out.withColumn(name, label.cast("int")).drop("__next")
@@ -153,14 +158,22 @@ def join_targets(
     features: DataFrame,
     targets: DataFrame,
     keys: Sequence[str] = ("YearStart", "LocationAbbr", "stratum_category", "stratum_value"),
+    source: Sequence[str] = ("StratificationCategory1", "Stratification1"),
 ) -> DataFrame:
     """Inner join of features and targets, one row per key.
 
     Both sides are reduced to one row per key before the join, so copies of a key never
-    multiply. NULL key parts match each other.
+    multiply. Units whose rare strata were collapsed share a key: `source` names the columns
+    that tell them apart, and both sides keep the row of the same, smallest, unit. They must
+    be on both sides, or on neither if a key belongs to one unit. NULL key parts match each
+    other.
     """
     keys = [k for k in keys if k in features.columns and k in targets.columns]
-    left, right = keep_first(features, keys), keep_first(targets, keys)
+    order = [c for c in source if c in features.columns and c in targets.columns]
+    one_sided = [c for c in source if (c in features.columns) != (c in targets.columns)]
+    if one_sided:
+        raise ValueError(f"source columns on one side only: {one_sided}")
+    left, right = keep_first(features, keys, order), keep_first(targets, keys, order)
     right = right.select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         *[c for c in right.columns if c not in features.columns],

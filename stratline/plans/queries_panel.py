@@ -291,28 +291,26 @@ value_rows AS (SELECT stratum_value AS sv, count(*) AS n FROM prepared GROUP BY
 collided AS (
   SELECT "YearStart", "LocationAbbr", "LocationDesc", stratum_category,
     CASE WHEN v.n < 160 THEN 'Other' ELSE stratum_value END AS stratum_value,
-    "Data_Value", "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size"
+    "Data_Value", "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size",
+    "StratificationCategory1", "Stratification1"
   FROM prepared JOIN value_rows v ON stratum_value = v.sv),
 firsts AS (
   SELECT *, row_number() OVER (
     PARTITION BY "YearStart", "LocationAbbr", stratum_category, stratum_value
-    ORDER BY "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size") AS f,
-    row_number() OVER (
-    PARTITION BY "YearStart", "LocationAbbr", stratum_category, stratum_value
-    ORDER BY "LocationDesc", "Data_Value") AS t
+    ORDER BY "StratificationCategory1", "Stratification1") AS f
   FROM collided)"""
 
 
 @query(f"""WITH {COLLIDED_SQL}
-SELECT a."YearStart", a."LocationAbbr", a.stratum_category, a.stratum_value,
-  a."Low_Confidence_Limit", a."High_Confidence_Limit", a."Sample_Size", b."LocationDesc", b."Data_Value"
-FROM firsts a JOIN firsts b USING ("YearStart", "LocationAbbr", stratum_category, stratum_value)
-WHERE a.f = 1 AND b.t = 1""")
+SELECT "YearStart", "LocationAbbr", stratum_category, stratum_value, "StratificationCategory1",
+  "Stratification1", "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size", "LocationDesc", "Data_Value"
+FROM firsts WHERE f = 1""")
 def feature_target_join(spark, sf):
     base = encode.collapse_rare(prepared(spark, sf), "stratum_value", min_rows=160)
     keys = ["YearStart", "LocationAbbr", "stratum_category", "stratum_value"]
-    left = base.select(*keys, "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size")
-    return targets.join_targets(left, base.select(*keys, "LocationDesc", "Data_Value"), keys)
+    unit = ["StratificationCategory1", "Stratification1"]
+    left = base.select(*keys, *unit, "Low_Confidence_Limit", "High_Confidence_Limit", "Sample_Size")
+    return targets.join_targets(left, base.select(*keys, *unit, "LocationDesc", "Data_Value"), keys)
 
 
 @query(f"""WITH {SPARSE_SQL} SELECT {SPLIT_SQL} AS split, count(*) AS n,

@@ -261,6 +261,33 @@ def test_split_rules_differ_between_rows_and_sequences(spark):
     ]
 
 
+def test_join_targets_keeps_both_sides_of_one_unit(spark):
+    schema = "YearStart int, LocationAbbr string, StratificationCategory1 string, Stratification1 string"
+    left = spark.createDataFrame([(2015, "a", "c", "u1", 3.0), (2015, "a", "c", "u2", 1.0)], f"{schema}, x double")
+    right = spark.createDataFrame([(2015, "a", "c", "u2", 1.0), (2015, "a", "c", "u1", 8.0)], f"{schema}, y double")
+    out = targets.join_targets(left, right).collect()
+    assert [(r["Stratification1"], r["x"], r["y"]) for r in out] == [("u1", 3.0, 8.0)]
+    with pytest.raises(ValueError):
+        targets.join_targets(left, right.drop("Stratification1"))
+
+
+@pytest.mark.parametrize("slice_rows", [1_000_000, 100])
+def test_a_hot_unit_and_year_is_cut(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(ordering, "SLICE_ROWS", slice_rows)
+    rows = [("PA", 2015 + (k % 20 == 0), "Pennsylvania", float(k), k % 2) for k in range(2000)]
+    df = spark.createDataFrame(rows, "LocationAbbr string, YearStart int, LocationDesc string, v double, high_risk_obesity int")
+    out = targets.early_warning(df, ["LocationAbbr"])
+    assert out.columns == [*df.columns, "early_warning"]
+    got = {r["v"]: r["early_warning"] for r in out.collect()}
+    hashed = df.withColumn("h", F.xxhash64("LocationDesc", "v", "high_risk_obesity")).orderBy("YearStart", "h").collect()
+    for row, after in zip(hashed, [*hashed[1:], None]):
+        expected = after["high_risk_obesity"] if after and not row["high_risk_obesity"] else None
+        assert got[row["v"]] == expected
+    points = ordering.split_points(df.withColumn("h", F.xxhash64("LocationDesc", "v", "high_risk_obesity")), "h")
+    sliced = df.withColumn("s", ordering.slice_of(F.xxhash64("LocationDesc", "v", "high_risk_obesity"), points))
+    assert sliced.groupBy("YearStart", "s").count().agg(F.max("count")).first()[0] <= 4 * slice_rows
+
+
 def test_join_targets_keeps_one_row_per_key(spark):
     left = spark.createDataFrame([(2015, "a", 3.0), (2015, "a", 1.0), (2016, None, 2.0)], "YearStart int, LocationAbbr string, x double")
     right = spark.createDataFrame([(2015, "a", 7.0), (2015, "a", 8.0), (2016, None, 9.0), (2017, "a", 1.0)], "YearStart int, LocationAbbr string, y double")
