@@ -338,36 +338,51 @@ class Lanes:
 class Tokenizer:
     """Texts to ids and back."""
 
-    def __init__(self, content: str, cached_words: int = 300_000, longest_lane: int = 64):
+    def __init__(self, content: str, cached_words: int = 400_000, longest_lane: int = 64):
         self.merges = Merges(content)
         self.encoder = Encoder(self.merges)
         self.letters = byte_letters()
         self.lanes = Lanes(self.merges)
         self.cached_words, self.longest_lane = cached_words, longest_lane
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, list[int]] = {}
+        # Two generations: a full cache becomes the older one, and what is used moves on.
+        self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         marks = sorted(self.merges.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.piece = {i: t.encode() for i, t in self.merges.pieces.items()}
 
     def learn(self, chunks: set[str]) -> None:
         """Put the ids of texts without white space into the cache; no word of the pattern
-        reaches beyond one."""
-        if len(self.words) + len(self.chunks) > self.cached_words:
-            self.words.clear()
-            self.chunks.clear()
-        parts = {chunk: WORD.findall(chunk) for chunk in chunks}
-        fresh = {w: w.encode() for found in parts.values() for w in found if w not in self.words}
+        reaches beyond one, and a word is a text that the pattern leaves whole."""
+        if len(self.known) > self.cached_words:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        parts, fresh = {}, {}
+        for chunk in chunks:
+            if chunk in known:
+                continue
+            if (ids := older.get(chunk)) is not None:
+                known[chunk] = ids
+                continue
+            found = [chunk] if chunk.isascii() and chunk.isalpha() else WORD.findall(chunk)
+            if found != [chunk]:
+                parts[chunk] = found
+            for word in found:
+                if word not in known and word not in fresh:
+                    if (ids := older.get(word)) is not None:
+                        known[word] = ids
+                    else:
+                        fresh[word] = word.encode()
         short = [w for w, b in fresh.items() if len(b) <= self.longest_lane]
         for at in range(0, len(short), 20_000):
             some = short[at : at + 20_000]
-            self.words.update(zip(some, self.lanes.encode([fresh[w] for w in some])))
+            known.update(zip(some, self.lanes.encode([fresh[w] for w in some])))
         for word, found in fresh.items():
             if len(found) > self.longest_lane:
                 symbols = found.decode("latin-1").translate(self.letters)
-                self.words[word] = [*self.encoder.feed(symbols[:-1]), *self.encoder.finish(symbols[-1])]
+                known[word] = [*self.encoder.feed(symbols[:-1]), *self.encoder.finish(symbols[-1])]
         for chunk, found in parts.items():
-            self.chunks[chunk] = list(chain.from_iterable([self.words[w] for w in found]))
+            known[chunk] = list(chain.from_iterable([known[w] for w in found]))
 
     def folded(self, text: str) -> list[str]:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -392,13 +407,8 @@ class Tokenizer:
         for parts in folded:
             for part in parts[::2]:
                 new.update(part)
-        for chunk in list(new):
-            if chunk in self.chunks:
-                new.discard(chunk)
-        known = self.chunks
-        if len(self.words) + len(known) > self.cached_words:
-            new = {chunk for parts in folded for part in parts[::2] for chunk in part}
         self.learn(new)
+        known = self.known
         for parts in folded:
             ids: list[int] = []
             for k, part in enumerate(parts):
