@@ -32,3 +32,18 @@ def components(edges: DataFrame, cut: Cut, name: str) -> DataFrame:
         labels = best.select("node", "label")
         if best.where("label <> before").isEmpty():
             return labels
+
+
+def extended(labels: DataFrame | None, edges: DataFrame, cut: Cut, name: str) -> DataFrame:
+    """The labels of components() after more edges, which are followed between labels only:
+    the work grows with the new edges, not with all that were found before."""
+    if labels is None:
+        return components(edges, cut, name)
+    a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
+    b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
+    between = edges.join(a, "a", "left").join(b, "b", "left")
+    between = between.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    joined = components(between, cut, f"{name}-between")
+    moved = joined.select(F.col("node").alias("label"), F.col("label").alias("least"))
+    old = labels.join(moved, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    return cut(old.unionByName(joined.join(labels, "node", "left_anti")), f"{name}-all")

@@ -217,7 +217,7 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     wanted = sieve.Sieve(used, "whole")
     whole_of = node_texts(text_rows, darts, wanted).join(used, ["whole", "second"]).dropDuplicates(["node"]).select("node", "text")
     sets = cut(shingle_sets(whole_of, darts), "sets")
-    labels = edges = compared = checked = None
+    labels = compared = checked = None
     turn = 0
     while True:
         anchors = choose(members, labels, compared, darts, cut, turn)
@@ -233,9 +233,8 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
             pairs = pairs.join(cut(checked, f"checked-{turn}"), ["a", "b"], "left_anti")
         done = cut(verified(pairs, sets, darts), f"verified-{turn}")
         fresh = done.where("linked").select("a", "b")
-        edges = fresh if edges is None else edges.unionByName(fresh)
         checked = done.select("a", "b") if turn == 0 else checked.unionByName(done.select("a", "b"))
-        labels = graph.components(edges, cut, f"labels-{turn}")
+        labels = graph.extended(labels, fresh, cut, f"labels-{turn}")
         met = anchors.select("band", "node")
         compared = met if compared is None else compared.unionByName(met)
         turn += 1
