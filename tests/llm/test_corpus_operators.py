@@ -245,6 +245,20 @@ def test_leaks_are_found(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_short_copies_among_rarer_benchmark_words(spark):
+    rng = random.Random(16)
+    usual = [words(rng, 1) for _ in range(40)]
+    short = [(k, " ".join(rng.sample(usual, k=12))) for k in range(6)]
+    rare = [words(rng, 40) for _ in range(30)]
+    rows = [(k, " ".join(rng.choices(usual, k=15)) + " " + words(rng, 100)) for k in range(200)]
+    for k, said in short:
+        noise = [rng.choice(text.split()) for text in rng.choices(rare, k=120)]
+        rows.append((300 + k, " ".join([*noise[:60], said, *noise[60:]])))
+    bench = spark.createDataFrame(short + [(50 + k, t) for k, t in enumerate(rare)], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs_frame(spark, rows), bench).collect()}
+    assert {(300 + k, k) for k, _ in short} <= found
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
