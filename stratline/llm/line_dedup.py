@@ -4,7 +4,8 @@ A rolling hash over the hashes of the last `window` lines decides after which li
 ends, and lines of many words are chunks of their own; both depend on the lines' content
 alone, so an inserted line moves no boundary beyond its neighbourhood. Chunks that occur
 again anywhere are compared byte by byte with their first occurrence, in the order of
-(doc_id, text hash, line). Neighbouring repeats are joined, and a joined passage is removed
+(doc_id, text hash, line). Neighbouring repeats are joined, over lines without words too
+(which go with the passage around them), and a joined passage is removed
 if it has at least two lines with words and `min_words` words, or one line of
 `min_line_words`; shorter ones, such as a license line, stay. The first occurrence stays.
 
@@ -37,8 +38,13 @@ class Chunks:
     min_line_words: int = 50
 
 
+# Of a chunk, as chunk() and as the tables name them.
+COUNTS = ("first_line", "lines", "words", "worded", "words_before")
+FIELDS = ("line", "lines", "words", "worded", "words_before")
+
+
 def chunk(block: texts.Block, plan: Chunks) -> dict[str, np.ndarray]:
-    """Row, first line, lines, words, lines with words and two hashes of every chunk."""
+    """Row, first line, lines, words, lines with words, words of the text before it and the hash of every chunk."""
     lines = block.lines()
     row, first = lines.row(), lines.first
     hashes = block.hashes()
@@ -73,6 +79,7 @@ def chunk(block: texts.Block, plan: Chunks) -> dict[str, np.ndarray]:
         "lines": stop - start,
         "words": sums[stop] - sums[start],
         "worded": worded[stop] - worded[start],
+        "words_before": sums[start] - sums[first[row[start]]],
         "hash": texts.mix(once ^ texts.mix(mixed[stop] - mixed[start])),
     }
 
@@ -87,15 +94,16 @@ def tables(docs: DataFrame, plan: Chunks) -> DataFrame:
                 used = found["words"] > 0
                 cuts = np.searchsorted(found["row"][used], np.arange(block.rows + 1)).astype(np.int32)
                 parts = [
-                    pa.array(found[name][used].astype(np.int32)) for name in ("first_line", "lines", "words", "worded")
+                    pa.array(found[name][used].astype(np.int32)) for name in COUNTS
                 ] + [pa.array(found["hash"][used].view(np.int64))]
-                structs = pa.StructArray.from_arrays(parts, names=["line", "lines", "words", "worded", "hash"])
+                structs = pa.StructArray.from_arrays(parts, names=[*FIELDS, "hash"])
                 part = batch.slice(block.first_row, block.rows)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.ListArray.from_arrays(pa.array(cuts), structs)], names=["id", "key", "chunks"]
                 )
 
-    schema = "id bigint, key bigint, chunks array<struct<line: int, lines: int, words: int, worded: int, hash: bigint>>"
+    fields = ", ".join(f"{name}: int" for name in FIELDS)
+    schema = f"id bigint, key bigint, chunks array<struct<{fields}, hash: bigint>>"
     return docs.select("id", "text", "key").mapInArrow(run, schema)
 
 
@@ -106,7 +114,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, plan: Chunks, cut) -> DataFrame:
-    """(id, key, line, lines, words, worded) of chunks equal to an earlier one."""
+    """id, key and FIELDS of chunks equal to an earlier one."""
     chunks = cut(tables(keyed(docs), plan), "chunks")
     each = chunks.select("id", "key", F.explode("chunks").alias("c")).select("id", "key", "c.*")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "line")
@@ -117,7 +125,7 @@ def repeats(docs: DataFrame, plan: Chunks, cut) -> DataFrame:
     # The bytes of every place, from one join with the texts. A chunk's first place is
     # asked for once; a document's list of places is as long as the document.
     is_head = F.struct("id", "key", "line").eqNullSafe(F.col("head")).alias("is_head")
-    wanted = places.select("id", "key", F.struct("line", "lines", "words", "worded", "hash", is_head).alias("w"))
+    wanted = places.select("id", "key", F.struct(*FIELDS, "hash", is_head).alias("w"))
     wanted = wanted.groupBy("id", "key").agg(F.collect_set("w").alias("wanted"))
     wanted = cut(wanted, "wanted")
     may = sieve.Sieve(wanted, "key")
@@ -127,7 +135,7 @@ def repeats(docs: DataFrame, plan: Chunks, cut) -> DataFrame:
     bodies = cut(bodies.select("id", "key", "w.*", body), "bodies")
     heads = bodies.where("is_head").select("hash", F.col("body").alias("head_body"))
     same = bodies.where("not is_head").join(heads, "hash").where(F.col("body") == F.col("head_body"))
-    return same.select("id", "key", "line", "lines", "words", "worded")
+    return same.select("id", "key", *FIELDS)
 
 
 def join_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -139,7 +147,7 @@ def join_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 def removals(docs: DataFrame, plan: Chunks = Chunks(), cut=None) -> DataFrame:
     """(id, key, gone): for documents that lose lines, the ranges (line, lines) that go."""
     cut = cut or sinks.table_cut(docs.sparkSession)
-    found = repeats(docs, plan, cut).groupBy("id", "key").agg(F.collect_set(F.struct("line", "lines", "words", "worded")).alias("found"))
+    found = repeats(docs, plan, cut).groupBy("id", "key").agg(F.collect_set(F.struct(*FIELDS)).alias("found"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,16 +160,19 @@ def removals(docs: DataFrame, plan: Chunks = Chunks(), cut=None) -> DataFrame:
 
 
 def joined(found: list[dict], plan: Chunks) -> list[dict]:
-    """Join neighbouring repeats of one document and keep the passages that are long enough."""
+    """Join neighbouring repeats of one document and keep the passages that are long enough.
+
+    Repeats with no word between them are neighbours, however many blank lines part them."""
     out, passage = [], None
     for c in sorted(found, key=lambda c: c["line"]) + [None]:
-        if passage and (c is None or c["line"] != passage["line"] + passage["lines"]):
+        if passage and (c is None or c["words_before"] != passage["words_before"] + passage["words"]):
             multi = passage["worded"] >= 2 and passage["words"] >= plan.min_words
             if multi or passage["words"] >= plan.min_line_words:
                 out.append({"line": passage["line"], "lines": passage["lines"]})
             passage = None
         if c and passage:
-            for name in ("lines", "words", "worded"):
+            passage["lines"] = c["line"] + c["lines"] - passage["line"]
+            for name in ("words", "worded"):
                 passage[name] += c[name]
         elif c:
             passage = dict(c)

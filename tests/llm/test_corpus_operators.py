@@ -345,6 +345,17 @@ def test_repeated_passages_go_and_the_rest_stays(spark):
     assert line_dedup.deduplicate(docs.limit(0)).count() == 0
 
 
+def test_blank_lines_part_no_passage(spark):
+    rng = random.Random(17)
+    shared = "\n\n".join([words(rng, 30), words(rng, 30) + "\n \t", words(rng, 30), words(rng, 30)])
+    own = [(words(rng, 12), words(rng, 12)) for _ in range(4)]
+    docs = docs_frame(spark, [(k, f"{a}\n\n{shared}\n\n{b}") for k, (a, b) in enumerate(own)])
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate(docs).collect()}
+    assert shared in got[0]
+    for k, (a, b) in enumerate(own[1:], 1):
+        assert got[k].split() == [*a.split(), *b.split()]
+
+
 def test_chunks_are_shift_resistant():
     rng = random.Random(1)
     lines = [words(rng, rng.randint(1, 14)) for _ in range(300)]
