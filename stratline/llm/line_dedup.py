@@ -5,7 +5,8 @@ ends, and lines of many words are chunks of their own; both depend on the lines'
 alone, so an inserted line moves no boundary beyond its neighbourhood. Chunks that occur
 again anywhere are compared byte by byte with their first occurrence, in the order of
 (doc_id, text hash, line). Neighbouring repeats are joined, over lines without words too
-(which go with the passage around them), and a joined passage is removed
+(which go with the passage around them) and up to the line where a passage ends within a
+chunk (see edges), and a joined passage is removed
 if it has at least two lines with words and `min_words` words, or one line of
 `min_line_words`; shorter ones, such as a license line, stay. The first occurrence stays.
 
@@ -39,59 +40,133 @@ class Chunks:
 
 
 # Of a chunk, as chunk() and as the tables name them.
-COUNTS = ("first_line", "lines", "words", "worded", "words_before")
-FIELDS = ("line", "lines", "words", "worded", "words_before")
+COUNTS = ("first_line", "lines", "words", "worded", "words_before", "worded_before")
+FIELDS = ("line", "lines", "words", "worded", "words_before", "worded_before")
 
 
-def chunk(block: texts.Block, plan: Chunks) -> dict[str, np.ndarray]:
-    """Row, first line, lines, words, lines with words, words of the text before it and the hash of every chunk."""
+@dataclass
+class Lines:
+    """The lines of a block, what the rolling hash says of them, and totals before each line."""
+
+    lines: texts.Tokens
+    row: np.ndarray
+    place: np.ndarray  # in its text
+    hashes: texts.Hashes
+    line: np.ndarray  # hash
+    n_words: np.ndarray
+    cut_after: np.ndarray
+    own: np.ndarray
+    sums: np.ndarray  # words
+    worded: np.ndarray  # lines with words
+
+    def fields(self, start: np.ndarray, stop: np.ndarray) -> dict[str, np.ndarray]:
+        """COUNTS of ranges of lines, and their rows."""
+        head = self.lines.first[self.row[start]]
+        return {
+            "row": self.row[start],
+            "first_line": self.place[start],
+            "lines": stop - start,
+            "words": self.sums[stop] - self.sums[start],
+            "worded": self.worded[stop] - self.worded[start],
+            "words_before": self.sums[start] - self.sums[head],
+            "worded_before": self.worded[start] - self.worded[head],
+        }
+
+
+def lines_of(block: texts.Block, plan: Chunks) -> Lines:
     lines = block.lines()
-    row, first = lines.row(), lines.first
+    row = lines.row()
     hashes = block.hashes()
     line = hashes.spans(lines.start, lines.end)
     words = block.runs(texts.SPACE)
     n_words = np.diff(np.searchsorted(words.start, np.append(lines.start, len(block.data))))
-    place = np.arange(len(lines)) - first[row]
+    place = np.arange(len(lines)) - lines.first[row]
     rolled = line.copy()
     for k in range(1, plan.window):
         rolled[k:] = rolled[k:] + np.where(place[k:] >= k, line[:-k], 0).astype(np.uint64) * texts.U((2 * k + 1) ** 9)
     cut_after = (texts.mix(rolled) & texts.U(plan.mask)) == 0
-    own = n_words >= plan.own_words
+    sums = np.concatenate(([0], np.cumsum(n_words)))
+    worded = np.concatenate(([0], np.cumsum(n_words > 0)))
+    return Lines(lines, row, place, hashes, line, n_words, cut_after, n_words >= plan.own_words, sums, worded)
+
+
+def chunk(block: texts.Block, plan: Chunks, read: Lines | None = None) -> dict[str, np.ndarray]:
+    """Row, COUNTS and hash of every chunk."""
+    read = read or lines_of(block, plan)
+    lines, line, cut_after, own = read.lines, read.line, read.cut_after, read.own
     cut = np.ones(len(lines) + 1, bool)  # a chunk begins here
     cut[1:-1] = cut_after[:-1] | own[:-1] | own[1:]
     # A line that the hash picks is a chunk of its own too.
     cut[:-1] |= cut_after
-    cut[first] = True
+    cut[lines.first] = True
     starts = np.flatnonzero(cut)[:-1]
     run = np.repeat(starts, np.diff(np.append(starts, len(lines))))
     cut[:-1] |= (np.arange(len(lines)) - run) % plan.most_lines == 0
     starts = np.flatnonzero(cut)
     start, stop = starts[:-1], starts[1:]
-    stop_byte = lines.end[stop - 1]
-    sums = np.concatenate(([0], np.cumsum(n_words)))
-    worded = np.concatenate(([0], np.cumsum(n_words > 0)))
-    once = hashes.spans(lines.start[start], stop_byte)
+    once = read.hashes.spans(lines.start[start], lines.end[stop - 1])
     mixed = np.zeros(len(lines) + 1, np.uint64)
     np.cumsum(texts.salted(line, 5) * (2 * (np.arange(len(lines)) - run) + 1).astype(np.uint64), out=mixed[1:])
-    return {
-        "row": row[start],
-        "first_line": place[start],
-        "lines": stop - start,
-        "words": sums[stop] - sums[start],
-        "worded": worded[stop] - worded[start],
-        "words_before": sums[start] - sums[first[row[start]]],
-        "hash": texts.mix(once ^ texts.mix(mixed[stop] - mixed[start])),
-    }
+    return read.fields(start, stop) | {"hash": texts.mix(once ^ texts.mix(mixed[stop] - mixed[start]))}
+
+
+def edges(read: Lines, plan: Chunks) -> dict[str, np.ndarray]:
+    """Row, COUNTS and hash of the ranges by which a passage can end within a chunk.
+
+    A chunk of several short lines may lie half in a repeated passage. Lines of many words
+    and lines that the hash picks are alone in every text; the others, here loose lines,
+    lie between them. So each line that is alone gives the loose lines next to it, one more
+    at a time up to `min_words` words, with its own hash in theirs; and where loose lines
+    alone have so many words, the shortest such range from and up to each of them counts.
+    Lines without words are passed over."""
+    at = np.flatnonzero(read.n_words > 0)
+    row, total = read.row[at], read.sums[at]
+    total = np.append(total, read.sums[-1])  # words before each line with words
+    loose = ~(read.own | read.cut_after)[at]
+    begins = np.ones(len(at), bool)
+    begins[1:] = (row[1:] != row[:-1]) | ~loose[1:] | ~loose[:-1]
+    run = np.cumsum(begins)
+    found: list[tuple[np.ndarray, ...]] = []  # first and last line of a range, and salt
+    for way in (1, -1):
+        alone = np.flatnonzero(~loose)
+        here = alone
+        while len(alone):
+            here = here + way
+            inside = (here >= 0) & (here < len(at))
+            alone, here = alone[inside], here[inside]
+            inside = loose[here] & (row[here] == row[alone])
+            alone, here = alone[inside], here[inside]
+            near = alone + way
+            low, high = np.minimum(near, here), np.maximum(near, here)
+            found.append((low, high, texts.salted(read.line[at[alone]], 2 + way)))
+            more = total[high + 1] - total[low] < plan.min_words
+            alone, here = alone[more], here[more]
+    each = np.flatnonzero(loose)
+    high = np.maximum(np.searchsorted(total, total[each] + plan.min_words) - 1, each + 1)
+    low = np.minimum(np.searchsorted(total, total[each + 1] - plan.min_words, "right") - 1, each - 1)
+    for low, high in ((each, high), (low, each)):
+        inside = (low >= 0) & (high < len(at))
+        low, high = low[inside], high[inside]
+        inside = run[low] == run[high]
+        low, high = low[inside], high[inside]
+        found.append((low, high, np.full(len(low), 7, np.uint64)))
+    low, high, salt = (np.concatenate(x) for x in zip(*found))
+    start, stop = at[low], at[high] + 1
+    hashes = read.hashes.spans(read.lines.start[start], read.lines.end[stop - 1])
+    return read.fields(start, stop) | {"hash": texts.mix(hashes ^ texts.mix(salt + texts.STEP))}
 
 
 def tables(docs: DataFrame, plan: Chunks) -> DataFrame:
-    """One row for each document: its key and its chunks that have a word."""
+    """One row for each document: its key, its chunks that have a word and their edges."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in texts.blocks(texts.column(batch, "text")):
-                found = chunk(block, plan)
-                used = found["words"] > 0
+                read = lines_of(block, plan)
+                found, more = chunk(block, plan, read), edges(read, plan)
+                found = {name: np.concatenate((found[name], more[name])) for name in found}
+                used = np.argsort(found["row"], kind="stable")
+                used = used[found["words"][used] > 0]
                 cuts = np.searchsorted(found["row"][used], np.arange(block.rows + 1)).astype(np.int32)
                 parts = [
                     pa.array(found[name][used].astype(np.int32)) for name in COUNTS
@@ -162,18 +237,18 @@ def removals(docs: DataFrame, plan: Chunks = Chunks(), cut=None) -> DataFrame:
 def joined(found: list[dict], plan: Chunks) -> list[dict]:
     """Join neighbouring repeats of one document and keep the passages that are long enough.
 
-    Repeats with no word between them are neighbours, however many blank lines part them."""
+    Repeats that overlap or have no word between them are neighbours, however many blank
+    lines part them."""
     out, passage = [], None
     for c in sorted(found, key=lambda c: c["line"]) + [None]:
-        if passage and (c is None or c["words_before"] != passage["words_before"] + passage["words"]):
+        if passage and (c is None or c["words_before"] > passage["words_before"] + passage["words"]):
             multi = passage["worded"] >= 2 and passage["words"] >= plan.min_words
             if multi or passage["words"] >= plan.min_line_words:
                 out.append({"line": passage["line"], "lines": passage["lines"]})
             passage = None
         if c and passage:
-            passage["lines"] = c["line"] + c["lines"] - passage["line"]
-            for name in ("words", "worded"):
-                passage[name] += c[name]
+            for size, start in (("lines", "line"), ("words", "words_before"), ("worded", "worded_before")):
+                passage[size] = max(passage[size], c[start] + c[size] - passage[start])
         elif c:
             passage = dict(c)
     return out

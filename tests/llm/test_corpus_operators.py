@@ -356,6 +356,22 @@ def test_blank_lines_part_no_passage(spark):
         assert got[k].split() == [*a.split(), *b.split()]
 
 
+def test_short_lines_at_the_edges_of_a_passage(spark):
+    """Passages with short lines at an edge or throughout, always between short lines."""
+    rng = random.Random(18)
+    shapes = [(45, 8), (8, 45), (9,) * 6, (6, 25, 7), (4,) * 20, (9,) * 4]
+    rows, wanted, k = [], {}, 0
+    for shape in shapes * 8:
+        shared = [words(rng, n) for n in shape]
+        for copy in range(3):
+            around = [words(rng, rng.randint(2, 6)) for _ in range(4)]
+            rows.append((k, "\n".join([*around[:2], *shared, *around[2:]])))
+            wanted[k] = "\n".join(around if copy else [*around[:2], *shared, *around[2:]])
+            k += 1
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate(docs_frame(spark, rows)).collect()}
+    assert got == wanted
+
+
 def test_chunks_are_shift_resistant():
     rng = random.Random(1)
     lines = [words(rng, rng.randint(1, 14)) for _ in range(300)]
