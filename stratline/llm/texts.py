@@ -7,8 +7,10 @@ the block (or by one text, where that is longer).
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,28 @@ ALNUM[128:] = 1
 for first, last in ("az", "AZ", "09"):
     ALNUM[ord(first) : ord(last) + 1] = 1
 
+# Scripts without spaces between words: Thai, Lao, Myanmar, Khmer and their neighbours, kana
+# and bopomofo, Han, Yi, and the planes of further Han.
+UNSPACED = (
+    *((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F)),
+    *((0x3005, 0x3007), (0x3021, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF)),
+    *((0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)),
+)
+JOINERS = (0xAD, 0x200C, 0x200D)  # format characters within a word
+
+
+@cache
+def character_kinds() -> np.ndarray:
+    """By code point: 0 parts words, 1 belongs to a word, 2 is a letter of a script without spaces."""
+    kinds = np.ones(0x110000, np.uint8)
+    for code in range(128, 0x20000):
+        kind = unicodedata.category(chr(code))
+        kinds[code] = kind[0] in "LMN" or kind in ("Cn", "Co") or code in JOINERS
+    for first, last in UNSPACED:
+        kinds[first : last + 1] *= 2
+    return kinds
+
+
 ROOT = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 STEP = U(0xD1342543DE82EF95)
 
@@ -105,6 +129,37 @@ class Block:
         start, end = start[used], end[used]
         return Tokens(start, end, kind[used], np.searchsorted(start, self.bounds))
 
+    def units(self) -> "Tokens":
+        """Words (kind 1), and single letters of scripts without spaces (kind 2). Letters and
+        digits make words; punctuation and signs of any script part them."""
+        lead = np.flatnonzero(self.data >= 0xC0)
+        if not len(lead):
+            return self.runs(ALNUM)
+        n = len(self.data)
+        first = self.data[lead].astype(np.int64)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = first & (0x7F >> size)
+        for k in range(1, 4):
+            more = np.where(size > k, self.data[np.minimum(lead + k, n - 1)].astype(np.int64) & 0x3F, 0)
+            code = np.where(size > k, code << 6 | more, code)
+        kinds = character_kinds()[np.minimum(code, 0x10FFFF)]
+        odd = kinds != 1
+        lead, size, kinds = lead[odd], size[odd], kinds[odd]
+        kind = ALNUM[self.data]
+        for k in range(4):
+            within = (size > k) & (lead + k < n)
+            kind[lead[within] + k] = kinds[within]
+        edge = np.ones(n + 1, bool)
+        np.not_equal(kind[1:], kind[:-1], out=edge[1:-1])
+        edge[self.bounds] = True
+        edge[lead] = True
+        cuts = np.flatnonzero(edge)
+        start, end = cuts[:-1], cuts[1:]
+        kind = kind[start]
+        used = kind != 0
+        start, end = start[used], end[used]
+        return Tokens(start, end, kind[used], np.searchsorted(start, self.bounds))
+
     def lines(self) -> "Tokens":
         """Parts between line feeds; the feed is not part of a line. Every text has a line."""
         breaks = np.flatnonzero(self.data == 10)

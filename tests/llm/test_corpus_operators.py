@@ -259,6 +259,23 @@ def test_short_copies_among_rarer_benchmark_words(spark):
     assert {(300 + k, k) for k, _ in short} <= found
 
 
+def test_scripts_without_spaces_and_short_items(spark):
+    rng = random.Random(19)
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x5200)) for _ in range(n))
+    thai = lambda n: "".join(chr(rng.randint(0x0E01, 0x0E2E)) for _ in range(n))
+    items = {1: han(70), 2: thai(60), 3: f"「{han(12)}」、{han(15)}。", 4: han(5), 5: "Short “Zebra” item", 6: "café — naïve “crème” brûlée, über große straße señor"}
+    rows = [(k, " ".join(rng.choice((han, thai))(rng.randint(5, 80)) + "。" for _ in range(4)) + " " + words(rng, 40)) for k in range(100)]
+    for k, said in items.items():
+        rows.append((200 + k, f"{han(60)}{said}{han(40)} {words(rng, 30)}" if k < 5 else f"{words(rng, 30)}“{said}”—{words(rng, 30)}"))
+    rows += [(300, "short item zebra"), (301, "a shorter zebra item"), (302, "Short: zebra; ITEM!")]
+    bench = spark.createDataFrame([*items.items(), (7, "。、“”"), (8, "")], "item_id bigint, text string")
+    docs = docs_frame(spark, rows)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
+    assert found == {(200 + k, k) for k in items} | {(302, 5)}
+    alone = decontaminate.leaks(docs, bench.where("item_id in (4, 5)")).collect()
+    assert {(r.doc_id, r.item_id) for r in alone} == {(204, 4), (205, 5), (302, 5)}
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
