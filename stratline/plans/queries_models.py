@@ -248,7 +248,8 @@ def sequence_line(spark, sf):
 
 @query()
 def panel_analysis(spark, sf):
-    """The whole job on the survey extract: metrics, cross-validation, sequence metrics."""
+    """All stages on the survey extract with linear and logistic models only: metrics and
+    sequence metrics, no tree models and no cross-validation (README, Open)."""
     settings = SMALL.override(
         regressors={"random_forest": None, "gradient_boosting": None, "xgboost": None},
         classifiers={"random_forest": None, "gradient_boosting": None, "xgboost": None},
