@@ -12,6 +12,7 @@ from stratline.llm import (
     line_dedup,
     near_dup,
     packing,
+    pii,
     quality,
     repetition,
     secrets,
@@ -94,6 +95,11 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
