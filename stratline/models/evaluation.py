@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratline.models.training import Fitted, fit_classifiers, fit_regressors, score
+from stratline.models.training import (
+    BOOSTED,
+    Fitted,
+    boost,
+    fit_classifiers,
+    fit_regressors,
+    score,
+    training_facts,
+)
 from stratline.operators import metrics
 from stratline.operators.encode import Cut, no_cut
 from stratline.operators.ordering import attach, hold_small, running_totals
@@ -111,11 +120,20 @@ def group_cv(
     rows = df.where(F.col(target).isNotNull())
     folds = hold_small(group_folds(rows, group, settings.cv_folds))
     rows = attach(rows, folds, [group]).persist()
+    kind = "regressors" if track == "regression" else "classifiers"
     fit = fit_regressors if track == "regression" else fit_classifiers
+    configs = getattr(settings, kind)
+    others = replace(settings, **{kind: {n: c for n, c in configs.items() if n not in BOOSTED}})
     scored = []
     try:
-        for fold in range(1, settings.cv_folds + 1):
-            models = fit(rows.where(F.col("fold") != fold), features, target, settings)
+        numbers = range(1, settings.cv_folds + 1)
+        facts = training_facts(rows, features, target)
+        # The ensembles of all folds grow in step.
+        boosted = boost(rows, features, target, configs, settings, track, facts, "fold", numbers)
+        for fold in numbers:
+            models = {n: m for (n, k), m in boosted.items() if k == fold}
+            if getattr(others, kind):
+                models |= fit(rows.where(F.col("fold") != fold), features, target, others)
             scored.append(score(rows.where(F.col("fold") == fold), models, target, keep=["fold"]))
         pred = reduce(DataFrame.unionByName, scored)
         by = ["model", "fold"]

@@ -1,4 +1,4 @@
-"""Fitting the configured regressors and classifiers with Spark ML.
+"""Fitting the configured regressors and classifiers with Spark ML, boosted ones in step.
 
 Penalties are converted so that linear models equal the usual closed forms on features
 standardised with the population standard deviation:
@@ -19,11 +19,7 @@ from math import ceil, sqrt
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
     StandardScaler,
     StandardScalerModel,
@@ -31,10 +27,12 @@ from pyspark.ml.feature import (
     VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 from pyspark.util import inheritable_thread_target
 
+from stratline.models import boosting
+from stratline.models.trees import Plan
 from stratline.settings import Settings
 from stratline.sources import sinks
 
@@ -42,6 +40,8 @@ log = logging.getLogger(__name__)
 
 # VECTOR holds all features; INPUT what a linear model makes of them first.
 VECTOR, INPUT, LABEL, WEIGHT = "__features", "__input", "__label", "__weight"
+# The job that grows all boosted models.
+BOOST = "__boost"
 
 
 ROWS_PER_TASK = 10_000
@@ -134,20 +134,6 @@ def _forest(params, facts, seed, kind):
     ]
 
 
-def _boosting(params, facts, seed, kind, subsample=1.0):
-    extra = {"weightCol": "__pos_weight"} if "scale_pos_weight" in params else {}
-    return [
-        kind(
-            maxIter=params.get("n_estimators", 200),
-            maxDepth=params.get("max_depth", 4),
-            stepSize=params.get("learning_rate", 0.05),
-            subsamplingRate=params.get("subsample", subsample),
-            **extra,
-            **_tree_params(params, seed),
-        )
-    ]
-
-
 def _logistic(params, facts, seed):
     n = max(facts.n_rows, 1)
     return [
@@ -169,15 +155,16 @@ REGRESSOR_STAGES: dict[str, Callable] = {
     "ridge": partial(_linear, alpha=1.0),
     "lasso": partial(_linear, alpha=0.1, l1=True),
     "random_forest": partial(_forest, kind=RandomForestRegressor),
-    "gradient_boosting": partial(_boosting, kind=GBTRegressor),
-    # Stands in for the XGBoost library: boosting on row samples.
-    "xgboost": partial(_boosting, kind=GBTRegressor, subsample=0.8),
 }
 CLASSIFIER_STAGES: dict[str, Callable] = {
     "logistic_regression": _logistic,
     "random_forest": partial(_forest, kind=RandomForestClassifier),
-    "gradient_boosting": partial(_boosting, kind=GBTClassifier),
-    "xgboost": partial(_boosting, kind=GBTClassifier, subsample=0.8),
+}
+# Boosted models and what differs between them unless a model's parameters say otherwise: the
+# second adds a penalty on leaf values and draws rows for every tree.
+BOOSTED = {
+    "gradient_boosting": {"l2": 0.0, "least": 1e-3},
+    "xgboost": {"l2": 1.0, "least": 1.0, "subsample": 0.8},
 }
 
 
@@ -190,12 +177,52 @@ def training_facts(df: DataFrame, features: Sequence[str], label: str) -> Facts:
     return Facts(row["n"], row["sd"], {c: row[f"f{i}"] for i, c in enumerate(features)})
 
 
+def boost_plan(name: str, params: Mapping, settings: Settings, track: str, fold: int | None) -> Plan:
+    usual = BOOSTED[name]
+    return Plan(
+        trees=params.get("n_estimators", 200),
+        depth=params.get("max_depth", 4),
+        rate=params.get("learning_rate", 0.05),
+        l2=params.get("reg_lambda", usual["l2"]),
+        least=params.get("min_child_weight", usual["least"]),
+        subsample=params.get("subsample", usual.get("subsample", 1.0)),
+        positive_weight=float(params.get("scale_pos_weight", 1)),
+        logistic=track == "classification",
+        seed=settings.random_state,
+        without_fold=fold,
+    )
+
+
+def boost(
+    rows: DataFrame,
+    features: Sequence[str],
+    label: str,
+    configs: Mapping[str, Mapping],
+    settings: Settings,
+    track: str,
+    facts: Facts,
+    fold: str | None = None,
+    folds: Sequence[int | None] = (None,),
+) -> dict[tuple[str, int | None], Fitted]:
+    """The boosted models among `configs`, one for each fold left out, all grown in step."""
+    keys = [(name, k) for name in configs if name in BOOSTED for k in folds]
+    if not keys:
+        return {}
+    plans = [boost_plan(name, configs[name], settings, track, k) for name, k in keys]
+    cut = sinks.table_cut(rows.sparkSession)
+    cuts, ensembles = boosting.grow(rows, features, label, plans, cut, fold=fold)
+    kind = boosting.BoostedRegression if track == "regression" else boosting.BoostedClassification
+    vectorise = assembler(features)
+    return {
+        key: Fitted(key[0], PipelineModel([vectorise, kind(cuts, e, featuresCol=VECTOR)]), facts)
+        for key, e in zip(keys, ensembles)
+    }
+
+
 def _fit(train, features, label, configs, stages, settings, track, folder) -> dict[str, Fitted]:
-    unknown = sorted(set(configs) - set(stages))
+    unknown = sorted(set(configs) - set(stages) - set(BOOSTED))
     if unknown:
         raise ValueError(f"unknown {track} models: {unknown}")
-    if train.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        sinks.checkpoint_dir(train.sparkSession)  # long boosting runs cut their lineage there
     # Every model passes over these columns many times; vectors are put together on the way.
     rows = train.where(F.col(label).isNotNull())
     rows = rows.select(
@@ -204,35 +231,37 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
     ).persist()
     facts = training_facts(rows, features, LABEL)
     vectorise = assembler(features)
-    # Boosting runs several short jobs per tree: few rows should not be many tasks. More
-    # partitions than there are stay as they are.
-    base = vectorise.transform(rows.coalesce(max(1, ceil(facts.n_rows / ROWS_PER_TASK))))
+    # Few rows should not be many tasks. More partitions than there are stay as they are.
+    held = rows.coalesce(max(1, ceil(facts.n_rows / ROWS_PER_TASK)))
+    base = vectorise.transform(held)
     if track == "classification":
         base = balanced_weights(base, LABEL, WEIGHT)
 
-    def fit_one(name: str) -> Fitted:
+    def fit_one(name: str) -> list[Fitted]:
+        if name == BOOST:
+            return list(boost(held, features, LABEL, configs, settings, track, facts).values())
         params, data, done = configs[name], base, [vectorise]
-        if "scale_pos_weight" in params:
-            heavy = F.when(F.col(LABEL) == 1, float(params["scale_pos_weight"])).otherwise(1.0)
-            data = data.withColumn("__pos_weight", heavy)
         for stage in stages[name](params, facts, settings.random_state):
             if hasattr(stage, "fit"):
                 stage = stage.fit(data)
             data = stage.transform(data)
             done.append(stage)
-        fitted = Fitted(name, PipelineModel(done), facts)
-        log.info("fitted %s %s on %d rows", track, name, facts.n_rows)
-        if folder:
-            sinks.save_model(fitted.model, folder, track, name)
-        return fitted
+        return [Fitted(name, PipelineModel(done), facts)]
 
+    jobs = [name for name in configs if name not in BOOSTED]
+    jobs += [BOOST] if len(jobs) < len(configs) else []
     try:
         # Independent fits share the cached rows; one alone seldom fills a cluster.
-        with ThreadPool(max(1, min(settings.parallel_fits, len(configs)))) as pool:
-            done = pool.map(inheritable_thread_target(train.sparkSession)(fit_one), list(configs))
-        return {fitted.name: fitted for fitted in done}
+        with ThreadPool(max(1, min(settings.parallel_fits, len(jobs)))) as pool:
+            done = pool.map(inheritable_thread_target(train.sparkSession)(fit_one), jobs)
     finally:
         rows.unpersist()
+    fitted = {f.name: f for group in done for f in group}
+    for name, f in fitted.items():
+        log.info("fitted %s %s on %d rows", track, name, facts.n_rows)
+        if folder:
+            sinks.save_model(f.model, folder, track, name)
+    return {name: fitted[name] for name in configs}
 
 
 def fit_regressors(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratline.functions import lookups
 from stratline.functions.parsing import strip, to_double, to_year
-from stratline.operators.ordering import SMALL_ROWS, attach, hold_small, running_totals
+from stratline.operators.ordering import attach, hold_small, running_totals
 from stratline.operators.rows import count_by, distinct_rows
 from stratline.settings import Settings
 
@@ -62,60 +62,52 @@ def collapse_rare(
 
 
 def category_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct known categories of all columns as (column_name, category), in one pass."""
+    """Known categories of all columns as (column_name, category, n), in one pass."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("category")) for c in columns]
     )
-    return (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.*")
-        .where(F.col("category").isNotNull())
-        .distinct()
-    )
+    each = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("category").isNotNull())
+    return each.groupBy("column_name", "category").agg(F.count(F.lit(1)).alias("n"))
 
 
 def category_index(cells: DataFrame) -> DataFrame:
-    """Dictionary (column_name, category, code): 0-based position in sorted order."""
-    ranked = running_totals(
-        cells.withColumn("n", F.lit(1)), "category", ["n"], by=["column_name"], few_groups=True
-    )
-    return ranked.select("column_name", "category", F.col("n_before").cast("int").alias("code"))
+    """Dictionary (column_name, category, code, n): 0-based position in sorted order, rows."""
+    ones = cells.withColumn("one", F.lit(1))
+    ranked = running_totals(ones, "category", ["one"], by=["column_name"], few_groups=True)
+    return ranked.select("column_name", "category", F.col("one_before").cast("int").alias("code"), "n")
 
 
 def label_encode(
-    df: DataFrame, columns: Sequence[str], cut: Cut = no_cut, small: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], cut: Cut = no_cut, share: int = 1000
 ) -> DataFrame:
     """Adds <column>_enc for each present column; NULL stays NULL.
 
-    A dictionary of up to `small` categories is numbered on the driver and broadcast;
-    fetching one row more than that tells. A larger one is numbered and joined by Spark.
+    Categories that hold more than 1 / share of a column's rows, fewer than `share` for each
+    column, are looked up by broadcast. The rest are joined; rows that have nothing to find
+    there are dealt out evenly, so that no category and no NULL fills a task.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    cells = category_cells(df, columns)
-    head = cells.limit(small + 1).collect()
-    if len(head) <= small:
-        tables = {}
-        for c in columns:
-            found = sorted(row["category"] for row in head if row["column_name"] == c)
-            kind = df.schema[c].dataType.simpleString()
-            tables[c] = F.broadcast(
-                df.sparkSession.createDataFrame(
-                    list(zip(found, range(len(found)))), f"__category {kind}, `{c}_enc` int"
-                )
-            )
-    else:
-        codes = cut(category_index(cells), "codes")
-        tables = {
-            c: codes.where(F.col("column_name") == c).select(
-                F.col("category").alias("__category"), F.col("code").alias(f"{c}_enc")
-            )
-            for c in columns
-        }
+    codes = cut(category_index(category_cells(df, columns)), "codes")
+    totals = codes.groupBy("column_name").agg(F.sum("n").alias("rows"))  # one row a column
+    codes = codes.join(F.broadcast(totals), "column_name")
     out = df
-    for c, codes in tables.items():
-        out = out.join(codes, out[c] == codes["__category"], "left").drop("__category")
+    for c in columns:
+        own = codes.where(F.col("column_name") == c)
+        often = F.col("n") * share > F.col("rows")
+        heavy = own.where(often).select(F.col("category").alias("__a"), F.col("code").alias("__x"))
+        light = own.where(~often).select(
+            F.col("category").alias("__b"), F.col("code").alias("__y"), F.lit(0).cast("bigint").alias("__z")
+        )
+        out = out.join(F.broadcast(heavy), out[c] == heavy["__a"], "left")
+        left = F.when(F.col("__x").isNull(), F.col(c))
+        out = out.withColumn("__left", left).withColumn(
+            "__salt", F.when(left.isNull(), F.monotonically_increasing_id()).otherwise(0)
+        )
+        out = out.join(light, (out["__left"] == light["__b"]) & (out["__salt"] == light["__z"]), "left")
+        out = out.withColumn(f"{c}_enc", F.coalesce("__x", "__y"))
+        out = out.drop("__a", "__x", "__b", "__y", "__z", "__left", "__salt")
     return out
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratline.operators.ordering import running_totals, split_points
+from stratline.operators.ordering import running_totals
 
 REGRESSION = ["mae", "mse", "rmse", "r2"]
 CLASSIFICATION = ["accuracy", "precision", "recall", "f1"]
@@ -107,9 +107,8 @@ def _score_steps(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
     return running_totals(
-        cells, score, ["pos", "neg"], by, descending=True,
-        points=split_points(known, score), few_groups=few_groups,
-    )
+        cells, score, ["pos", "neg"], by, descending=True, few_groups=few_groups
+    )
 
 
 def roc_points(

@@ -173,7 +173,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     ).first()
     ranks = {}
     for axis in ("x", "y"):
-        table = average_ranks(both, axis, rows=facts["n"])
+        table = average_ranks(both, axis)
         table = table.select(axis, F.col("avg_rank").alias(f"r_{axis}"))
         ranks[axis] = F.broadcast(table) if facts[axis] <= SMALL_ROWS else table
     middle = F.lit((facts["n"] + 1) / 2)

@@ -111,9 +111,9 @@ def test_impact_runs_what_applies(survey):
     assert set(stats.impact(df.where("stratum_category = 'Total'"))) == {"anova_stratum", "tukey_stratum"}
 
 
-@pytest.mark.parametrize("slice_rows", [1_000_000, 9])
-def test_spearman_with_ties_and_slices(spark, monkeypatch, slice_rows):
-    monkeypatch.setattr(ordering, "SLICE_ROWS", slice_rows)
+@pytest.mark.parametrize("slices", [64, 3])
+def test_spearman_with_ties_and_slices(spark, monkeypatch, slices):
+    monkeypatch.setattr(ordering, "SLICES", slices)
     rng = np.random.default_rng(8)
     pdf = pd.DataFrame({"x": rng.integers(0, 5, 200), "y": rng.integers(0, 30, 200) / 2.0})
     got = stats.spearman(spark.createDataFrame(pdf), "x", "y").first()
@@ -131,9 +131,9 @@ def scored(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.mark.parametrize("slice_rows", [1_000_000, 10])
-def test_auc_counts_ties_as_half(scored, monkeypatch, slice_rows):
-    monkeypatch.setattr(ordering, "SLICE_ROWS", slice_rows)
+@pytest.mark.parametrize("slices", [64, 3])
+def test_auc_counts_ties_as_half(scored, monkeypatch, slices):
+    monkeypatch.setattr(ordering, "SLICES", slices)
     pdf, df = scored
     pos, neg = pdf[pdf.y == 1].score.to_numpy(), pdf[pdf.y == 0].score.to_numpy()
     pairs = pos[:, None] - neg[None, :]

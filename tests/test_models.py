@@ -4,8 +4,11 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from stratline.models import evaluation, explain, sequence, training
+from pyspark.sql import functions as F
+
+from stratline.models import boosting, evaluation, explain, sequence, training
 from stratline.models.evaluation import fold_plan
+from stratline.models.trees import Plan
 from stratline.settings import Settings
 from stratline.sources import sinks
 
@@ -202,8 +205,6 @@ def test_group_cv_summary(data):
 def test_permutation_is_a_permutation_and_finds_the_features(data, monkeypatch):
     _, df = data
     monkeypatch.setattr(explain, "BLOCK_ROWS", 60)
-    from pyspark.sql import functions as F
-
     base = df.select("row", F.array("a", "b", "c").alias("vector"))
     shuffled = explain.permuted_vectors(base, ["row"], 2, 1, base.count()).toPandas()
     for _, part in shuffled.groupby("repeat"):
@@ -229,3 +230,86 @@ def test_sequence_forecast(spark):
     )
     out = sequence.evaluate(pred).where("metric = 'r2'").collect()
     assert {r.split for r in out} == {"val", "test"} and min(r.value for r in out) > 0.98
+
+
+# --- boosting -----------------------------------------------------------------------------
+
+
+def plain_tree(x, g, h, plan, depth):
+    """The value of each row under one tree, by trying every split."""
+    total_g, total_h = g.sum(), h.sum()
+    value = np.full(len(x), -plan.rate * total_g / (total_h + plan.l2))
+    best, at = 1e-9, None
+    for f in range(x.shape[1]):
+        for v in np.unique(x[:, f])[:-1]:
+            left = x[:, f] <= v
+            hl, hr = h[left].sum(), h[~left].sum()
+            if min(hl, hr) >= plan.least:
+                gain = g[left].sum() ** 2 / (hl + plan.l2) + g[~left].sum() ** 2 / (hr + plan.l2) - total_g**2 / (total_h + plan.l2)
+                if gain > best + 1e-9:
+                    best, at = gain, left
+    if depth and at is not None:
+        value[at] = plain_tree(x[at], g[at], h[at], plan, depth - 1)
+        value[~at] = plain_tree(x[~at], g[~at], h[~at], plan, depth - 1)
+    return value
+
+
+def grid_rows(n=300):
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 12, (n, 3)).astype(float)
+    y = x[:, 0] * 2 + (x[:, 1] > 5) * 7 + rng.normal(0, 2, n)
+    return x, y
+
+
+@pytest.mark.parametrize("logistic", [False, True])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_boosting_equals_trying_every_split(spark, logistic, parts):
+    x, y = grid_rows()
+    if logistic:
+        y = (y > 14).astype(float)
+    plan = Plan(trees=4, depth=3, rate=0.3, l2=0.7, least=2.0, logistic=logistic, positive_weight=2.0 if logistic else 1.0)
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y})).repartition(parts)
+    cuts, (ensemble,) = boosting.grow(df, FEATURES, "y", [plan], sinks.table_cut(spark))
+    margin = np.full(len(y), np.log(2 * y.sum() / (1 - y).sum()) if logistic else y.mean())
+    for _ in range(plan.trees):
+        g, h = boosting.slopes(y, margin, plan)
+        margin = margin + plain_tree(x, g, h, plan, plan.depth)
+    got = ensemble.start + ensemble.margins(boosting.binned(x, cuts))
+    assert got == pytest.approx(margin, abs=1e-9)
+
+
+def test_ensembles_in_step_equal_ensembles_alone(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "REFRESH", 2)
+    x, y = grid_rows(200)
+    pdf = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y, "fold": np.arange(200) % 4})
+    df = spark.createDataFrame(pdf).repartition(3)
+    plans = [Plan(trees=5, depth=2, rate=0.2, subsample=0.7), Plan(trees=3, depth=3, without_fold=2), Plan(trees=1, depth=1)]
+    cuts, together = boosting.grow(df, FEATURES, "y", plans, sinks.table_cut(spark), fold="fold")
+    bins = boosting.binned(x, cuts)
+    for plan, e in zip(plans, together):
+        _, (alone,) = boosting.grow(df, FEATURES, "y", [plan], sinks.table_cut(spark), fold="fold")
+        assert e.margins(bins) == pytest.approx(alone.margins(bins), abs=1e-9) and e.start == alone.start
+    kept = df.where("fold <> 2").drop("fold")
+    _, (apart,) = boosting.grow(kept, FEATURES, "y", [Plan(trees=1, depth=1)], sinks.table_cut(spark))
+    assert apart.start == pytest.approx(together[1].start)
+
+
+def test_rows_are_drawn_by_their_values():
+    draw = np.random.default_rng(0).integers(0, 1 << 63, 20_000).astype(np.uint64)
+    plan = Plan(subsample=0.8)
+    first, second = (boosting.drawn(draw, plan, k) for k in (0, 1))
+    assert abs(first.mean() - 0.8) < 0.02 and abs((first & second).mean() - 0.64) < 0.02
+    assert (boosting.drawn(draw[::-1], plan, 0) == first[::-1]).all()
+
+
+def test_boosted_cross_validation_and_missing_values(spark, data):
+    _, df = data
+    settings = Settings(regressors={"gradient_boosting": {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.3}}, cv_folds=3)
+    folds, mean = evaluation.group_cv(df, FEATURES, "y", "place", "regression", settings)
+    assert folds.count() == 6 and mean.where("metric = 'r2'").first()["mean"] > 0.7
+    with_nulls = df.withColumn("a", F.when(F.col("row") % 5 > 0, F.col("a")))
+    cuts, (e,) = boosting.grow(with_nulls, ["a"], "y", [Plan(trees=2, depth=2)], sinks.table_cut(spark))
+    assert np.isfinite(e.margins(boosting.binned(np.array([[np.nan], [5.0]]), cuts))).all()
+    empty = df.where("row < 0")
+    _, (none,) = boosting.grow(empty, FEATURES, "y", [Plan(trees=2, depth=2)], sinks.table_cut(spark))
+    assert none.start == 0 and not none.margins(np.zeros((1, 3), np.uint8)).any()

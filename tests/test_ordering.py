@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from stratline.operators import ordering
 
 
-@pytest.fixture(params=[1_000_000, 7], ids=["one slice", "many slices"])
+@pytest.fixture(params=[64, 5], ids=["many slices", "few slices"])
 def slices(request, monkeypatch):
-    monkeypatch.setattr(ordering, "SLICE_ROWS", request.param)
+    monkeypatch.setattr(ordering, "SLICES", request.param)
+    monkeypatch.setattr(ordering, "FAN", 4)
 
 
 def frame(spark, seed=0, n=300):
@@ -74,7 +75,7 @@ def test_next_in_order_equals_shift(spark, slices):
 
 def test_slice_of_counts_points_at_or_below(spark):
     points = [2, 3, 5, 8, 13]
-    df = spark.range(0, 16).select("id", ordering.slice_of(F.col("id"), points).alias("s"))
+    df = spark.range(0, 16).select("id", ordering.slice_of(F.col("id"), F.array(*map(F.lit, points)), 9).alias("s"))
     for row in df.collect():
         assert row["s"] == sum(p <= row["id"] for p in points)
 
@@ -83,8 +84,7 @@ def test_slice_of_counts_points_at_or_below(spark):
 @given(st.lists(st.one_of(st.integers(-3, 3), st.floats(-1e6, 1e6)), min_size=1, max_size=40))
 def test_median_property(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    points = sorted({float(v) for v in values})[::3]
-    got = ordering.quantiles(df, "v", {"m": 0.5}, points=points).first()["m"]
+    got = ordering.quantiles(df, "v", {"m": 0.5}).first()["m"]
     assert got == pytest.approx(float(np.median(values)), rel=1e-12, abs=1e-9)
 
 
@@ -109,7 +109,7 @@ def test_operators_on_many_slices_agree_with_one(spark, monkeypatch):
         "box": lambda: eda.box_plot(df, "g", "v"),
         "outliers": lambda: eda.box_outliers(df, "g", "v"),
         "describe": lambda: eda.describe(df, "v"),
-        "codes": lambda: encode.label_encode(df, ["g"], small=1),
+        "codes": lambda: encode.label_encode(df, ["g"], share=2),
         "roc": lambda: metrics.roc_points(df, ["g"], score="v", few_groups=True),
         "auc": lambda: metrics.roc_auc(df, ["g"], score="v"),
     }
@@ -117,9 +117,35 @@ def test_operators_on_many_slices_agree_with_one(spark, monkeypatch):
     def results():
         return {name: sorted(map(repr, job().collect())) for name, job in jobs.items()}
 
-    one = results()
-    monkeypatch.setattr(ordering, "SLICE_ROWS", 6)
-    assert results() == one
-    # Too many wanted slices to fetch: the quantiles take the general way.
+    many = results()
+    monkeypatch.setattr(ordering, "SLICES", 3)
+    monkeypatch.setattr(ordering, "FAN", 1)
+    assert results() == many
+    # Too many groups to fetch: brackets are joined the general way.
     monkeypatch.setattr(ordering, "SMALL_ROWS", 1)
-    assert results() == one
+    assert results() == many
+
+
+@pytest.mark.parametrize("kind", ["unique", "tied", "hot"])
+def test_brackets_hold_few_values(spark, kind):
+    """Above WHOLE rows only a sliver is ordered, and the answer stays exact."""
+    n = 200_000
+    rng = np.random.default_rng(1)
+    v = {"unique": rng.normal(size=n), "tied": rng.integers(0, 50, n).astype(float), "hot": np.where(rng.random(n) < 0.4, 7.0, rng.normal(6, 3, n))}[kind]
+    df = spark.createDataFrame(pd.DataFrame({"v": v}))
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9371, "e": 1.0}
+    cells = ordering.bracket_cells(df, "v", probs, [], False).where("v is not null")
+    sizes = {r["i"]: r["count"] for r in cells.groupBy("i").count().collect()}
+    print(kind, "values ordered of", n, sizes)
+    assert set(sizes) == set(range(5)) and max(sizes.values()) <= 0.003 * n
+    got = ordering.quantiles(df, "v", probs).first()
+    assert [got[c] for c in probs] == pytest.approx(list(np.percentile(v, [100 * p for p in probs.values()])), abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 1999, 2000, 2001, 5000])
+def test_quantiles_around_the_width_of_a_bracket(spark, n):
+    v = np.random.default_rng(n).permutation(n).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"v": v})).repartition(8)
+    probs = {f"p{k}": p for k, p in enumerate([0.0, 0.0004, 0.1, 0.333, 0.5, 0.9, 0.9995, 1.0])}
+    got = ordering.quantiles(df, "v", probs).first()
+    assert [got[c] for c in probs] == pytest.approx(list(np.percentile(v, [100 * p for p in probs.values()])), abs=1e-9)

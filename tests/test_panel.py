@@ -16,12 +16,12 @@ def sample(spark):
     none = None
     return spark.createDataFrame(
         [
-            ("2015", "PA", "30.5", "28.0", "33.0", "Income", "$25,000 - $34,999", "$25,000 - $34,999", "Male"),
-            ("2016", "PA", "31.2", "29.0", "33.5", " Income ", "$50,000 - $74,999", "$50,000 - $74,999", "Female"),
-            ("2017", "NY", "N/A", none, none, "Age(years)", "25-44", none, none),
-            ("2018", "NY", "29.8", "27.5", "32.0", "Age(years)", "  45-64 ", none, none),
-            ("2019", "TX", "35.1", "33.0", "37.0", none, none, none, none),
-            ("2020", "TX", "36.0", "34.0", "38.5", "Total", "Total", none, none),
+            ("2015", "OH", "12.5", "11.0", "14.0", "Income", "$15,000 - $24,999", "$15,000 - $24,999", "Male"),
+            ("2016", "OH", "13.7", "12.1", "15.2", " Income ", "$35,000 - $49,999", "$35,000 - $49,999", "Female"),
+            ("2017", "UT", "N/A", none, none, "Age(years)", "18-24", none, none),
+            ("2018", "UT", "21.4", "20.0", "22.9", "Age(years)", "  55-64 ", none, none),
+            ("2019", "ME", "44.1", "42.3", "45.8", none, none, none, none),
+            ("2020", "ME", "45.0", "43.1", "47.2", "Total", "Total", none, none),
         ],
         "YearStart string, LocationAbbr string, Data_Value string, Low_Confidence_Limit string,"
         "High_Confidence_Limit string, StratificationCategory1 string, Stratification1 string,"
@@ -32,8 +32,8 @@ def sample(spark):
 @pytest.fixture
 def two_states(spark):
     rows = [
-        (s, y, "Total", "Total", "Total", "Total", 28.0 + 1.5 * (y - 2014) + (3.0 if s == "NY" else 0.0), 32.0, 26.0)
-        for s in ("PA", "NY")
+        (s, y, "Total", "Total", "Total", "Total", 20.0 + 3.0 * (y - 2014) + (6.0 if s == "OR" else 0.0), 45.0, 40.0)
+        for s in ("GA", "OR")
         for y in range(2014, 2019)
     ]
     return spark.createDataFrame(
@@ -57,7 +57,7 @@ def test_numbers_are_coerced(sample):
 def test_strata_are_trimmed_and_defaulted(sample, spark):
     out = {r["YearStart"]: r for r in encode.standard_strata(sample).collect()}
     assert out["2016"]["stratum_category"] == "Income"
-    assert out["2018"]["stratum_value"] == "45-64"
+    assert out["2018"]["stratum_value"] == "55-64"
     assert out["2019"]["stratum_category"] == out["2019"]["stratum_value"] == "Total"
     bare = encode.standard_strata(spark.createDataFrame([(2018,)], "YearStart int")).first()
     assert bare["stratum_category"] == bare["stratum_value"] == "Total"
@@ -66,8 +66,8 @@ def test_strata_are_trimmed_and_defaulted(sample, spark):
 def test_clean_encodes(sample):
     out = encode.clean(sample, Settings(min_stratum_rows=1)).toPandas().set_index("YearStart")
     assert len(out) == 5
-    assert out["LocationAbbr_enc"].to_dict() == {2015: 1, 2016: 1, 2018: 0, 2019: 2, 2020: 2}
-    assert out.loc[2015, "region"] == "Northeast" and out.loc[2020, "region"] == "South"
+    assert out["LocationAbbr_enc"].to_dict() == {2015: 1, 2016: 1, 2018: 2, 2019: 0, 2020: 0}
+    assert out.loc[2015, "region"] == "Midwest" and out.loc[2020, "region"] == "Northeast"
     assert out.loc[2015, "income_enc"] < out.loc[2016, "income_enc"]
     assert out.loc[2015, "gender_enc"] == 0 and out.loc[2016, "gender_enc"] == 1
     assert out["income_enc"].isna().sum() == 3
@@ -79,10 +79,10 @@ def test_rare_values_collapse(spark):
     assert {r["v"]: r["count"] for r in out} == {"a": 3, "Other": 1, "c": 2, None: 1}
 
 
-@pytest.mark.parametrize("small", [100, 1])
-def test_label_encoding_small_and_large(spark, small):
+@pytest.mark.parametrize("share", [1000, 2])
+def test_label_encoding_often_and_seldom(spark, share):
     df = spark.createDataFrame([("b", "x"), ("a", None), (None, "x"), ("c", "w"), ("b", "w")], "p string, q string")
-    out = encode.label_encode(df, ["p", "q", "absent"], small=small).toPandas()
+    out = encode.label_encode(df, ["p", "q", "absent"], share=share).toPandas()
     codes = {(r.p, r.q): (r.p_enc, r.q_enc) for r in out.astype(object).where(out.notna(), None).itertuples()}
     assert codes == {
         ("b", "x"): (1, 1), ("a", None): (0, None), (None, "x"): (None, 1), ("c", "w"): (2, 0), ("b", "w"): (1, 0),
@@ -95,27 +95,27 @@ def test_label_encoding_small_and_large(spark, small):
 def test_year_scale(two_states):
     out = panel.year_scale(two_states).toPandas()
     assert out["year_normalized"].min() == 0 and out["year_normalized"].max() == 1
-    pa = out[out.LocationAbbr == "PA"].sort_values("YearStart")["year_normalized"]
+    pa = out[out.LocationAbbr == "GA"].sort_values("YearStart")["year_normalized"]
     assert (pa.diff().dropna() > 0).all()
     one = panel.year_scale(two_states.where("YearStart = 2015")).first()
     assert one["year_normalized"] == 0
 
 
 def test_ci_width(two_states):
-    assert {r[0] for r in panel.ci_width(two_states).select("ci_width").collect()} == {6.0}
+    assert {r[0] for r in panel.ci_width(two_states).select("ci_width").collect()} == {5.0}
     assert panel.ci_width(two_states.drop("Low_Confidence_Limit")).first()["ci_width"] is None
 
 
 @pytest.mark.parametrize("unique", [True, False])
 def test_lags(two_states, unique):
     out = panel.lag_features(two_states, Settings(), unique).toPandas().set_index(["LocationAbbr", "YearStart"])
-    assert np.isnan(out.loc[("PA", 2014), "lag_1"]) and np.isnan(out.loc[("NY", 2014), "lag_1"])
-    assert out.loc[("PA", 2015), "lag_1"] == 28.0
-    assert out.loc[("PA", 2016), "lag_2"] == 28.0
-    assert out.loc[("PA", 2015), "rolling_mean_3"] == 28.0
-    assert out.loc[("PA", 2016), "rolling_mean_3"] == 28.75
-    assert out.loc[("PA", 2016), "trend_1yr"] == 1.5
-    assert np.isnan(out.loc[("PA", 2015), "trend_1yr"])
+    assert np.isnan(out.loc[("GA", 2014), "lag_1"]) and np.isnan(out.loc[("OR", 2014), "lag_1"])
+    assert out.loc[("GA", 2015), "lag_1"] == 20.0
+    assert out.loc[("GA", 2016), "lag_2"] == 20.0
+    assert out.loc[("GA", 2015), "rolling_mean_3"] == 20.0
+    assert out.loc[("GA", 2016), "rolling_mean_3"] == 21.5
+    assert out.loc[("GA", 2016), "trend_1yr"] == 3.0
+    assert np.isnan(out.loc[("GA", 2015), "trend_1yr"])
 
 
 def test_lag_features_without_a_key(spark):
@@ -156,9 +156,9 @@ def test_copies_of_a_key(spark):
     assert not panel.is_unique(df, ["u", "YearStart"]) and panel.is_unique(df, ["Data_Value"])
 
 
-@pytest.mark.parametrize("slice_rows", [1_000_000, 5])
-def test_early_warning_with_a_hot_unit_equals_shift(spark, monkeypatch, slice_rows):
-    monkeypatch.setattr(ordering, "SLICE_ROWS", slice_rows)
+@pytest.mark.parametrize("slices", [64, 4])
+def test_early_warning_with_a_hot_unit_equals_shift(spark, monkeypatch, slices):
+    monkeypatch.setattr(ordering, "SLICES", slices)
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"u": np.where(rng.random(120) < 0.6, "hot", "b"), "YearStart": rng.integers(2010, 2014, 120)})
     pdf["Data_Value"] = rng.permutation(120).astype(float)
@@ -205,7 +205,7 @@ def test_sequences(spark):
 def test_threshold_sees_training_rows_only(two_states):
     train = F.col("YearStart") <= 2017
     out, meta = targets.build(two_states, train, BOUNDS, unique=True)
-    assert meta.high_risk_threshold == pytest.approx(32.875)
+    assert meta.high_risk_threshold == pytest.approx(29.75)
     assert meta.early_warning_built and meta.n_total_rows == 10
     assert {r[0] for r in out.select("high_risk_obesity").distinct().collect()} == {0, 1}
     assert meta.n_high_risk == out.agg(F.sum("high_risk_obesity")).first()[0]
@@ -220,7 +220,7 @@ def test_early_warning_needs_enough_pairs(two_states, unique):
     train = F.col("YearStart") <= 2017
     out, meta = targets.build(two_states, train, BOUNDS, unique)
     got = {(r["LocationAbbr"], r["YearStart"]): r["early_warning"] for r in out.collect()}
-    assert got[("PA", 2014)] == 0 and got[("PA", 2017)] == 1 and got[("PA", 2018)] is None
+    assert got[("GA", 2014)] == 0 and got[("GA", 2017)] == 1 and got[("GA", 2018)] is None
     assert targets.choose(meta, BOUNDS) == "early_warning"
     few = BOUNDS.override(early_warning_min_pairs=9999)
     out, meta = targets.build(two_states, train, few, unique)
@@ -271,10 +271,10 @@ def test_join_targets_keeps_both_sides_of_one_unit(spark):
         targets.join_targets(left, right.drop("Stratification1"))
 
 
-@pytest.mark.parametrize("slice_rows", [1_000_000, 100])
-def test_a_hot_unit_and_year_is_cut(spark, monkeypatch, slice_rows):
-    monkeypatch.setattr(ordering, "SLICE_ROWS", slice_rows)
-    rows = [("PA", 2015 + (k % 20 == 0), "Pennsylvania", float(k), k % 2) for k in range(2000)]
+@pytest.mark.parametrize("slices", [64, 8])
+def test_a_hot_unit_and_year_is_cut(spark, monkeypatch, slices):
+    monkeypatch.setattr(ordering, "SLICES", slices)
+    rows = [("GA", 2015 + (k % 20 == 0), "Pennsylvania", float(k), k % 2) for k in range(2000)]
     df = spark.createDataFrame(rows, "LocationAbbr string, YearStart int, LocationDesc string, v double, high_risk_obesity int")
     out = targets.early_warning(df, ["LocationAbbr"])
     assert out.columns == [*df.columns, "early_warning"]
@@ -283,9 +283,9 @@ def test_a_hot_unit_and_year_is_cut(spark, monkeypatch, slice_rows):
     for row, after in zip(hashed, [*hashed[1:], None]):
         expected = after["high_risk_obesity"] if after and not row["high_risk_obesity"] else None
         assert got[row["v"]] == expected
-    points = ordering.split_points(df.withColumn("h", F.xxhash64("LocationDesc", "v", "high_risk_obesity")), "h")
-    sliced = df.withColumn("s", ordering.slice_of(F.xxhash64("LocationDesc", "v", "high_risk_obesity"), points))
-    assert sliced.groupBy("YearStart", "s").count().agg(F.max("count")).first()[0] <= 4 * slice_rows
+    hashes = df.withColumn("h", F.xxhash64("LocationDesc", "v", "high_risk_obesity"))
+    largest = ordering.sliced(hashes, "h").groupBy("YearStart", "__slice").count().agg(F.max("count")).first()[0]
+    assert largest <= 8 * 2000 / slices
 
 
 def test_join_targets_keeps_one_row_per_key(spark):
