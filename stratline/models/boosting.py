@@ -5,7 +5,8 @@ Every level of a tree is one aggregate: the sums of gradient and hessian for eac
 feature, bin). What reaches the driver does not depend on the number of rows; it picks the
 split of each node by gain G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2) - G^2 / (H + l2) and the
 leaf value -G / (H + l2), times the rate. Ensembles that are fitted together (models, or the
-folds of a cross-validation) grow in step, so a level of all of them is one pass.
+folds of a cross-validation) grow in step, so a level of all of them is one pass. Rows that
+make one block have nothing to add up between tasks: there every ensemble grows in a task.
 
 Rows are drawn for a tree by a hash of their values and the number of the tree: the draw
 depends on nothing else, and copies of a row are drawn together. Nulls lie below all values.
@@ -39,6 +40,8 @@ Cut = Callable[[DataFrame, str], DataFrame]
 
 # Trees after which the margins of all rows are written anew.
 REFRESH = 16
+# Rows of one block: as many as a task holds without notice (a few MB).
+BLOCK_ROWS = 50_000
 BLOCK_SCHEMA = "bins binary, y binary, draw binary, fold binary, margins binary"
 
 
@@ -129,31 +132,43 @@ def slopes(y: np.ndarray, margin: np.ndarray, plan: Plan) -> tuple[np.ndarray, n
     return weight * (p - y), weight * p * (1 - p)
 
 
-def level_sums(blocks: DataFrame, ensembles: Sequence[Ensemble], first: int, level: int, width: int, bins: int):
-    """(gradient, hessian) as arrays [ensemble, node of the level, feature, bin].
+def add_sums(total, block: Block, base: np.ndarray, margin: np.ndarray, e: Ensemble, level: int, width: int, bins: int):
+    """Add a block's gradient and hessian sums to total[2, nodes * width * bins]. base is the
+    place of each (row, feature) within the sums of a node."""
+    nodes = 2**level
+    at = e.trees[-1].nodes(block.bins, level)
+    used = (at >= nodes - 1) & drawn(block.draw, e.plan, len(e.trees) - 1)
+    if e.plan.without_fold is not None:
+        used &= block.fold != e.plan.without_fold
+    rows = slice(None) if used.all() else np.flatnonzero(used)
+    slope = slopes(block.y[rows], margin[rows], e.plan)
+    cell = ((at[rows] - (nodes - 1)) * (width * bins))[:, None] + base[rows]
+    for out, w in zip(total, slope):
+        out += np.bincount(cell.reshape(-1), np.repeat(w, width), nodes * width * bins)
+
+
+def places(block: Block, width: int, bins: int) -> np.ndarray:
+    return np.arange(width) * bins + block.bins
+
+
+def level_sums(blocks: DataFrame, ensembles: Sequence[Ensemble | None], first: int, level: int, width: int, bins: int):
+    """(gradient, hessian) as arrays [ensemble, node of the level, feature, bin], zero for
+    ensembles that rest.
 
     first is the tree from which on margins are not in the blocks yet; the last tree of each
     ensemble is the one that grows."""
-    nodes = 2**level
-    shape = (len(ensembles), nodes, width, bins)
+    shape = (len(ensembles), 2**level, width, bins)
+    part = 2**level * width * bins
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, int(np.prod(shape))))
-        part = nodes * width * bins
+        total = np.zeros((2, len(ensembles) * part))
         for block, _ in unpacked(batches, width):
+            base = places(block, width, bins)
             for k, e in enumerate(ensembles):
-                growing = e.trees[-1]
-                done = Ensemble(e.plan, 0.0, e.trees[first:-1])
-                at = growing.nodes(block.bins, level)
-                used = (at >= nodes - 1) & drawn(block.draw, e.plan, len(e.trees) - 1)
-                if e.plan.without_fold is not None:
-                    used &= block.fold != e.plan.without_fold
-                rows = np.flatnonzero(used)
-                some = block.bins[rows]
-                g, h = slopes(block.y[rows], e.start + block.margins[k][rows] + done.margins(some), e.plan)
-                cell = ((at[rows] - (nodes - 1))[:, None] * width + np.arange(width)) * bins + some
-                for out, w in zip(total, (g, h)):
-                    out[k * part : (k + 1) * part] += np.bincount(cell.reshape(-1), np.repeat(w, width), part)
+                if e is not None:
+                    done = Ensemble(e.plan, 0.0, e.trees[first:-1])
+                    margin = e.start + block.margins[k] + done.margins(block.bins)
+                    add_sums(total[:, k * part : (k + 1) * part], block, base, margin, e, level, width, bins)
         slot = np.flatnonzero((total != 0).any(0))
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[0][slot]), pa.array(total[1][slot])], names=["slot", "g", "h"])
 
@@ -192,44 +207,96 @@ def starts(rows: DataFrame, label: str, fold: str | None, plans: Sequence[Plan])
     return out
 
 
+def in_step(ensembles: Sequence[Ensemble], sums: Callable, grown: Callable[[int], None]) -> None:
+    """Grow all trees of all ensembles. sums(open, level) gives the sums of a level for the
+    ensembles that grow; grown(number) hears of every finished tree."""
+    for number in range(max(e.plan.trees for e in ensembles)):
+        for e in ensembles:
+            if e.plan.trees > number:
+                e.trees.append(Tree.stump(e.plan.depth))
+        for level in range(max(e.plan.depth for e in ensembles)):
+            open_ = [
+                e if e.plan.trees > number and level < e.plan.depth and can_split(e.trees[-1], level) else None
+                for e in ensembles
+            ]
+            if not any(open_):
+                break
+            g, h = sums(open_, level)
+            for k, e in enumerate(open_):
+                if e is not None:
+                    split(e.trees[-1], level, g[k], h[k], e.plan)
+        grown(number)
+
+
 def grow(
     rows: DataFrame, features: Sequence[str], label: str, plans: Sequence[Plan], cut: Cut, bins: int = 64, fold: str | None = None
 ) -> tuple[list[list[float]], list[Ensemble]]:
-    """Cut points, and an ensemble for every plan, all grown in step."""
+    """Cut points, and an ensemble for every plan."""
     if bins > 256:
         raise ValueError("at most 256 bins")
     width = len(features)
     cuts = cut_points(rows, features, bins - 1)
     ensembles = [Ensemble(p, s) for p, s in zip(plans, starts(rows, label, fold, plans))]
-    blocks = cut(packed(rows, features, label, fold, cuts, len(plans)), "blocks-0").persist()
-    first, turn = 0, 0
+    blocks = cut(packed(rows, features, label, fold, cuts, len(plans)), "blocks-0")
+    if rows.count() <= BLOCK_ROWS:
+        return cuts, grown_in_tasks(blocks, ensembles, width, bins)
+    held, first = blocks.persist(), 0
+
+    def sums(open_: Sequence[Ensemble | None], level: int):
+        return level_sums(held, open_, first, level, width, bins)
+
+    def grown(number: int) -> None:
+        nonlocal held, first
+        if (number + 1) % REFRESH == 0:
+            fresh = cut(refreshed(held, ensembles, first, width), f"blocks-{number + 1}").persist()
+            held.unpersist()
+            held, first = fresh, number + 1
+
     try:
-        for number in range(max(p.trees for p in plans)):
-            growing = [e for e in ensembles if e.plan.trees > number]
-            for e in growing:
-                e.trees.append(Tree.stump(e.plan.depth))
-            for level in range(max(e.plan.depth for e in growing)):
-                open_ = [e if level < e.plan.depth and e.plan.trees > number else None for e in ensembles]
-                if not any(e is not None and can_split(e.trees[-1], level) for e in open_):
-                    break
-                g, h = level_sums(blocks, ensembles_at(open_), first, level, width, bins)
-                for k, e in enumerate(open_):
-                    if e is not None:
-                        split(e.trees[-1], level, g[k], h[k], e.plan)
-            if (number + 1) % REFRESH == 0:
-                turn += 1
-                fresh = cut(refreshed(blocks, ensembles, first, width), f"blocks-{turn}").persist()
-                blocks.unpersist()
-                blocks, first = fresh, number + 1
+        in_step(ensembles, sums, grown)
     finally:
-        blocks.unpersist()
+        held.unpersist()
     return cuts, ensembles
 
 
-def ensembles_at(open_: Sequence[Ensemble | None]) -> list[Ensemble]:
-    """Ensembles in their places; those that rest at this level add no row."""
-    rest = Ensemble(Plan(subsample=0.0), 0.0, [Tree.stump(0)])
-    return [e if e is not None else rest for e in open_]
+def grown_in_tasks(blocks: DataFrame, ensembles: Sequence[Ensemble], width: int, bins: int) -> list[Ensemble]:
+    """The same trees where all rows are one block: its sums are the sums, so each ensemble
+    grows within one task, and ensembles side by side."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        e = ensembles[key[0].as_py()]
+        parts = [block for block, _ in unpacked(table.to_batches(), width)]
+        names = ("bins", "y", "draw", "fold")
+        block = Block(*(np.concatenate([getattr(p, n) for p in parts]) for n in names), np.zeros((0, 0)))
+        base, margin = places(block, width, bins), np.full(len(block.y), e.start)
+
+        def sums(open_: Sequence[Ensemble | None], level: int):
+            total = np.zeros((2, 2**level * width * bins))
+            add_sums(total, block, base, margin, e, level, width, bins)
+            return total.reshape(2, 1, 2**level, width, bins)
+
+        def grown(number: int) -> None:
+            tree = e.trees[-1]
+            margin[:] += tree.value[tree.nodes(block.bins, e.plan.depth)]
+
+        in_step([e], sums, grown)
+        return pa.table({"e": [key[0].as_py()], "trees": [trees_text(e)]})
+
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(len(ensembles) - 1)))
+    each = blocks.select("*", numbers.alias("e")).repartition(len(ensembles), "e")
+    for r in each.groupBy("e").applyInArrow(run, "e bigint, trees string").collect():
+        ensembles[r["e"]].trees.extend(trees_of(r["trees"]))
+    for e in ensembles:  # of no rows at all
+        e.trees.extend(Tree.stump(e.plan.depth) for _ in range(e.plan.trees - len(e.trees)))
+    return list(ensembles)
+
+
+def trees_text(e: Ensemble) -> str:
+    return json.dumps([[t.feature.tolist(), t.bin.tolist(), t.value.tolist(), t.gain.tolist()] for t in e.trees])
+
+
+def trees_of(text: str) -> list[Tree]:
+    return [Tree(np.array(f, int), np.array(b, int), np.array(v), np.array(g)) for f, b, v, g in json.loads(text)]
 
 
 # --- Spark ML stages --------------------------------------------------------------------
@@ -243,14 +310,13 @@ class _Boosted(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsWritable, D
     def __init__(self, cuts=None, ensemble: Ensemble | None = None, **columns):
         super().__init__()
         if ensemble is not None:
-            trees = [[t.feature.tolist(), t.bin.tolist(), t.value.tolist(), t.gain.tolist()] for t in ensemble.trees]
-            self._set(content=json.dumps({"cuts": cuts, "start": ensemble.start, "depth": ensemble.plan.depth, "trees": trees}))
+            kept = {"cuts": cuts, "start": ensemble.start, "depth": ensemble.plan.depth, "trees": trees_text(ensemble)}
+            self._set(content=json.dumps(kept))
         self._set(**columns)
 
     def ensemble(self) -> tuple[list[list[float]], Ensemble]:
         kept = json.loads(self.getOrDefault(self.content))
-        trees = [Tree(np.array(f, int), np.array(b, int), np.array(v), np.array(g)) for f, b, v, g in kept["trees"]]
-        return kept["cuts"], Ensemble(Plan(depth=kept["depth"]), kept["start"], trees)
+        return kept["cuts"], Ensemble(Plan(depth=kept["depth"]), kept["start"], trees_of(kept["trees"]))
 
     @property
     def featureImportances(self) -> DenseVector:

@@ -128,6 +128,7 @@ def _forest(params, facts, seed, kind):
             maxDepth=params.get("max_depth", 10),
             minInstancesPerNode=params.get("min_samples_leaf", 4),
             featureSubsetStrategy="sqrt" if extra else "all",
+            bootstrap=params.get("bootstrap", True),
             **extra,
             **_tree_params(params, seed),
         )

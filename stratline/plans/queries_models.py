@@ -1,13 +1,15 @@
-"""Model queries. Tree ensembles are kept small; their size is a setting."""
+"""Model queries, with the library's own model sizes."""
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from stratline.models import evaluation, explain, sequence, training
-from stratline.operators import targets
+from stratline.models import boosting, evaluation, explain, sequence, training
+from stratline.models.trees import Plan
+from stratline.operators import panel, targets
 from stratline.plans import carriers, pipeline
 from stratline.plans.carriers import SETTINGS, SPARSE_SQL, table
 from stratline.plans.queries_panel import LAGGED_SQL, SPLIT_SQL, TRAIN_MAX, lagged, warned
@@ -15,24 +17,8 @@ from stratline.plans.registry import query
 from stratline.settings import Settings
 from stratline.sources import sinks
 
-SMALL = SETTINGS.override(
-    regressors={
-        "random_forest": {"n_estimators": 10, "max_depth": 6, "min_samples_leaf": 4},
-        "gradient_boosting": {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2},
-        "xgboost": {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2, "subsample": 0.8},
-    },
-    classifiers={
-        "random_forest": {"n_estimators": 10, "max_depth": 6, "min_samples_leaf": 4},
-        "gradient_boosting": {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2},
-        "xgboost": {
-            "n_estimators": 10, "max_depth": 4, "learning_rate": 0.2, "subsample": 0.8,
-            "scale_pos_weight": 1,
-        },
-    },
-    permutation_repeats=3,
-    save_models=False,
-    early_warning_min_pairs=100,
-)
+# Model sizes are the library's own; the carrier has few early warnings.
+FULL = SETTINGS.override(save_models=False, early_warning_min_pairs=100)
 
 FEATURES = ["lag_1", "lag_2"]
 
@@ -156,22 +142,106 @@ def group_cv_line(spark, sf):
     return mean.withColumn("mean", F.round("mean", 4))
 
 
+# --- trees ------------------------------------------------------------------------------
+
+
+def _stump_sql(cells, name, rate, l2):
+    """name(x, m): the margins of cells (x, n, g, h, m) after one more split, chosen by gain."""
+    gain = f"gl * gl / (hl + {l2}) + (g_all - gl) * (g_all - gl) / (h_all - hl + {l2})"
+    return f"""{name}_run AS (SELECT *, sum(g) OVER (ORDER BY x) AS gl, sum(h) OVER (ORDER BY x) AS hl,
+  sum(g) OVER () AS g_all, sum(h) OVER () AS h_all, max(x) OVER () AS last FROM {cells}),
+{name}_best AS (SELECT x AS t, -{rate} * gl / (hl + {l2}) AS low,
+  -{rate} * (g_all - gl) / (h_all - hl + {l2}) AS high
+  FROM {name}_run WHERE x < last ORDER BY {gain} DESC, x LIMIT 1),
+{name} AS (SELECT c.*, c.m + CASE WHEN x <= t THEN low ELSE high END AS fit FROM {cells} c, {name}_best)"""
+
+
+def boosted_cells(df, x, label, plan):
+    """What an ensemble on one feature answers for each of its values."""
+    rows = df.select(F.col(x).cast("double").alias("x"), F.col(label).cast("double").alias("y"))
+    cuts, (ensemble,) = boosting.grow(rows, ["x"], "y", [plan], sinks.table_cut(df.sparkSession), bins=256)
+    kind = boosting.BoostedClassification if plan.logistic else boosting.BoostedRegression
+    values = rows.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    vectors = training.assembler(["x"]).transform(values)
+    return kind(cuts, ensemble, featuresCol=training.VECTOR).transform(vectors)
+
+
+@query(f"""WITH base AS (SELECT l_quantity AS x, count(*) AS n, sum(l_extendedprice / 1000) AS s
+  FROM lineitem GROUP BY 1),
+start AS (SELECT sum(s) / sum(n) AS m0 FROM base),
+first AS (SELECT x, n, s, m0 AS m, n * m0 - s AS g, n AS h FROM base, start),
+{_stump_sql('first', 'one', 0.5, 1)},
+second AS (SELECT x, n, s, fit AS m, n * fit - s AS g, n AS h FROM one),
+{_stump_sql('second', 'two', 0.5, 1)},
+third AS (SELECT x, n, s, fit AS m, n * fit - s AS g, n AS h FROM two),
+{_stump_sql('third', 'three', 0.5, 1)}
+SELECT x, n, round(fit, 4) AS prediction FROM three""")
+def boosted_prices(spark, sf):
+    """Three boosted splits of price by quantity: sums of gradients, penalised leaves."""
+    lines = table(spark, sf, "lineitem").withColumn("price", F.col("l_extendedprice") / 1000)
+    out = boosted_cells(lines, "l_quantity", "price", Plan(trees=3, depth=1, rate=0.5))
+    return out.select("x", "n", F.round("prediction", 4).alias("prediction"))
+
+
+@query(f"""WITH base AS (SELECT CAST(year(l_shipdate) AS DOUBLE) AS x, count(*) AS n,
+  count(*) FILTER (l_returnflag = 'R') AS up FROM lineitem GROUP BY 1),
+start AS (SELECT ln((2 * sum(up) + 1e-12) / (sum(n) - sum(up) + 1e-12)) AS m0 FROM base),
+first AS (SELECT x, n, up, m0 AS m, (2 * up + n - up) / (1 + exp(-m0)) - 2 * up AS g,
+  (2 * up + n - up) * (1 / (1 + exp(-m0))) * (1 - 1 / (1 + exp(-m0))) AS h FROM base, start),
+{_stump_sql('first', 'one', 0.5, 1)},
+second AS (SELECT x, n, up, fit AS m, (2 * up + n - up) / (1 + exp(-fit)) - 2 * up AS g,
+  (2 * up + n - up) * (1 / (1 + exp(-fit))) * (1 - 1 / (1 + exp(-fit))) AS h FROM one),
+{_stump_sql('second', 'two', 0.5, 1)}
+SELECT x, n, round(1 / (1 + exp(-fit)), 4) AS chance FROM two""")
+def boosted_returns(spark, sf):
+    """Two boosted splits of returns by year, positives weighing twice."""
+    lines = table(spark, sf, "lineitem").withColumn("returned", F.col("l_returnflag") == "R")
+    lines = lines.withColumn("year", F.year("l_shipdate")).withColumn("returned", F.col("returned").cast("int"))
+    plan = Plan(trees=2, depth=1, rate=0.5, positive_weight=2.0, logistic=True)
+    out = boosted_cells(lines, "year", "returned", plan)
+    return out.select("x", "n", F.round(vector_to_array("probability")[1], 4).alias("chance"))
+
+
+ONE_TREE = {"n_estimators": 1, "max_depth": 25, "min_samples_leaf": 1, "bootstrap": False}
+
+
+@query("""SELECT c_nationkey, round(avg(c_acctbal), 4) AS prediction FROM customer GROUP BY 1""")
+def forest_group_means(spark, sf):
+    """One deep regression tree on a feature of few values answers with their means."""
+    rows = table(spark, sf, "customer").select("c_nationkey", "c_acctbal")
+    models = training.fit_regressors(rows, ["c_nationkey"], "c_acctbal", Settings(regressors={"random_forest": ONE_TREE}))
+    out = training.score(rows, models, "c_acctbal", keep=["c_nationkey"])
+    return out.groupBy("c_nationkey").agg(F.round(F.max("prediction"), 4).alias("prediction"))
+
+
+@query("""WITH base AS (SELECT c_nationkey, CAST(c_acctbal > 6000 AS INT) AS y FROM customer),
+w AS (SELECT count(*) / (2.0 * sum(y)) AS up, count(*) / (2.0 * sum(1 - y)) AS down FROM base)
+SELECT c_nationkey, CAST(max(up) * sum(y) > max(down) * sum(1 - y) AS DOUBLE) AS prediction
+FROM base, w GROUP BY 1""")
+def forest_group_majority(spark, sf):
+    """One deep classification tree answers with the balanced majority of its values."""
+    rows = table(spark, sf, "customer").select("c_nationkey", (F.col("c_acctbal") > 6000).cast("int").alias("rich"))
+    models = training.fit_classifiers(rows, ["c_nationkey"], "rich", Settings(classifiers={"random_forest": ONE_TREE}))
+    out = training.score(rows, models, "rich", keep=["c_nationkey"])
+    return out.groupBy("c_nationkey").agg(F.max("prediction").alias("prediction"))
+
+
 def survey_model(spark, sf):
     cut = sinks.table_cut(spark)
     raw = cut(carriers.extract(spark, sf), "extract")
     raw = raw.where(
-        (F.col("Class") == SMALL.target_class) & (F.col("Question") == SMALL.target_question)
+        (F.col("Class") == FULL.target_class) & (F.col("Question") == FULL.target_question)
     )
-    return pipeline.model_table(pipeline.clean_stage(raw, SMALL, cut), SMALL, cut)
+    return pipeline.model_table(pipeline.clean_stage(raw, FULL, cut), FULL, cut)
 
 
 @query()
 def regression_models(spark, sf):
     """All six regressors on the survey panel, validation and test metrics."""
     model = survey_model(spark, sf)
-    train, _, _ = targets.temporal_split(model.table, SMALL)
-    models = training.fit_regressors(train, model.feature_names, "Data_Value", SMALL)
-    split = targets.split_name(F.col("YearStart"), SMALL)
+    train, _, _ = targets.temporal_split(model.table, FULL)
+    models = training.fit_regressors(train, model.feature_names, "Data_Value", FULL)
+    split = targets.split_name(F.col("YearStart"), FULL)
     return evaluation.evaluate(models, model.table, "Data_Value", split, "regression")
 
 
@@ -180,32 +250,35 @@ def classification_models(spark, sf):
     """All four classifiers for the early-warning label of the sparse panel."""
     cut = sinks.table_cut(spark)
     names = ["YearStart", "Data_Value", "lag_1"]
-    rows = warned(spark, sf).where(F.col("lag_1").isNotNull()).select(*names, "early_warning")
-    rows = cut(rows, "labelled")
+    rows = cut(warned(spark, sf).select(*names, "early_warning"), "labelled")
+    rows = cut(panel.impute_medians(rows, ["lag_1"]), "imputed")
     train = rows.where(F.col("YearStart") <= TRAIN_MAX)
-    models = training.fit_classifiers(train, names, "early_warning", SMALL)
-    split = targets.split_name(F.col("YearStart"), SMALL)
+    models = training.fit_classifiers(train, names, "early_warning", FULL)
+    split = targets.split_name(F.col("YearStart"), FULL)
     return evaluation.evaluate(models, rows, "early_warning", split, "classification", cut)
 
 
 @query()
 def group_cross_validation(spark, sf):
-    """Five folds that keep locations whole, mean r2 and mae per model."""
+    """Five folds that keep locations whole: mean r2 and mae of five regressors, f1 and auc of
+    three classifiers; the forests are left out (README, Open)."""
     model = survey_model(spark, sf)
-    settings = Settings(regressors={"linear_regression": {}, "ridge": {"alpha": 1.0}})
-    _, mean = evaluation.group_cv(
-        model.table, model.feature_names, "Data_Value", "LocationDesc", "regression", settings
-    )
-    return mean
+    settings = FULL.override(regressors={"random_forest": None}, classifiers={"random_forest": None})
+    parts = []
+    for track, label in (("regression", "Data_Value"), ("classification", model.target)):
+        _, mean = evaluation.group_cv(model.table, model.feature_names, label, "LocationDesc", track, settings)
+        parts.append(mean.select(F.lit(track).alias("track"), "model", "metric", "mean"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query()
 def feature_importances(spark, sf):
-    """Tree importances, coefficients and permutation importances on the survey panel."""
+    """Gain importances, coefficients and permutation importances (ten repeats) of a linear and
+    two boosted models on the survey panel."""
     model = survey_model(spark, sf)
-    train, val, _ = targets.temporal_split(model.table, SMALL)
-    chosen = {k: SMALL.regressors[k] for k in ("ridge", "random_forest")}
-    settings = Settings(regressors=chosen, permutation_repeats=3)
+    train, val, _ = targets.temporal_split(model.table, FULL)
+    chosen = {k: FULL.regressors[k] for k in ("ridge", "gradient_boosting", "xgboost")}
+    settings = Settings(regressors=chosen)
     models = training.fit_regressors(train, model.feature_names, "Data_Value", settings)
     return explain.importances(models, val, "Data_Value", pipeline.KEYS, "regression", settings)
 
@@ -216,7 +289,7 @@ def sequence_forecast(spark, sf):
     rows = lagged(spark, sf).select("unit", "YearStart", "Data_Value", "n")
     _, pred = sequence.forecast(
         rows, ["Data_Value", "n"], settings=SETTINGS, unit=["unit"],
-        regressors={"ridge": {"alpha": 1.0}, "gradient_boosting": {"n_estimators": 5}},
+        regressors={"ridge": {"alpha": 1.0}, "gradient_boosting": FULL.regressors["gradient_boosting"]},
         cut=sinks.table_cut(spark),
     )
     return sequence.evaluate(pred)
@@ -248,17 +321,18 @@ def sequence_line(spark, sf):
 
 @query()
 def panel_analysis(spark, sf):
-    """All stages on the survey extract with linear and logistic models only: metrics and
-    sequence metrics, no tree models and no cross-validation (README, Open)."""
-    settings = SMALL.override(
-        regressors={"random_forest": None, "gradient_boosting": None, "xgboost": None},
-        classifiers={"random_forest": None, "gradient_boosting": None, "xgboost": None},
-    )
-    result = pipeline.run(spark, carriers.extract(spark, sf), settings=settings)
+    """All stages on the survey extract with eight models in full size, importances, sequences
+    and five-fold cross-validation; the forests are left out (README, Open)."""
+    settings = FULL.override(regressors={"random_forest": None}, classifiers={"random_forest": None})
+    result = pipeline.run(spark, carriers.extract(spark, sf), settings=settings, cv=True)
     parts = [
         result.metrics,
         result.sequence_metrics.select(
             F.lit("sequence").alias("track"), "model", "split", "metric", "value"
         ),
+        *(
+            mean.select(F.lit(track).alias("track"), "model", F.lit("folds").alias("split"), "metric", F.col("mean").alias("value"))
+            for track, mean in result.cross_validation.items()
+        ),
     ]
     return reduce(DataFrame.unionByName, parts)

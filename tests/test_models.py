@@ -262,13 +262,14 @@ def grid_rows(n=300):
 
 
 @pytest.mark.parametrize("logistic", [False, True])
-@pytest.mark.parametrize("parts", [1, 5])
-def test_boosting_equals_trying_every_split(spark, logistic, parts):
+@pytest.mark.parametrize("block_rows", [1000, 0], ids=["one block", "passes"])
+def test_boosting_equals_trying_every_split(spark, monkeypatch, logistic, block_rows):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", block_rows)
     x, y = grid_rows()
     if logistic:
         y = (y > 14).astype(float)
     plan = Plan(trees=4, depth=3, rate=0.3, l2=0.7, least=2.0, logistic=logistic, positive_weight=2.0 if logistic else 1.0)
-    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y})).repartition(parts)
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y})).repartition(3)
     cuts, (ensemble,) = boosting.grow(df, FEATURES, "y", [plan], sinks.table_cut(spark))
     margin = np.full(len(y), np.log(2 * y.sum() / (1 - y).sum()) if logistic else y.mean())
     for _ in range(plan.trees):
@@ -280,12 +281,14 @@ def test_boosting_equals_trying_every_split(spark, logistic, parts):
 
 def test_ensembles_in_step_equal_ensembles_alone(spark, monkeypatch):
     monkeypatch.setattr(boosting, "REFRESH", 2)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 0)
     x, y = grid_rows(200)
     pdf = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y, "fold": np.arange(200) % 4})
     df = spark.createDataFrame(pdf).repartition(3)
     plans = [Plan(trees=5, depth=2, rate=0.2, subsample=0.7), Plan(trees=3, depth=3, without_fold=2), Plan(trees=1, depth=1)]
     cuts, together = boosting.grow(df, FEATURES, "y", plans, sinks.table_cut(spark), fold="fold")
     bins = boosting.binned(x, cuts)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 1000)
     for plan, e in zip(plans, together):
         _, (alone,) = boosting.grow(df, FEATURES, "y", [plan], sinks.table_cut(spark), fold="fold")
         assert e.margins(bins) == pytest.approx(alone.margins(bins), abs=1e-9) and e.start == alone.start
