@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratline.llm import (
@@ -24,8 +25,7 @@ from stratline.llm import (
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-# Where the vocabulary files lie; every machine that runs a driver has them.
-VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+VOCABULARY = str(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def query(run):

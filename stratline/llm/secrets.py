@@ -3,9 +3,11 @@
 Every text is scanned for three base kinds and two more: tokens with a vendor's own prefix,
 and long mixed strings. The values found are counted over the corpus by distinct
 repositories and owners, after one pre-aggregation by (value, owner, repository), so a
-value in a third of all rows is no large group. A value with many owners is a copied
-example; one of a single owner looks live. Spans of the base kinds are always reported;
-vendor tokens and mixed strings only where the value belongs to few owners.
+value in a third of all rows is no large group. A value is a widely copied example if it
+stands in more repositories and belongs to more owners than a few, or than a share of all
+that the corpus has, and no owner holds most of its rows; every other value is specific to
+its owners and looks live. Spans of the base kinds are always reported; vendor tokens and
+mixed strings only where the value looks live.
 
 Null and empty texts have no spans: counts 0, empty lists. Repeated rows are reported each
 by itself and count once for their owner. Null owners and repositories count as one
@@ -31,11 +33,14 @@ VENDOR = (
 MIXED = r"[A-Za-z0-9+/_-]{24,}"
 KINDS = ("assign", "access", "hex", "vendor", "mixed")
 BASE = KINDS[:3]
+SPREAD = ("n_owners", "n_repos", "n_rows")
 
 
 @dataclass(frozen=True)
 class Ownership:
-    few_owners: int = 2  # up to so many owners a value is owner-specific
+    few: int = 2  # up to so many owners or repositories a value is owner-specific
+    share: float = 1e-4  # or up to this part of all owners, or of all repositories
+    most: float = 0.9  # an owner with this part of a value's rows makes it specific
     min_distinct: int = 12  # distinct characters of a mixed string
 
 
@@ -96,32 +101,48 @@ def listed(found: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(value, n_owners, n_repos, n_rows) of every value found."""
+    """(value, n_owners, n_repos, n_rows, top_rows) of every value found; top_rows are those
+    of the owner with the most."""
     each = found.select("owner", "repo", F.explode("found.value").alias("value"))
     once = each.groupBy("value", "owner", "repo").agg(F.count("*").alias("n"))
     owners = once.groupBy("value", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
-    return owners.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"), F.sum("n").alias("n_rows"))
+    return owners.groupBy("value").agg(
+        F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"), F.sum("n").alias("n_rows"), F.max("n").alias("top_rows")
+    )
+
+
+def widely_copied(found: DataFrame, plan: Ownership) -> Column:
+    """Whether a value of ownership() is an example: many owners and many repositories, as
+    the corpus goes, and not the matter of one owner."""
+    names = found.groupBy("owner", "repo").agg(F.lit(1).alias("one"))
+    owners = names.select("owner").distinct().agg(F.count("*")).scalar()
+    repos = names.agg(F.count("*")).scalar()
+    many = [F.col(n) > F.greatest(F.lit(plan.few), total * plan.share) for n, total in (("n_owners", owners), ("n_repos", repos))]
+    return many[0] & many[1] & (F.col("top_rows") < plan.most * F.col("n_rows"))
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "lang", plan: Ownership = Ownership()) -> DataFrame:
-    """One row for each document: counts and digest of the base spans, all spans, and how
-    many of them are owner-specific (live) or widely copied (examples).
+    """One row for each document: counts and digest of the base spans, all spans, how many
+    of them are owner-specific (live) or widely copied (examples), and the largest numbers
+    of owners, repositories and rows among its values (null without any).
 
     A repository is the pair of owner and repository column."""
     cut = sinks.table_cut(docs.sparkSession)
     rows = cut(scanned(docs, owner, repository, plan), "scanned")  # no texts any more
-    counts = ownership(rows)
+    counts = ownership(rows).withColumn("copied", widely_copied(rows, plan))
     each = rows.where(F.size("found") > 0).select("row", "id", F.explode("found").alias("s"))
     each = each.withColumn("value", F.col("s.value")).join(counts, "value")
-    live = F.col("n_owners") <= plan.few_owners
-    used = each.where(live | (F.col("s.kind") < len(BASE)))
+    live = ~F.col("copied")
+    used = live | (F.col("s.kind") < len(BASE))
     span = F.struct(F.col("s.start").alias("start"), F.col("s.kind").alias("kind"), F.col("s.stop").alias("stop"))
-    kept = used.groupBy("row").agg(
-        F.first("id").alias("id"), F.collect_list(span).alias("found"), F.sum(live.cast("bigint")).alias("n_live"), F.sum((~live).cast("bigint")).alias("n_example")
+    kept = each.groupBy("row").agg(
+        F.first("id").alias("id"), F.collect_list(F.when(used, span)).alias("found"), F.sum(live.cast("bigint")).alias("n_live"), F.sum((~live).cast("bigint")).alias("n_example"),
+        *(F.max(c).alias(f"most_{c[2:]}") for c in SPREAD),
     )
-    # Rows all of whose values were left out, and rows without any, have empty lists.
+    # Rows without any value have empty lists.
     empty = rows.join(kept.select("row"), "row", "left_anti").select(
-        "id", F.array().cast("array<struct<start:int,kind:int,stop:int>>").alias("found"), F.lit(0).cast("bigint").alias("n_live"), F.lit(0).cast("bigint").alias("n_example")
+        "id", F.array().cast("array<struct<start:int,kind:int,stop:int>>").alias("found"), F.lit(0).cast("bigint").alias("n_live"), F.lit(0).cast("bigint").alias("n_example"),
+        *(F.lit(None).cast("bigint").alias(f"most_{c[2:]}") for c in SPREAD),
     )
     out = kept.drop("row").unionByName(empty)
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
@@ -133,4 +154,5 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "lang", plan:
         listed(F.col("found")).alias("spans"),
         "n_live",
         "n_example",
+        *(f"most_{c[2:]}" for c in SPREAD),
     )

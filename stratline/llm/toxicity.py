@@ -165,24 +165,47 @@ def fit(docs: DataFrame, labels: DataFrame, plan: Training = Training()) -> Mode
     return Model(hashes, np.array(fitted.w), fitted.b)
 
 
+def worst_sentences(block: texts.Block, odds: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Per row: sentences at the threshold, start and end (code points) and score of the
+    worst one, the first in a tie, and whether there is any sentence."""
+    order = np.lexsort((-np.arange(len(odds)), odds, row))
+    last = np.flatnonzero(np.append(row[order][1:] != row[order][:-1], True)) if len(row) else np.zeros(0, np.int64)
+    pick = order[last]
+    points = block.sums((block.data & 0xC0) != 0x80)
+    out = {name: np.zeros(block.rows, kind) for name, kind in (("start", np.int64), ("end", np.int64), ("score", float), ("any", bool))}
+    own = row[pick]
+    out["start"][own] = points[start[pick]] - points[block.bounds[own]]
+    out["end"][own] = points[end[pick]] - points[block.bounds[own]]
+    out["score"][own], out["any"][own] = 1 / (1 + np.exp(-odds[pick])), True
+    count = np.bincount(row, 1 / (1 + np.exp(-odds)) >= THRESHOLD, block.rows).astype(np.int64)
+    return count, out
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted of every whole text."""
+    """doc_id, held_out, score, predicted of every whole text, and where it offends: number
+    of sentences that reach the threshold by themselves, place and score of the worst one
+    (null without a sentence)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["doc_id", "held_out", "score", "predicted", "n_offending", "worst_start", "worst_end", "worst_score"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in texts.blocks(texts.column(batch, "text")):
-                p = sent.value.scores(block)
+                odds, row, start, end = sent.value.sentence_scores(block)
+                p = -np.expm1(-np.bincount(row, np.logaddexp(0, odds), block.rows))
+                count, worst = worst_sentences(block, odds, row, start, end)
                 rows = batch.slice(block.first_row, block.rows)
+                places = [pa.array(worst[c], mask=~worst["any"]) for c in ("start", "end", "score")]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(2), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))],
-                    names=["doc_id", "held_out", "score", "predicted"],
+                    [rows.column(0), rows.column(2), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(count), *places],
+                    names=names,
                 )
 
     rows = docs.select(
         F.col("doc_id").cast("bigint"), F.col("text").cast("string"), labelled.held_out(F.col("doc_id"), PARTS, HELD_OUT).alias("held_out")
     )
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    schema = "doc_id bigint, held_out boolean, score double, predicted int, n_offending bigint, worst_start bigint, worst_end bigint, worst_score double"
+    return rows.mapInArrow(run, schema)
 
 
 def offending(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -128,6 +128,11 @@ def test_offending_sentences_are_found(spark, marked):
     said = [r.sentence for r in toxicity.offending(docs, model).collect()]
     bad = [s for s in said if any(x in s.lower() for x in ("grimbag", "snorlaff", "fribl"))]
     assert len(bad) > 180 and len(bad) / len(said) > 0.95
+    text_of = {r.doc_id: r.text for r in docs.collect()}
+    scored = [r for r in toxicity.score(docs, model).collect() if r.doc_id is not None and r.doc_id < 900 and r.n_offending]
+    worst = [text_of[r.doc_id][r.worst_start : r.worst_end].lower() for r in scored]
+    assert len(worst) > 180 and sum(any(x in s for x in ("grimbag", "snorlaff", "fribl")) for s in worst) / len(worst) > 0.95
+    assert all(s in {x.lower() for x in said} for s in worst)
     left = toxicity.reject(docs, model)
     assert left.columns == docs.columns and 600 < left.count() < 720
 

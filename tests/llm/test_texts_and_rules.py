@@ -130,6 +130,39 @@ def test_secret_spans_and_ownership(spark):
     assert "vendor" not in by_id[7].spans and "vendor" not in by_id[9].spans
 
 
+def brute_ownership(rows, plan):
+    """value -> whether it is widely copied, from (owner, repository, values) rows."""
+    seen, owners, repos = {}, {o for o, _, _ in rows}, {(o, r) for o, r, _ in rows}
+    for o, r, values in rows:
+        for v in values:
+            seen.setdefault(v, []).append((o, r))
+    few_owners, few_repos = (max(plan.few, plan.share * len(x)) for x in (owners, repos))
+    out = {}
+    for v, at in seen.items():
+        top = max(sum(o == own for o, _ in at) for own in {o for o, _ in at})
+        out[v] = len({o for o, _ in at}) > few_owners and len(set(at)) > few_repos and top < plan.most * len(at)
+    return out
+
+
+@pytest.mark.parametrize("share", [1e-4, 0.4])
+def test_ownership_equals_brute_force(spark, share):
+    rng = random.Random(3)
+    values = ["ghp_" + "".join(rng.choices("abcXYZ0189", k=36)) for _ in range(12)]
+    rows = []
+    for k in range(400):
+        v = min(int(rng.expovariate(0.35)), 11)
+        # The first value is nearly always with one owner, though some others have it too.
+        owner = "o0" if v == 0 and rng.random() < 0.97 else f"o{rng.randint(0, 2 + v)}"
+        rows.append((k, values[v], f"r{rng.randint(0, 2)}", owner))
+    plan = secrets.Ownership(share=share)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    copied = brute_ownership([(o, r, [v]) for _, v, r, o in rows], plan)
+    assert set(copied.values()) == {True, False} and not copied[values[0]]
+    for r in secrets.scan(docs, plan=plan).collect():
+        assert ("vendor" in r.spans) == (not copied[rows[r.doc_id][1]])
+        assert r.most_owners == len({o for _, v, _, o in rows if v == rows[r.doc_id][1]})
+
+
 def test_secrets_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string")
     assert secrets.scan(docs).count() == 0
