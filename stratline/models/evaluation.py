@@ -9,10 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratline.models.training import (
-    BOOSTED,
     Fitted,
     boost,
     fit_classifiers,
+    fit_linear,
     fit_regressors,
     score,
     training_facts,
@@ -123,15 +123,17 @@ def group_cv(
     kind = "regressors" if track == "regression" else "classifiers"
     fit = fit_regressors if track == "regression" else fit_classifiers
     configs = getattr(settings, kind)
-    others = replace(settings, **{kind: {n: c for n, c in configs.items() if n not in BOOSTED}})
     scored = []
     try:
         numbers = range(1, settings.cv_folds + 1)
         facts = training_facts(rows, features, target)
-        # The ensembles of all folds grow in step.
-        boosted = boost(rows, features, target, configs, settings, track, facts, "fold", numbers)
+        # Linear models of all folds come from the same passes, ensembles grow in step.
+        together = fit_linear(rows, features, target, configs, track, facts, "fold", numbers)
+        together |= boost(rows, features, target, configs, settings, track, facts, "fold", numbers)
+        names = {n for n, _ in together}
+        others = replace(settings, **{kind: {n: c for n, c in configs.items() if n not in names}})
         for fold in numbers:
-            models = {n: m for (n, k), m in boosted.items() if k == fold}
+            models = {n: m for (n, k), m in together.items() if k == fold}
             if getattr(others, kind):
                 models |= fit(rows.where(F.col("fold") != fold), features, target, others)
             scored.append(score(rows.where(F.col("fold") == fold), models, target, keep=["fold"]))

@@ -1,12 +1,12 @@
-"""Fitting the configured regressors and classifiers with Spark ML, boosted ones in step.
+"""Fitting the configured regressors and classifiers.
 
-Penalties are converted so that linear models equal the usual closed forms on features
-standardised with the population standard deviation:
+Forests are Spark ML's; linear and boosted models come from sums over the rows, all models
+and folds of a kind together. Penalties refer to features standardised with the population
+standard deviation:
 
-ridge     min |y - Xw|^2 + alpha |w|^2         regParam = alpha * sd_pop(y) / n
-lasso     min |y - Xw|^2 / 2n + alpha |w|_1    regParam = alpha
-logistic  min sum w_i loss_i + |w|^2 / 2C      regParam = (n - 1) / (C n^2), on features
-                                               scaled by the sample standard deviation
+ridge     min |y - Xw|^2 + alpha |w|^2
+lasso     min |y - Xw|^2 / 2n + alpha |w|_1
+logistic  min sum w_i loss_i + |w|^2 / 2C
 """
 
 from __future__ import annotations
@@ -15,33 +15,27 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
-from math import ceil, sqrt
+from math import ceil
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (
-    StandardScaler,
-    StandardScalerModel,
-    VectorAssembler,
-    VectorSlicer,
-)
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 from pyspark.util import inheritable_thread_target
 
-from stratline.models import boosting
+from stratline.models import boosting, linear
 from stratline.models.trees import Plan
 from stratline.settings import Settings
 from stratline.sources import sinks
 
 log = logging.getLogger(__name__)
 
-# VECTOR holds all features; INPUT what a linear model makes of them first.
-VECTOR, INPUT, LABEL, WEIGHT = "__features", "__input", "__label", "__weight"
-# The job that grows all boosted models.
-BOOST = "__boost"
+VECTOR, LABEL, WEIGHT = "__features", "__label", "__weight"
+# The jobs that fit all boosted and all linear models.
+BOOST, LINES = "__boost", "__lines"
 
 
 ROWS_PER_TASK = 10_000
@@ -52,7 +46,6 @@ class Facts:
     """What a fit needs to know about the training rows beforehand."""
 
     n_rows: int
-    label_sd: float
     feature_sd: dict[str, float]
 
 
@@ -86,30 +79,6 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 # --- estimators by name -----------------------------------------------------------------
 
 
-def _linear(params, facts, seed, alpha=0.0, l1=False):
-    alpha = params.get("alpha", alpha)
-    penalty = alpha if l1 else alpha * facts.label_sd / max(facts.n_rows, 1)
-    # A constant feature has coefficient 0 anyway, but makes the normal equations singular.
-    sizes = list(facts.feature_sd.values())
-    varying = [i for i, sd in enumerate(sizes) if sd > 0] or list(range(len(sizes)))
-    first = []
-    if len(varying) < len(sizes):
-        first = [VectorSlicer(inputCol=VECTOR, outputCol=INPUT, indices=varying)]
-    return [
-        *first,
-        LinearRegression(
-            featuresCol=INPUT if first else VECTOR,
-            labelCol=LABEL,
-            regParam=penalty,
-            elasticNetParam=1.0 if l1 else 0.0,
-            # The closed form takes one pass; an L1 penalty has none.
-            solver="auto" if l1 else "normal",
-            maxIter=5000 if l1 else 100,
-            tol=1e-9,
-        ),
-    ]
-
-
 def _tree_params(params, seed):
     return dict(
         featuresCol=VECTOR,
@@ -135,32 +104,19 @@ def _forest(params, facts, seed, kind):
     ]
 
 
-def _logistic(params, facts, seed):
-    n = max(facts.n_rows, 1)
-    return [
-        StandardScaler(inputCol=VECTOR, outputCol=INPUT, withMean=True, withStd=True),
-        LogisticRegression(
-            featuresCol=INPUT,
-            labelCol=LABEL,
-            weightCol=WEIGHT,
-            standardization=False,
-            regParam=(n - 1) / (params.get("C", 1.0) * n * n),
-            maxIter=params.get("max_iter", 1000),
-            tol=1e-7,
-        ),
-    ]
-
-
 REGRESSOR_STAGES: dict[str, Callable] = {
-    "linear_regression": _linear,
-    "ridge": partial(_linear, alpha=1.0),
-    "lasso": partial(_linear, alpha=0.1, l1=True),
     "random_forest": partial(_forest, kind=RandomForestRegressor),
 }
 CLASSIFIER_STAGES: dict[str, Callable] = {
-    "logistic_regression": _logistic,
     "random_forest": partial(_forest, kind=RandomForestClassifier),
 }
+# Linear models and their penalties unless a model's parameters say otherwise.
+LINEAR = {
+    "linear_regression": {"alpha": 0.0},
+    "ridge": {"alpha": 1.0},
+    "lasso": {"alpha": 0.1, "l1": True},
+}
+LOGISTIC = "logistic_regression"
 # Boosted models and what differs between them unless a model's parameters say otherwise: the
 # second adds a penalty on leaf values and draws rows for every tree.
 BOOSTED = {
@@ -172,14 +128,46 @@ BOOSTED = {
 def training_facts(df: DataFrame, features: Sequence[str], label: str) -> Facts:
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.stddev_pop(label), F.lit(0.0)).alias("sd"),
         *[F.coalesce(F.stddev_pop(f"`{c}`"), F.lit(0.0)).alias(f"f{i}") for i, c in enumerate(features)],
     ).first()
-    return Facts(row["n"], row["sd"], {c: row[f"f{i}"] for i, c in enumerate(features)})
+    return Facts(row["n"], {c: row[f"f{i}"] for i, c in enumerate(features)})
+
+
+def kind_of(name: str, params: Mapping) -> str:
+    """What a model is; its name, unless its parameters say so."""
+    return params.get("kind", name)
+
+
+def fit_linear(
+    rows: DataFrame, features: Sequence[str], label: str, configs: Mapping[str, Mapping], track: str,
+    facts: Facts, fold: str | None = None, folds: Sequence[int | None] = (None,),
+) -> dict[tuple[str, int | None], Fitted]:
+    """The linear models among `configs`, one for each fold left out, from shared passes."""
+    kinds = LINEAR if track == "regression" else (LOGISTIC,)
+    names = [n for n, params in configs.items() if kind_of(n, params) in kinds]
+    keys = [(n, k) for n in names for k in folds]
+    if not keys:
+        return {}
+    if track == "regression":
+        centre, sums = linear.gram(rows, features, label, fold)
+        found = []
+        for n, k in keys:
+            usual = LINEAR[kind_of(n, configs[n])]
+            alpha = configs[n].get("alpha", usual["alpha"])
+            found.append(linear.solve(linear.moments(centre, sums, k), alpha, usual.get("l1", False)))
+    else:
+        cs = [configs[n].get("C", 1.0) for n, _ in keys]
+        found = linear.newton(rows, features, label, cs, fold, [k for _, k in keys])
+    kind = linear.LinearModel if track == "regression" else linear.LogisticModel
+    vectorise = assembler(features)
+    return {
+        key: Fitted(key[0], PipelineModel([vectorise, kind(f, featuresCol=VECTOR)]), facts)
+        for key, f in zip(keys, found)
+    }
 
 
 def boost_plan(name: str, params: Mapping, settings: Settings, track: str, fold: int | None) -> Plan:
-    usual = BOOSTED[name]
+    usual = BOOSTED[kind_of(name, params)]
     return Plan(
         trees=params.get("n_estimators", 200),
         depth=params.get("max_depth", 4),
@@ -206,7 +194,7 @@ def boost(
     folds: Sequence[int | None] = (None,),
 ) -> dict[tuple[str, int | None], Fitted]:
     """The boosted models among `configs`, one for each fold left out, all grown in step."""
-    keys = [(name, k) for name in configs if name in BOOSTED for k in folds]
+    keys = [(n, k) for n, params in configs.items() if kind_of(n, params) in BOOSTED for k in folds]
     if not keys:
         return {}
     plans = [boost_plan(name, configs[name], settings, track, k) for name, k in keys]
@@ -221,7 +209,9 @@ def boost(
 
 
 def _fit(train, features, label, configs, stages, settings, track, folder) -> dict[str, Fitted]:
-    unknown = sorted(set(configs) - set(stages) - set(BOOSTED))
+    kinds = {name: kind_of(name, params) for name, params in configs.items()}
+    known = {*stages, *BOOSTED, *(LINEAR if track == "regression" else (LOGISTIC,))}
+    unknown = sorted(set(kinds.values()) - known)
     if unknown:
         raise ValueError(f"unknown {track} models: {unknown}")
     # Every model passes over these columns many times; vectors are put together on the way.
@@ -241,16 +231,19 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
     def fit_one(name: str) -> list[Fitted]:
         if name == BOOST:
             return list(boost(held, features, LABEL, configs, settings, track, facts).values())
+        if name == LINES:
+            return list(fit_linear(held, features, LABEL, configs, track, facts).values())
         params, data, done = configs[name], base, [vectorise]
-        for stage in stages[name](params, facts, settings.random_state):
+        for stage in stages[kinds[name]](params, facts, settings.random_state):
             if hasattr(stage, "fit"):
                 stage = stage.fit(data)
             data = stage.transform(data)
             done.append(stage)
         return [Fitted(name, PipelineModel(done), facts)]
 
-    jobs = [name for name in configs if name not in BOOSTED]
-    jobs += [BOOST] if len(jobs) < len(configs) else []
+    jobs = [name for name in configs if kinds[name] in stages]
+    jobs += [BOOST] if set(kinds.values()) & set(BOOSTED) else []
+    jobs += [LINES] if set(kinds.values()) & {*LINEAR, LOGISTIC} else []
     try:
         # Independent fits share the cached rows; one alone seldom fills a cluster.
         with ThreadPool(max(1, min(settings.parallel_fits, len(jobs)))) as pool:
@@ -307,15 +300,10 @@ def score(
     answers = []
     for i, (name, model) in enumerate(plain.items()):
         for stage in model.stages[1:]:
-            if stage.hasParam("predictionCol"):
-                extra = {stage.predictionCol: f"__p{i}"}
-                for other in ("rawPrediction", "probability"):
-                    if stage.hasParam(f"{other}Col"):
-                        extra[stage.getParam(f"{other}Col")] = f"__{other}{i}"
-                if stage.getFeaturesCol() == INPUT:
-                    extra[stage.featuresCol] = f"{INPUT}{i}"
-            else:
-                extra = {stage.outputCol: f"{INPUT}{i}"}
+            extra = {stage.predictionCol: f"__p{i}"}
+            for other in ("rawPrediction", "probability"):
+                if stage.hasParam(f"{other}Col"):
+                    extra[stage.getParam(f"{other}Col")] = f"__{other}{i}"
             out = stage.copy(extra).transform(out)
         prediction, chance = F.col(f"__p{i}"), F.lit(None).cast("double")
         if f"__probability{i}" in out.columns:
@@ -335,12 +323,6 @@ def standard_coefficients(fitted: Fitted) -> dict[str, float] | None:
     """Coefficients on features scaled by the population standard deviation, if linear."""
     if not hasattr(fitted.last, "coefficients"):
         return None
-    first, second = fitted.model.stages[:2]
-    names = first.getInputCols()
+    names = fitted.model.stages[0].getInputCols()
     values = [float(v) for v in fitted.last.coefficients.toArray()]
-    if isinstance(second, StandardScalerModel):
-        shrink = sqrt(max(fitted.facts.n_rows - 1, 1) / max(fitted.facts.n_rows, 1))
-        return {c: v * shrink for c, v in zip(names, values)}
-    kept = second.getIndices() if isinstance(second, VectorSlicer) else range(len(names))
-    found = {names[i]: v for i, v in zip(kept, values)}
-    return {c: found.get(c, 0.0) * fitted.facts.feature_sd[c] for c in names}
+    return {c: v * fitted.facts.feature_sd[c] for c, v in zip(names, values)}

@@ -142,6 +142,51 @@ def group_cv_line(spark, sf):
     return mean.withColumn("mean", F.round("mean", 4))
 
 
+_ALPHAS = (0, 10, 100, 1000, 10000, 100000)
+
+
+@query(f"""WITH RECURSIVE {LAG_ROWS_SQL},
+grouped AS (SELECT lag_rows.*, c_nationkey FROM lag_rows JOIN customer ON unit = c_custkey),
+{_folds_sql('grouped', 'c_nationkey')},
+tagged AS (SELECT g.*, fold FROM grouped g JOIN folds ON c_nationkey = grp),
+alphas AS (SELECT unnest([{', '.join(map(str, _ALPHAS))}]) AS alpha),
+slopes AS (SELECT alpha, f.fold, covar_pop(y, x1) / (var_pop(x1) * (1 + alpha / count(*))) AS b,
+  avg(y) AS my, avg(x1) AS mx
+  FROM alphas, (SELECT DISTINCT fold FROM folds) f JOIN tagged t ON t.fold <> f.fold GROUP BY 1, 2),
+err AS (SELECT alpha, t.fold, avg(abs(y - my - b * (x1 - mx))) AS mae,
+  1 - avg((y - my - b * (x1 - mx)) * (y - my - b * (x1 - mx))) / var_pop(y) AS r2
+  FROM tagged t JOIN slopes s ON t.fold = s.fold GROUP BY 1, 2)
+SELECT 'ridge_' || alpha AS model, 'mae' AS metric, round(avg(mae), 4) AS mean FROM err GROUP BY alpha
+UNION ALL SELECT 'ridge_' || alpha, 'r2', round(avg(r2), 4) FROM err GROUP BY alpha""")
+def group_cv_ridge_alphas(spark, sf):
+    """Six penalties in five folds from one scan of sums and products."""
+    cut = sinks.table_cut(spark)
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    rows = lag_rows(spark, sf).join(customer, F.col("unit") == F.col("c_custkey"))
+    models = {f"ridge_{a}": {"kind": "ridge", "alpha": float(a)} for a in _ALPHAS}
+    settings = Settings(regressors=models, cv_folds=_K)
+    _, mean = evaluation.group_cv(
+        cut(rows, "grouped"), ["lag_1"], "Data_Value", "c_nationkey", "regression", settings
+    )
+    return mean.withColumn("mean", F.round("mean", 4))
+
+
+@query("""WITH base AS (SELECT CAST(o_orderpriority = '1-URGENT' AS INT) AS x,
+  CAST(o_totalprice > 250000 AS INT) AS y FROM orders),
+w AS (SELECT count(*) / (2.0 * sum(y)) AS up, count(*) / (2.0 * sum(1 - y)) AS down FROM base)
+SELECT x, round(max(up) * sum(y) / (max(up) * sum(y) + max(down) * sum(1 - y)), 5) AS score
+FROM base, w GROUP BY x""")
+def balanced_logistic(spark, sf):
+    """The balanced logistic model on one 0/1 feature, next to no penalty: balanced shares."""
+    rows = table(spark, sf, "orders").select(
+        (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("x"),
+        (F.col("o_totalprice") > 250000).cast("int").alias("y"),
+    )
+    models = training.fit_classifiers(rows, ["x"], "y", Settings(classifiers={"logistic_regression": {"C": 1e12}}))
+    out = training.score(rows, models, "y", keep=["x"])
+    return out.groupBy("x").agg(F.round(F.max("score"), 5).alias("score"))
+
+
 # --- trees ------------------------------------------------------------------------------
 
 

@@ -232,6 +232,38 @@ def test_sequence_forecast(spark):
     assert {r.split for r in out} == {"val", "test"} and min(r.value for r in out) > 0.98
 
 
+def test_one_scan_serves_all_folds(spark, data):
+    """Total less a fold equals a fit on the other rows, for every linear model."""
+    pdf, df = data
+    df = df.withColumn("fold", F.col("row") % 3)
+    configs = {"linear_regression": {}, "ridge": {"alpha": 5.0}, "lasso": {"alpha": 0.2}, "stiff": {"kind": "ridge", "alpha": 900.0}}
+    facts = training.training_facts(df, FEATURES, "y")
+    found = training.fit_linear(df, FEATURES, "y", configs, "regression", facts, "fold", [0, 1, 2, None])
+    assert len(found) == 16
+    for k in (0, 1, None):
+        part = df if k is None else df.where(F.col("fold") != k)
+        alone = training.fit_regressors(part, FEATURES, "y", Settings(regressors=configs))
+        for name in configs:
+            a, b = found[name, k].last, alone[name].last
+            assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), abs=1e-9)
+            assert a.intercept == pytest.approx(b.intercept, abs=1e-8)
+    classes = {"logistic_regression": {"C": 0.7}}
+    together = training.fit_linear(df, FEATURES, "label", classes, "classification", facts, "fold", [0, 1])
+    for k in (0, 1):
+        alone = training.fit_classifiers(df.where(F.col("fold") != k), FEATURES, "label", Settings(classifiers=classes))
+        a, b = together["logistic_regression", k].last, alone["logistic_regression"].last
+        assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), abs=1e-7)
+
+
+def test_logistic_with_one_class_and_far_values(spark):
+    one = spark.createDataFrame([(1.0, 0.0), (2.0, 0.0)], "a double, y double")
+    models = training.fit_classifiers(one, ["a"], "y", Settings(classifiers={"logistic_regression": {}}))
+    assert training.score(one, models, "y").where("prediction = 0").count() == 2
+    far = spark.createDataFrame([(1e9 + k, float(k > 50)) for k in range(100)], "a double, y double")
+    models = training.fit_classifiers(far, ["a"], "y", Settings(classifiers={"logistic_regression": {"C": 100.0}}))
+    assert training.score(far, models, "y").where("prediction <> y").count() <= 1
+
+
 # --- boosting -----------------------------------------------------------------------------
 
 
