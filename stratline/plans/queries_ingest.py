@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratline.functions import lookups, parsing
-from stratline.operators import eda, encode, quality, rows
+from stratline.operators import eda, encode, metrics, quality, rows
 from stratline.plans import carriers
 from stratline.plans.carriers import EXTRACT_SQL, SETTINGS, table
 from stratline.plans.registry import query
@@ -313,3 +313,37 @@ def table_shape(spark, sf):
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5")
 def preview(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy("o_orderkey").limit(5)
+
+
+# --- text files -------------------------------------------------------------------------
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS segment,
+  CASE WHEN c_custkey % 3 = 0 THEN c_name || chr(10) || '"' || c_mktsegment || '", ' || c_nationkey
+    WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS note FROM customer""")
+def csv_quoted_lines(spark, sf):
+    """Written as CSV and read again: cells with quotes, commas and line breaks, missing-value
+    tokens, a header name with a blank."""
+    key, name = F.col("c_custkey"), F.col("c_name")
+    quoted = F.concat(name, F.lit('\n"'), "c_mktsegment", F.lit('", '), F.col("c_nationkey").cast("string"))
+    note = F.when(key % 3 == 0, quoted).when(key % 7 == 0, "N/A").otherwise(name)
+    rows = table(spark, sf, "customer").select(
+        key.alias("id"), F.col("c_mktsegment").alias("segment"), note.alias("note ")
+    )
+    path = f"{sinks.table_folder(spark)}/customers.csv"
+    sinks.write_csv(rows, path)
+    return ingest.read_csv(spark, path)
+
+
+@query("""SELECT 'regression' AS track, c_mktsegment AS model, 'val' AS split, m.metric,
+  CASE m.metric WHEN 'mean' THEN round(avg(c_acctbal), 4) ELSE max(c_acctbal) END AS value
+  FROM customer, (VALUES ('mean'), ('max')) m(metric) GROUP BY c_mktsegment, m.metric""")
+def metrics_written_and_read(spark, sf):
+    """Long metrics through the metrics sink."""
+    wide = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("model")).agg(
+        F.round(F.avg("c_acctbal"), 4).alias("mean"), F.max("c_acctbal").alias("max")
+    )
+    long = metrics.to_long(wide, ["model"], ["mean", "max"])
+    path = f"{sinks.table_folder(spark)}/metrics"
+    sinks.write_metrics(long.select(F.lit("regression").alias("track"), "model", F.lit("val").alias("split"), "metric", "value"), path)
+    return sinks.read_metrics(spark, path)

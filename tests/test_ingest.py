@@ -1,3 +1,6 @@
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,10 +33,9 @@ def test_header_is_trimmed_and_tokens_become_null(spark, tmp_path):
 
 def test_cells_with_line_breaks_are_found_and_read(spark, tmp_path):
     path = write(tmp_path / "b.csv", 'a,b\n1,"two\nlines"\n2,plain\n')
-    assert ingest.quotes_span_lines(spark, path)
+    assert not ingest.quoted_splits(ingest.text_lines(spark, path)).isEmpty()
     got = {r["a"]: r["b"] for r in ingest.read_csv(spark, path).collect()}
     assert got == {"1": "two\nlines", "2": "plain"}
-    assert not ingest.quotes_span_lines(spark, write(tmp_path / "c.csv", CSV))
 
 
 def test_lenient_projection_keeps_configured_order(spark, tmp_path):
@@ -148,3 +150,38 @@ def test_settings_override():
     assert s.regressors["ridge"] == {"alpha": 9.0}
     with pytest.raises((ValueError, AttributeError)):
         Settings().override(nope=1)
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    yield lambda n: spark.conf.set("spark.sql.files.maxPartitionBytes", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("split", [37, 150, 4000])
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_cells_that_span_lines_and_splits(spark, tmp_path, small_splits, split, ending):
+    draw = random.Random(split)
+    cells = ["a", "", "x,y", 'he said "no"', "two\nlines", "\n\n", '"\n"', "long " * 30, "N/A", "é\n,\"b\""]
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as file:
+            out = csv.writer(file, lineterminator=ending)
+            out.writerow(["id", "first ", "second"])
+            out.writerows([f"{name}{k}", draw.choice(cells), draw.choice(cells)] for k in range(120))
+    expected = {}
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", newline="") as file:
+            for row in list(csv.reader(file))[1:]:
+                expected[row[0]] = tuple(None if c in ("", "N/A") else c for c in row[1:])
+    small_splits(split)
+    lines = ingest.text_lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() > (20 if split == 37 else 1)
+    got = {r["id"]: (r["first"], r["second"]) for r in ingest.read_csv(spark, str(tmp_path)).collect()}
+    assert got == expected
+
+
+def test_splits_without_such_cells_are_left_alone(spark, tmp_path):
+    path = write(tmp_path / "a.csv", CSV)
+    assert ingest.quoted_splits(ingest.text_lines(spark, path)).isEmpty()
+    assert ingest.read_csv(spark, path).count() == 3
