@@ -261,7 +261,8 @@ def next_in_order(
     if unique:
         return df.withColumn(name, F.lead(value).over(Window.partitionBy(*by).orderBy(*order)))
     first, rest = order[0], list(order[1:]) or [value]
-    pieces = sliced(df, rest[0])
+    # Slices by the first parts of the order, as one of them alone may never change.
+    pieces = sliced(df.withColumn("__order", F.struct(*rest[:3])), "__order").drop("__order")
     keys = [*by, first, "__slice"]
     inside = Window.partitionBy(*keys).orderBy(*rest)
     heads = pieces.groupBy(*keys).agg(F.min(F.struct(*rest, F.col(value).alias("__v"))).alias("__h"))

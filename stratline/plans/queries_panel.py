@@ -146,6 +146,15 @@ def lag_fan_out(spark, sf):
     return panel.fan_out_rows(order_rows(spark, sf), ["o_custkey"])
 
 
+@query(f"""WITH {ORDER_ROWS_SQL}
+SELECT o.*, a."Data_Value" AS lag_1, b."Data_Value" AS lag_2 FROM order_rows o
+LEFT JOIN order_rows a ON a.o_custkey = o.o_custkey AND a."YearStart" + 1 = o."YearStart"
+LEFT JOIN order_rows b ON b.o_custkey = o.o_custkey AND b."YearStart" + 2 = o."YearStart" """)
+def lag_join_rows(spark, sf):
+    """The fanned rows of a lag join on repeated keys."""
+    return panel.lag_join(order_rows(spark, sf), ["o_custkey"])
+
+
 @query(f"""WITH {LAGGED_SQL}
 SELECT unit, "YearStart", lag_1, lag_2, rolling_mean_3, trend_1yr FROM lagged""")
 def rolling_mean_and_trend(spark, sf):
@@ -258,6 +267,18 @@ def next_observed_repeated_keys(spark, sf):
     )
 
 
+@query(f"""WITH {ORDER_ROWS_SQL}, flagged AS (
+  SELECT *, 1 AS same, CAST("Data_Value" >= 200000 AS INT) AS high FROM order_rows),
+following AS (SELECT *, lead(high) OVER (PARTITION BY o_custkey ORDER BY "YearStart", o_orderkey) AS nxt
+  FROM flagged)
+SELECT * EXCLUDE (nxt), CASE WHEN high = 0 THEN nxt END AS early_warning FROM following""")
+def early_warning_repeated_keys(spark, sf):
+    """Early warning where a unit has several rows a year, the first part of the order constant."""
+    high = (F.col("Data_Value") >= 200000).cast("int")
+    rows = order_rows(spark, sf).withColumns({"same": F.lit(1), "high": high})
+    return targets.early_warning(rows, ["o_custkey"], "high", tie=["same", "o_orderkey"])
+
+
 @query(f"""WITH {LABELLED_PANEL_SQL}
 SELECT count(early_warning) AS n_labelled,
   count(*) FILTER (WHERE early_warning = 1) AS n_positive,
