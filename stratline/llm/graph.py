@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from stratline.llm.trie import looked_up
+
 Cut = Callable[[DataFrame, str], DataFrame]
 
 
@@ -23,27 +25,13 @@ def components(edges: DataFrame, cut: Cut, name: str) -> DataFrame:
         near = links.join(labels, links["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         nearer = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("least"))
         jump = labels.select(F.col("node").alias("least"), F.col("label").alias("far"))
-        # A third of all nodes may carry one label: the jump is looked up once for each label.
-        lookup = nearer.select("least").distinct().join(jump, "least")
-        best = nearer.join(lookup, "least", "left").select(
-            "node", F.least("least", F.coalesce("far", "least")).alias("label"), F.col("label").alias("before")
+        # A third of all nodes may carry one label: it is looked up once for each label, and
+        # labels that many nodes carry by broadcast.
+        lookup = cut(nearer.groupBy("least").agg(F.count("*").alias("n")).join(jump, "least"), f"{name}-jump-{turn}")
+        best = looked_up(nearer, lookup, ["least"], "n", 1000).select(
+            "node", F.least("least", "far").alias("label"), F.col("label").alias("before")
         )
         best = cut(best, f"{name}-{turn}")
         labels = best.select("node", "label")
         if best.where("label <> before").isEmpty():
             return labels
-
-
-def extended(labels: DataFrame | None, edges: DataFrame, cut: Cut, name: str) -> DataFrame:
-    """The labels of components() after more edges, which are followed between labels only:
-    the work grows with the new edges, not with all that were found before."""
-    if labels is None:
-        return components(edges, cut, name)
-    a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
-    b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
-    between = edges.join(a, "a", "left").join(b, "b", "left")
-    between = between.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
-    joined = components(between, cut, f"{name}-between")
-    moved = joined.select(F.col("node").alias("label"), F.col("label").alias("least"))
-    old = labels.join(moved, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
-    return cut(old.unionByName(joined.join(labels, "node", "left_anti")), f"{name}-all")

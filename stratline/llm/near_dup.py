@@ -9,10 +9,19 @@ depend on the element alone, so two texts agree on a coordinate with their (weig
 Jaccard similarity. Time runs until every coordinate of a text is hit, which takes about
 k log k darts whatever the length of the text.
 
-Equal bands make candidates. In every bucket of a band a few members are compared with all
-others exactly; members whose classes have already met are skipped, and the rounds go on
-until no bucket holds two uncompared members of different classes. So no pair of a bucket
-is lost and no bucket is expanded into its pairs.
+Equal bands make candidates. Every bucket has a pivot, the member that shares most buckets;
+pivot and members are compared exactly. What is left are pairs of members that are not both
+linked to the pivot, and no bucket is expanded into them. A member is described by how it
+differs from the pivot: shingles it has beside it and shingles of it that it misses. With a
+and m of these for x, b and k for y, P shingles of the pivot and S differences in common,
+x and y share P - m - k + S shingles of P + a + b - S; so similarity t asks for
+S >= (m + k + t (a + b) - (1 - t) P) / (1 + t). A member x that is not linked to the pivot has
+m + t a > (1 - t) P, so S > (k + t b) / (1 + t) of the k + b differences of y. Members meet only
+on differences, the ones they have beside the pivot first, and each needs to show only so
+many that fewer than that stay hidden. So no pair of a bucket is lost, and members that
+differ from the pivot in their own ways never meet. Differences at which members of several
+classes meet are buckets again, with pivots of their own; after `turns` of these, members
+of different classes that still meet and whose counts allow it are compared in pairs.
 
 Texts with the same words are one class from the start (null and empty texts, which have
 no words, form one class too); only one of them goes on. Texts of fewer than five words
@@ -31,6 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructType
 
 from stratline.llm import graph, sieve, texts
+from stratline.llm.trie import looked_up
 from stratline.sources import sinks
 
 
@@ -41,7 +51,7 @@ class Darts:
     bands: int = 26
     band_rows: int = 5
     weighted: bool = False  # count how often a shingle occurs
-    anchors: int = 6  # members of a bucket that are compared with the others in a round
+    turns: int = 1  # of pivots, before what is left is compared in pairs
 
     @property
     def coordinates(self) -> int:
@@ -197,6 +207,105 @@ def verified(pairs: DataFrame, sets: DataFrame, darts: Darts) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint, linked boolean")
 
 
+SHARE = 1000  # keys with more than this part of all rows are looked up by broadcast
+
+
+def differences(pairs: DataFrame, sets: DataFrame, darts: Darts) -> DataFrame:
+    """(pivot, node, linked, p, extra, missing, shown, own) of every pivot and member: whether
+    they are similar, shingles of the pivot, those beside it and those missed, and the
+    differences to be met on by any member (shown) and by one that is not linked (own)."""
+    t = darts.similarity
+
+    def compared(items: bytes, counts: bytes, of: bytes, of_counts: bytes) -> tuple:
+        x, p = whole_set(items, counts), whole_set(of, of_counts)
+        extra, missing = np.setdiff1d(x, p, True), np.setdiff1d(p, x, True)
+        a, m = len(extra), len(missing)
+        linked = (len(x) - a) / max(1, len(p) + a) >= t
+        # The last bit tells the kinds apart.
+        token = np.concatenate([extra << np.uint64(1), missing << np.uint64(1) | np.uint64(1)]).view(np.int64)
+        # Hidden differences are fewer than any link to a member that is not linked needs.
+        least = int(np.floor((m + t * a) / (1 + t) + 1e-9)) + 1
+        shown = token[: max(0, len(token) - least + 1)]
+        excess = int(np.ceil(m + t * a - (1 - t) * len(p) - 1e-9))
+        own = None if linked else token[: max(0, len(token) - max(excess, 1) + 1)]
+        return linked, len(p), a, m, shown, own
+
+    # An own list hides len(token) - len(own) = extra + missing - len(own) differences.
+    names = ["pivot", "node", "linked", "p", "extra", "missing", "shown", "own"]
+    kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = [compared(*x) for x in zip(*(batch.column(k).to_pylist() for k in range(2, 6)))]
+                cols = [pa.array(c, kind) for c, kind in zip(zip(*found), kinds)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=names)
+
+    left = sets.select("node", F.col("items").alias("x"), F.col("counts").alias("cx"))
+    right = sets.select(F.col("node").alias("pivot"), F.col("items").alias("y"), F.col("counts").alias("cy"))
+    both = pairs.join(left, "node").join(right, "pivot").select("pivot", "node", "x", "cx", "y", "cy")
+    schema = "pivot bigint, node bigint, linked boolean, p int, extra int, missing int, shown array<bigint>, own array<bigint>"
+    return both.mapInArrow(run, schema)
+
+
+def whole_set(items: bytes, counts: bytes) -> np.ndarray:
+    """The shingles of a text; with counts, one element for each time a shingle occurs."""
+    x = np.frombuffer(items, np.uint64)
+    if not counts:
+        return x
+    n = np.frombuffer(counts, np.int32)
+    time = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.unique(texts.mix(np.repeat(x, n) + time.astype(np.uint64) * texts.STEP))
+
+
+def open_buckets(found: DataFrame, labels: DataFrame, cut, name: str) -> DataFrame:
+    """(band, node, own, and what differences() says of it): members by the differences they
+    can meet on, for differences with an own one and members of several classes."""
+    known = found.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    facts = ["pivot", "node", "label", "p", "extra", "missing"]
+    hidden = lambda c: (F.col("extra") + F.col("missing") - F.size(c)).alias("hidden")
+    # A shown difference that is also an own one counts as own.
+    each = known.select(*facts, hidden("shown"), F.explode("shown").alias("token"), F.lit(False).alias("own")).unionByName(
+        known.where("not linked").select(*facts, hidden("own"), F.explode("own").alias("token"), F.lit(True).alias("own"))
+    )
+    each = cut(each.withColumn("band", F.xxhash64("pivot", "token")).drop("token"), f"{name}-tokens")
+    sizes = each.groupBy("band").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max("own").alias("any"), F.count("*").alias("n")
+    )
+    sizes = cut(sizes.where("any and low <> high").select("band", "n"), f"{name}-open")
+    return cut(looked_up(each, sizes, ["band"], "n", SHARE).drop("n"), f"{name}-buckets")
+
+
+def meetings(buckets: DataFrame, darts: Darts) -> DataFrame:
+    """(a, b): members of different classes that meet on differences and may be similar.
+
+    Common differences up to the last one that either list shows are all met on; of those
+    behind it there are no more than that list hides."""
+    t = darts.similarity
+    x = buckets.where("own").select(
+        "band", "pivot", "p", *(F.col(c).alias(n) for c, n in (("node", "x"), ("label", "lx"), ("extra", "a"), ("missing", "m"), ("hidden", "hx")))
+    )
+    y = buckets.where("not own").select(
+        "band", *(F.col(c).alias(n) for c, n in (("node", "y"), ("label", "ly"), ("extra", "b"), ("missing", "k"), ("hidden", "hy")))
+    )
+    need = (F.col("m") + F.col("k") + t * (F.col("a") + F.col("b")) - (1 - t) * F.col("p")) / (1 + t) - 1e-9
+    possible = F.least("m", "k") + F.least("a", "b") >= need
+    met = x.join(y, "band").where((F.col("lx") != F.col("ly")) & possible)
+    counted = met.groupBy("pivot", "x", "y").agg(F.count("*").alias("n"), F.max(need - F.greatest("hx", "hy")).alias("need"))
+    some = counted.where("n >= need")
+    return some.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def stars(buckets: DataFrame, rank: DataFrame, cut, name: str) -> DataFrame:
+    """(pivot, node): each bucket's pivot, the own member in most buckets, and its others."""
+    ranked_own = buckets.where("own").select("band", "node").join(rank, "node")
+    pivots = ranked_own.groupBy("band").agg(F.max(F.struct("rank", "node")).getField("node").alias("pivot"))
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("n"))
+    heads = cut(pivots.join(sizes, "band"), f"{name}-pivots")
+    pairs = looked_up(buckets.select("band", "node"), heads, ["band"], "n", SHARE)
+    return pairs.where("node <> pivot").select("pivot", "node").distinct()
+
+
 def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     """(id, whole, second, class_id, first): one row for each row of docs.
 
@@ -205,8 +314,7 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     spark = docs.sparkSession
     cut = sinks.table_cut(spark)
     rows = cut(sketch(docs, darts), "sketches")
-    # One node for each different sequence of words. Its number is its hash: 64 bits, and the
-    # second half is kept beside it so that a collision shows.
+    # One node for each different sequence of words, numbered by a hash of its two hashes.
     nodes = rows.groupBy("whole", "second").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
     nodes = cut(nodes.withColumn("node", F.xxhash64("whole", "second")), "nodes")
     keys = nodes.select("node", F.explode("bands").alias("band"))
@@ -217,34 +325,24 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     wanted = sieve.Sieve(used, "whole")
     whole_of = node_texts(text_rows, darts, wanted).join(used, ["whole", "second"]).dropDuplicates(["node"]).select("node", "text")
     sets = cut(shingle_sets(whole_of, darts), "sets")
-    labels = compared = checked = None
-    turn = 0
-    while True:
-        anchors = choose(members, labels, compared, darts, cut, turn)
-        if anchors is None:
-            break
-        with_label = members if labels is None else members.join(labels, "node", "left")
-        with_label = with_label.select("band", "node", (F.coalesce("label", "node") if labels is not None else F.col("node")).alias("label"))
-        # An anchor meets the members of its bucket that are not in its class yet.
-        a = anchors.select("band", F.col("node").alias("anchor"), F.col("label").alias("anchor_label"))
-        pairs = with_label.join(a, "band").where("label <> anchor_label")
-        pairs = pairs.select(F.least("node", "anchor").alias("a"), F.greatest("node", "anchor").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(cut(checked, f"checked-{turn}"), ["a", "b"], "left_anti")
-        done = cut(verified(pairs, sets, darts), f"verified-{turn}")
-        fresh = done.where("linked").select("a", "b")
-        checked = done.select("a", "b") if turn == 0 else checked.unionByName(done.select("a", "b"))
-        labels = graph.extended(labels, fresh, cut, f"labels-{turn}")
-        met = anchors.select("band", "node")
-        compared = met if compared is None else compared.unionByName(met)
-        turn += 1
-    named = nodes.select("node", "whole", "second", "least")
-    if labels is not None:
-        named = named.join(labels, "node", "left")
-    named = named.withColumn("label", F.coalesce("label", "node") if labels is not None else F.col("node"))
+    rank = members.groupBy("node").agg(F.max("rank.rank").alias("rank"))
+    buckets, links, labels = members.select("band", "node", F.lit(True).alias("own")), None, None
+    for turn in range(darts.turns):
+        pairs = stars(buckets, rank, cut, f"turn-{turn}")
+        found = cut(differences(pairs, sets, darts), f"differences-{turn}")
+        fresh = found.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        links = fresh if links is None else links.unionByName(fresh)
+        labels = graph.components(links, cut, f"labels-{turn}")
+        buckets = open_buckets(found, labels, cut, f"turn-{turn}")
+    others = cut(verified(meetings(buckets, darts), sets, darts), "verified")
+    labels = graph.components(links.unionByName(others.where("linked").select("a", "b")), cut, "labels")
+    named = nodes.select("node", "whole", "second", "least").join(labels, "node", "left")
+    named = cut(named.withColumn("label", F.coalesce("label", "node")), "named")
     # A class may hold a third of all nodes: its smallest id is found by an aggregate.
-    least = named.groupBy("label").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("head"))
-    heads = named.join(least, "label").select(
+    least = named.groupBy("label").agg(
+        F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("head"), F.count("*").alias("n")
+    )
+    heads = looked_up(named, cut(least, "least"), ["label"], "n", SHARE).select(
         "whole", "second", F.col("head.least").alias("class_id"), (F.col("head.node") == F.col("node")).alias("first")
     )
     return rows.select("id", "whole", "second").join(cut(heads, "heads"), ["whole", "second"])
@@ -287,29 +385,6 @@ def second_half(key: np.ndarray, count: np.ndarray, row: np.ndarray, rows: int)
     return out
 
 
-def choose(members: DataFrame, labels: DataFrame | None, compared: DataFrame | None, darts: Darts, cut, turn: int) -> DataFrame | None:
-    """(band, node, label): the next members of each bucket to compare with all the others.
-
-    A bucket is done when its members that were not compared share one class: any two
-    members of different classes then include one that has met all the others. Anchors are
-    members outside the largest class of their bucket."""
-    if labels is None:
-        first = members.groupBy("band").agg(F.max("rank").getField("node").alias("node"))
-        first = cut(first.withColumn("label", F.col("node")), f"anchors-{turn}")
-        return None if first.isEmpty() else first
-    left = members.join(compared, ["band", "node"], "left_anti").join(labels, "node", "left")
-    left = left.select("band", "node", "rank", F.coalesce("label", "node").alias("label"))
-    sizes = left.groupBy("band", "label").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
-    most = sizes.groupBy("band").agg(F.count("*").alias("classes"), F.max(F.struct("n", "label")).alias("top"))
-    open_ = sizes.join(most.where("classes > 1"), "band").where(F.col("label") != F.col("top.label"))
-    # One member of each of a few classes: the classes of a bucket are few, its members many.
-    some = open_.groupBy("band").agg(F.sort_array(F.collect_list(F.struct("rank", "label")), False).alias("found"))
-    some = some.select("band", F.explode(F.slice("found", 1, darts.anchors)).alias("x"))
-    some = some.select("band", F.col("x.rank.node").alias("node"), F.col("x.label").alias("label"))
-    some = cut(some, f"anchors-{turn}")
-    return None if some.isEmpty() else some
-
-
 def keep_one(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     """One document of each class: the one with the smallest id. All columns stay."""
     spark = docs.sparkSession

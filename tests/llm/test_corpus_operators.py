@@ -186,6 +186,27 @@ def test_classes_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+@pytest.mark.parametrize("turns", [1, 2])
+def test_family_of_copies_of_copies_equals_brute_force(spark, turns):
+    """Many members are near the limit or only like some of their kin; some are cut short."""
+    rng = random.Random(21)
+    family = [words(rng, 90).split()]
+    while len(family) < 160:
+        other = list(rng.choice(family))
+        for _ in range(rng.randint(1, 3)):
+            other[rng.randrange(len(other))] = words(rng, 1)
+        if rng.random() < 0.15:
+            other = other[: rng.randint(len(other) * 2 // 3, len(other))]
+        if rng.random() < 0.1:
+            other += words(rng, rng.randint(1, 12)).split()
+        family.append(other)
+    rows = [(k, " ".join(x)) for k, x in enumerate(family)]
+    got = {r.id: r.class_id for r in near_dup.classes(docs_frame(spark, rows), near_dup.Darts(turns=turns)).collect()}
+    expected = classes_by_force(rows)
+    assert len(set(expected.values())) > 3
+    assert got == expected
+
+
 def test_chain_of_near_copies_is_one_class(spark):
     """Neighbours are alike, ends are not; and repeated rows and null ids take part."""
     rng = random.Random(3)
