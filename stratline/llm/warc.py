@@ -6,7 +6,7 @@
 Writing: every task writes gzip archives of bounded size, one member for each record with
 its compressed length in the member's header; the names are unique to the attempt, and the
 job's list of archives is written when all tasks have ended, so files of lost attempts are
-never read. Reading: archives are packed into partitions by size. Equality and list
+never read; a job in append mode adds its list to those that are there. Reading: archives are packed into partitions by size. Equality and list
 filters on the record type and on header columns are pushed down: a record's headers are
 inflated first, and a record that does not pass is skipped by its length without inflating
 its payload. With option payload=false no payload is inflated at all.
@@ -145,7 +145,10 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
         system, plain = files.opened(self.folder)
         listed = {f.base_name: f.size for f in system.get_file_info(fs.FileSelector(plain)) if f.is_file}
-        names = files.get(posixpath.join(self.folder, LIST)).decode().split() if LIST in listed else [n for n in listed if n.endswith((".warc", ".warc.gz"))]
+        lists = [n for n in listed if n.startswith(LIST)]  # one for each job that wrote here
+        names = [n for x in lists for n in files.get(posixpath.join(self.folder, x)).decode().split()]
+        if not lists:
+            names = [n for n in listed if n.endswith((".warc", ".warc.gz"))]
         out, size = [Archives([])], 0
         for name in sorted(names):
             if size and size + listed[name] > self.partition_bytes:
@@ -176,12 +179,13 @@ class WarcReader(DataSourceReader):
             values.append(value)
         return tuple(values)
 
-    def row(self, values: tuple, block: bytes, revisit: bool) -> tuple:
+    def row(self, values: tuple, block: bytes, revisit: bool, length: int) -> tuple:
+        """length is that of the whole block, of which only the start may be at hand."""
         http, _, payload = block.partition(b"\r\n\r\n")
-        told = fields(http).get("content-length")
+        told, size = fields(http).get("content-length"), length - len(block) + len(payload)
         if not http.startswith(b"HTTP/"):
-            told, payload = None, block
-        size = int(told) if told and told.isdigit() else len(payload)
+            told, payload, size = None, block, length
+        size = int(told) if told and told.isdigit() else size
         return (*values, size, None if revisit or not self.payload else payload)
 
     def packed(self, file) -> Iterator[tuple]:
@@ -221,7 +225,8 @@ class WarcReader(DataSourceReader):
                 size = size or fed - len(machine.unused_data)
             at += size
             if values is not None:
-                yield self.row(values, block[: int(head.get("content-length", len(block)))], revisit)
+                length = int(head.get("content-length", len(block)))
+                yield self.row(values, block[:length], revisit, length)
 
     def plain(self, file) -> Iterator[tuple]:
         """Records of an archive without compression; unwanted blocks are stepped over."""
@@ -242,13 +247,17 @@ class WarcReader(DataSourceReader):
             if values is not None:
                 file.seek(start)
                 revisit = head.get("warc-type") == "revisit"
-                yield self.row(values, file.read(size if self.payload else min(size, 4096)), revisit)
+                block = file.read(size if self.payload else min(size, 4096))
+                # A long HTTP header is read to its end also without the payload.
+                while len(block) < size and block.startswith(b"HTTP/") and b"\r\n\r\n" not in block:
+                    block += file.read(min(4096, size - len(block)))
+                yield self.row(values, block, revisit, size)
             at = start + size + 4
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, options):
-        self.folder = options["path"]
+    def __init__(self, options, overwrite: bool = False):
+        self.folder, self.overwrite = options["path"], overwrite
         self.archive_bytes = int(options.get("archiveBytes", 64 << 20))
         self.level = int(options.get("level", 3))
 
@@ -273,9 +282,16 @@ class WarcWriter(DataSourceWriter):
         return Written(names)
 
     def commit(self, messages) -> None:
-        """The list of archives makes them part of the folder; without it nothing is."""
+        """The list of archives makes them part of the folder; without it nothing is. Every
+        job writes a list of its own; overwriting takes the other lists away."""
         names = sorted(n for m in messages if m is not None for n in m.names)
-        files.put(posixpath.join(self.folder, LIST), "\n".join(names).encode())
+        own = f"{LIST}-{uuid.uuid4().hex}"
+        files.put(posixpath.join(self.folder, own), "\n".join(names).encode())
+        if self.overwrite:
+            system, plain = files.opened(self.folder)
+            for f in system.get_file_info(fs.FileSelector(plain)):
+                if f.is_file and f.base_name.startswith(LIST) and f.base_name != own:
+                    system.delete_file(f.path)
 
     def abort(self, messages) -> None:
         """Archives that are not on the list are never read."""
@@ -293,7 +309,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:

@@ -1,6 +1,7 @@
 """Archives, classifiers, near duplicates, decontamination, packing, line dedup, pipeline."""
 
 import base64
+import gzip
 import hashlib
 import itertools
 import random
@@ -145,6 +146,32 @@ def test_no_labels_and_no_rows(spark, marked, module):
     assert module.score(docs.limit(0), model).count() == 0
 
 
+def test_appended_archives_are_read_together(spark, pages, tmp_path):
+    folder = str(tmp_path / "w")
+    warc.register(spark)
+    rows = warc.records(pages, min_revisit_bytes=1)
+    for part in ("page_id <= 2", "page_id > 2"):
+        rows.where(part).write.format("warc").mode("append").save(folder)
+    read = spark.read.format("warc").load(folder)
+    assert sorted(r.page_id for r in read.collect()) == [1, 2, 3, 4, 5]
+    rows.where("page_id = 5").write.format("warc").mode("overwrite").save(folder)
+    assert [r.page_id for r in spark.read.format("warc").load(folder).collect()] == [5]
+
+
+@pytest.mark.parametrize("size", [10, 20_000, 60_000])
+@pytest.mark.parametrize("head", [b"HTTP/1.1 200 OK\r\nX: " + b"y" * 9000 + b"\r\n\r\n", b"HTTP/1.1 200 OK\r\n\r\n", b""])
+def test_payload_bytes_without_payload(spark, tmp_path, size, head):
+    """Archives of other writers, whose HTTP header does not tell the length."""
+    block = head + b"z" * size
+    start = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(block)
+    for name, pack in (("a.warc", bytes), ("b.warc.gz", gzip.compress)):
+        (tmp_path / name).write_bytes(pack(start + block + b"\r\n\r\n"))
+    warc.register(spark)
+    for payload in ("true", "false"):
+        rows = spark.read.format("warc").option("payload", payload).load(str(tmp_path)).collect()
+        assert [r.payload_bytes for r in rows] == [size, size]
+
+
 # --- near duplicates
 
 
