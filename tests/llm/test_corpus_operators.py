@@ -466,3 +466,44 @@ def test_pipeline_stages(spark):
         counts.append(docs.count())
     assert counts == sorted(counts, reverse=True) and counts[-1] > 100
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == counts[-1]
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Nulls, repeated rows and columns with clashing names, against plain Python."""
+    import corpus_pipeline
+
+    tokenizers = pytest.importorskip("tokenizers")
+    rng = random.Random(17)
+    exam = [words(rng, 25) for _ in range(4)]
+    texts_ = [words(rng, rng.randint(30, 45)) for _ in range(14)]
+    near = texts_[0].split()
+    near[-1] = "changed"
+    leaked = f"{words(rng, 10)} {exam[2]} {words(rng, 10)}"
+    rows = [(10 + k, t) for k, t in enumerate(texts_)]
+    rows += [(40, " ".join(near)), (41, leaked), (42, None), (43, ""), (44, "few words"), (44, "few words"), (None, words(rng, 33))]
+    folder = str(tmp_path)
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, label int, whole bigint, band string"
+    docs = spark.createDataFrame([(i, t, "en", "s", None, "x", 1, 2, "b") for i, t in rows], columns)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(list(enumerate(exam)), "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    groups = classes_by_force([(k, t) for k, (_, t) in enumerate(rows)])
+    stay = [rows[k] for k in sorted(set(groups.values())) if not any(e in (rows[k][1] or "") for e in exam)]
+    library = tokenizers.Tokenizer.from_file(queries.VOCABULARY)
+    library.no_truncation()
+    library.no_padding()
+    expected = []
+    for i, t in stay:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        expected.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()))
+    got = [(r.doc_id, r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, folder).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    docs_frame(spark, [(1, "x")]).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "some words")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
