@@ -75,16 +75,16 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    low, step = F.col("__s.lo"), (F.col("__s.hi") - F.col("__s.lo")) / bins
     edges = (
-        df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-        .select("lo", ((F.col("hi") - F.col("lo")) / bins).alias("w"),
-                F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        df.sparkSession.range(bins)
+        .select(F.col("id").cast("int").alias("bin"), span.alias("__s"))
         .select(
             "bin",
-            (F.col("lo") + F.col("bin") * F.col("w")).alias("bin_low"),
-            (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("bin_high"),
+            (low + F.col("bin") * step).alias("bin_low"),
+            (low + (F.col("bin") + 1) * step).alias("bin_high"),
         )
-    )
+    )
     return edges.join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
