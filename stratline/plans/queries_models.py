@@ -84,6 +84,21 @@ def linear_model_metrics(spark, sf):
     return out.select("model", "split", "metric", F.round("value", 4).alias("value"))
 
 
+@query(f"""WITH {LINES_SQL}
+SELECT split, count(*) AS n, round(avg(my + b1 * (x1 - m1) + b2 * (x2 - m2)), 4) AS mean_prediction
+FROM lag_rows, lines WHERE model = 'ridge' GROUP BY split""")
+def saved_model_scores(spark, sf):
+    """A fitted model, saved, loaded and applied to all rows."""
+    folder = sinks.table_folder(spark)
+    rows = lag_rows(spark, sf)
+    train = rows.where(F.col("YearStart") <= TRAIN_MAX)
+    training.fit_regressors(train, FEATURES, "Data_Value", LINEAR, folder)
+    loaded = {"ridge": sinks.load_model(folder, "regression", "ridge")}
+    split = targets.split_name(F.col("YearStart"), SETTINGS)
+    out = training.score(rows.withColumn("split", split), loaded, "Data_Value", keep=["split"])
+    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 4).alias("mean_prediction"))
+
+
 @query(f"""WITH {LAG_ROWS_SQL} SELECT 'lasso' AS model, 'lag_1' AS feature,
   round(sign(s1y) * greatest(abs(s1y) / sqrt(s11) - 0.5, 0), 4) AS coefficient FROM m""")
 def lasso_coefficient(spark, sf):

@@ -410,3 +410,22 @@ def written_table_rescan(spark, sf):
         F.min("Data_Value").alias("low"),
         F.max("Data_Value").alias("high"),
     )
+
+
+@query(f"""WITH {LABELLED_PANEL_SQL}
+SELECT round(any_value(t), 6) AS high_risk_threshold, CAST(75 AS INTEGER) AS high_risk_percentile,
+  count(early_warning) >= 100 AS early_warning_built, count(*) AS n_total_rows,
+  CAST(sum(coalesce(high_risk_obesity, 0)) AS BIGINT) AS n_high_risk,
+  CASE WHEN count(early_warning) >= 100 THEN 'early_warning' ELSE 'high_risk_obesity' END AS target
+FROM warned, limits""")
+def target_metadata(spark, sf):
+    """What building the targets learned, and the classification target it leads to."""
+    base = sparse_table(spark, sf)
+    settings = SETTINGS.override(unit_key=("unit",), early_warning_min_pairs=100)
+    _, found = targets.build(base, F.col("YearStart") <= TRAIN_MAX, settings, unique=True)
+    return found.as_frame(spark).select(
+        F.round("high_risk_threshold", 6).alias("high_risk_threshold"),
+        F.col("high_risk_percentile").cast("int").alias("high_risk_percentile"),
+        "early_warning_built", "n_total_rows", "n_high_risk",
+        F.lit(targets.choose(found, settings)).alias("target"),
+    )
