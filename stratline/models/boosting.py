@@ -1,12 +1,14 @@
 """Second-order histogram boosting whose passes over the rows are Spark aggregates.
 
-Features are cut into bins at approximate quantiles and rows are packed into written blocks.
-Every level of a tree is one aggregate: the sums of gradient and hessian for each (node,
-feature, bin). What reaches the driver does not depend on the number of rows; it picks the
-split of each node by gain G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2) - G^2 / (H + l2) and the
-leaf value -G / (H + l2), times the rate. Ensembles that are fitted together (models, or the
-folds of a cross-validation) grow in step, so a level of all of them is one pass. Rows that
-make one block have nothing to add up between tasks: there every ensemble grows in a task.
+Features are cut into bins at approximate quantiles. Rows that no sum can tell apart (same
+bins, fold and draw, and label, or under squared loss its mean) become one with a count, and
+are packed into written blocks. Every level of a tree is one aggregate: the sums of gradient
+and hessian for each (node, feature, bin). What reaches the driver does not depend on the
+number of rows; it picks the split of each node by gain G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2)
+- G^2 / (H + l2) and the leaf value -G / (H + l2), times the rate. Ensembles that are fitted
+together (models, or the folds of a cross-validation) grow in step, so a level of all of them
+is one pass; the margins are carried on by each finished tree. Rows that one task holds
+(250 000) have nothing to add up between tasks: there every ensemble grows in a task.
 
 Rows are drawn for a tree by a hash of their values and the number of the tree: the draw
 depends on nothing else, and copies of a row are drawn together. Nulls lie below all values.
@@ -38,11 +40,14 @@ from stratline.models.trees import Ensemble, Plan, Tree, can_split, split
 
 Cut = Callable[[DataFrame, str], DataFrame]
 
-# Trees after which the margins of all rows are written anew.
+# Trees after which the margins of all rows are written anew; between them they are cached.
 REFRESH = 16
-# Rows of one block: as many as a task holds without notice (a few MB).
-BLOCK_ROWS = 50_000
-BLOCK_SCHEMA = "bins binary, y binary, draw binary, fold binary, margins binary"
+# Different rows that one task grows its ensemble on: some 20 MB, and twice that in sums.
+BLOCK_ROWS = 250_000
+# Rows of a block; the arrays of a pass over it stay in the processor's cache.
+PASS_ROWS = 10_000
+BLOCK_COLUMNS = ["bins", "y", "draw", "fold", "n", "margins"]
+BLOCK_SCHEMA = ", ".join(f"{c} binary" for c in BLOCK_COLUMNS)
 
 
 # --- bins -------------------------------------------------------------------------------
@@ -66,13 +71,17 @@ def binned(x: np.ndarray, cuts: Sequence[Sequence[float]]) -> np.ndarray:
     return out
 
 
-def packed(rows: DataFrame, features: Sequence[str], label: str, fold: str | None, cuts, ensembles: int) -> DataFrame:
-    """Blocks of rows: bins, labels, draws, folds and the margins of every ensemble."""
+def merged(rows: DataFrame, features: Sequence[str], label: str, fold: str | None, cuts, plans: Sequence[Plan]) -> DataFrame:
+    """(bins, y, draw, fold, n): rows that all sums of all plans take as one, and their number.
+
+    Under squared loss only the mean label of rows with equal bins counts; under logistic
+    loss the label itself does. Where a plan draws rows, those of different draws stay apart."""
     width = len(features)
     values = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in features]
     y = F.col(label).cast("double")
+    draw = F.xxhash64(*values, y) if any(p.subsample < 1 for p in plans) else F.lit(0).cast("bigint")
     flat = rows.select(
-        F.array(*values).alias("x"), y.alias("y"), F.xxhash64(*values, y).alias("draw"),
+        F.array(*values).alias("x"), y.alias("y"), draw.alias("draw"),
         (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"),
     )
 
@@ -80,15 +89,33 @@ def packed(rows: DataFrame, features: Sequence[str], label: str, fold: str | Non
         for batch in batches:
             if batch.num_rows:
                 x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                parts = [
-                    binned(x, cuts).tobytes(),
-                    *(batch.column(k).to_numpy(zero_copy_only=False).tobytes() for k in (1, 2)),
-                    batch.column(3).to_numpy(zero_copy_only=False).astype(np.int32).tobytes(),
-                    np.zeros((ensembles, batch.num_rows)).tobytes(),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names=["bins", "y", "draw", "fold", "margins"])
+                bins = binned(x, cuts).tobytes()
+                ends = np.arange(0, len(bins) + 1, width, dtype=np.int32)
+                column = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(bins)])
+                yield pa.RecordBatch.from_arrays([column, *batch.columns[1:]], names=["bins", "y", "draw", "fold"])
+
+    each = flat.mapInArrow(run, "bins binary, y double, draw bigint, fold int")
+    keys = ["bins", "draw", "fold"]
+    if any(p.logistic for p in plans):
+        return each.groupBy(*keys, "y").agg(F.count("*").alias("n")).select("bins", "y", "draw", "fold", "n")
+    return each.groupBy(*keys).agg(F.avg("y").alias("y"), F.count("*").alias("n")).select("bins", "y", "draw", "fold", "n")
+
+
+def packed(rows: DataFrame, ensembles: int) -> DataFrame:
+    """Blocks of merged rows: bins, labels, draws, folds, numbers and the margins of every ensemble."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(k, PASS_ROWS) for b in batches for k in range(0, b.num_rows, PASS_ROWS)):
+            parts = [
+                b"".join(batch.column(0).to_pylist()),
+                *(batch.column(k).to_numpy(zero_copy_only=False).tobytes() for k in (1, 2)),
+                batch.column(3).to_numpy(zero_copy_only=False).astype(np.int32).tobytes(),
+                batch.column(4).to_numpy(zero_copy_only=False).astype(float).tobytes(),
+                np.zeros((ensembles, batch.num_rows)).tobytes(),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names=BLOCK_COLUMNS)
 
-    return flat.mapInArrow(run, BLOCK_SCHEMA)
+    return rows.mapInArrow(run, BLOCK_SCHEMA)
 
 
 @dataclass
@@ -97,6 +124,7 @@ class Block:
     y: np.ndarray
     draw: np.ndarray
     fold: np.ndarray
+    n: np.ndarray
     margins: np.ndarray
 
 
@@ -106,7 +134,8 @@ def unpacked(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[Bl
             y = np.frombuffer(row["y"], float)
             yield Block(
                 np.frombuffer(row["bins"], np.uint8).reshape(-1, width), y, np.frombuffer(row["draw"], np.uint64),
-                np.frombuffer(row["fold"], np.int32), np.frombuffer(row["margins"], float).reshape(-1, len(y)),
+                np.frombuffer(row["fold"], np.int32), np.frombuffer(row["n"], float),
+                np.frombuffer(row["margins"], float).reshape(-1, len(y)),
             ), row
 
 
@@ -132,43 +161,45 @@ def slopes(y: np.ndarray, margin: np.ndarray, plan: Plan) -> tuple[np.ndarray, n
     return weight * (p - y), weight * p * (1 - p)
 
 
-def add_sums(total, block: Block, base: np.ndarray, margin: np.ndarray, e: Ensemble, level: int, width: int, bins: int):
+def add_sums(total, block: Block, base: np.ndarray, margin: np.ndarray, e: Ensemble, number: int, level: int, width: int, bins: int):
     """Add a block's gradient and hessian sums to total[2, nodes * width * bins]. base is the
-    place of each (row, feature) within the sums of a node."""
+    place of each (row, feature) within the sums of a node; the last tree of the ensemble,
+    with this number, is the one that grows."""
     nodes = 2**level
     at = e.trees[-1].nodes(block.bins, level)
-    used = (at >= nodes - 1) & drawn(block.draw, e.plan, len(e.trees) - 1)
+    used = (at >= nodes - 1) & drawn(block.draw, e.plan, number)
     if e.plan.without_fold is not None:
         used &= block.fold != e.plan.without_fold
     rows = slice(None) if used.all() else np.flatnonzero(used)
     slope = slopes(block.y[rows], margin[rows], e.plan)
-    cell = ((at[rows] - (nodes - 1)) * (width * bins))[:, None] + base[rows]
-    for out, w in zip(total, slope):
-        out += np.bincount(cell.reshape(-1), np.repeat(w, width), nodes * width * bins)
+    place, base, n = (at[rows] - (nodes - 1)) * (width * bins), base[rows], block.n[rows]
+    for k in range(width):
+        cell = place + base[:, k]
+        for out, w in zip(total, slope):
+            out += np.bincount(cell, w * n, nodes * width * bins)
 
 
 def places(block: Block, width: int, bins: int) -> np.ndarray:
     return np.arange(width) * bins + block.bins
 
 
-def level_sums(blocks: DataFrame, ensembles: Sequence[Ensemble | None], first: int, level: int, width: int, bins: int):
+def level_sums(blocks: DataFrame, ensembles: Sequence[Ensemble | None], number: int, level: int, width: int, bins: int):
     """(gradient, hessian) as arrays [ensemble, node of the level, feature, bin], zero for
     ensembles that rest.
 
-    first is the tree from which on margins are not in the blocks yet; the last tree of each
-    ensemble is the one that grows."""
+    The last tree of each ensemble, with this number, is the one that grows; the margins of
+    those before are in the blocks."""
     shape = (len(ensembles), 2**level, width, bins)
     part = 2**level * width * bins
+    growing = [e and Ensemble(e.plan, e.start, e.trees[-1:]) for e in ensembles]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, len(ensembles) * part))
+        total = np.zeros((2, len(growing) * part))
         for block, _ in unpacked(batches, width):
             base = places(block, width, bins)
-            for k, e in enumerate(ensembles):
+            for k, e in enumerate(growing):
                 if e is not None:
-                    done = Ensemble(e.plan, 0.0, e.trees[first:-1])
-                    margin = e.start + block.margins[k] + done.margins(block.bins)
-                    add_sums(total[:, k * part : (k + 1) * part], block, base, margin, e, level, width, bins)
+                    add_sums(total[:, k * part : (k + 1) * part], block, base, e.start + block.margins[k], e, number, level, width, bins)
         slot = np.flatnonzero((total != 0).any(0))
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[0][slot]), pa.array(total[1][slot])], names=["slot", "g", "h"])
 
@@ -179,12 +210,13 @@ def level_sums(blocks: DataFrame, ensembles: Sequence[Ensemble | None], first: i
     return out[0].reshape(shape), out[1].reshape(shape)
 
 
-def refreshed(blocks: DataFrame, ensembles: Sequence[Ensemble], first: int, width: int) -> DataFrame:
-    """Blocks whose margins hold all trees grown so far."""
+def refreshed(blocks: DataFrame, ensembles: Sequence[Ensemble], number: int, width: int) -> DataFrame:
+    """Blocks whose margins hold the tree of this number too."""
+    last = [Ensemble(e.plan, 0.0, e.trees[number : number + 1]) for e in ensembles]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, row in unpacked(batches, width):
-            margins = np.stack([block.margins[k] + e.margins(block.bins, first) for k, e in enumerate(ensembles)])
+            margins = np.stack([block.margins[k] + e.margins(block.bins) for k, e in enumerate(last)])
             row = dict(row, margins=margins.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in row.values()], names=list(row))
 
@@ -237,25 +269,34 @@ def grow(
     width = len(features)
     cuts = cut_points(rows, features, bins - 1)
     ensembles = [Ensemble(p, s) for p, s in zip(plans, starts(rows, label, fold, plans))]
-    blocks = cut(packed(rows, features, label, fold, cuts, len(plans)), "blocks-0")
-    if rows.count() <= BLOCK_ROWS:
+    blocks = cut(packed(merged(rows, features, label, fold, cuts, plans), len(plans)), "blocks-0")
+    if (blocks.agg(F.sum(F.octet_length("n"))).first()[0] or 0) // 8 <= BLOCK_ROWS:
         return cuts, grown_in_tasks(blocks, ensembles, width, bins)
-    held, first = blocks.persist(), 0
+    held, stale, tree = blocks.persist(), None, 0
 
     def sums(open_: Sequence[Ensemble | None], level: int):
-        return level_sums(held, open_, first, level, width, bins)
+        nonlocal stale
+        found = level_sums(held, open_, tree, level, width, bins)
+        if stale is not None:  # the pass has filled what replaces it
+            stale.unpersist()
+            stale = None
+        return found
 
     def grown(number: int) -> None:
-        nonlocal held, first
+        nonlocal held, stale, tree
+        fresh = refreshed(held, ensembles, number, width)
         if (number + 1) % REFRESH == 0:
-            fresh = cut(refreshed(held, ensembles, first, width), f"blocks-{number + 1}").persist()
-            held.unpersist()
-            held, first = fresh, number + 1
+            fresh = cut(fresh, f"blocks-{number + 1}")
+        if stale is not None:  # no level of this tree was looked at
+            stale.unpersist()
+        held, stale, tree = fresh.persist(), held, number + 1
 
     try:
         in_step(ensembles, sums, grown)
     finally:
         held.unpersist()
+        if stale is not None:
+            stale.unpersist()
     return cuts, ensembles
 
 
@@ -266,13 +307,13 @@ def grown_in_tasks(blocks: DataFrame, ensembles: Sequence[Ensemble], width: int,
     def run(key: tuple, table: pa.Table) -> pa.Table:
         e = ensembles[key[0].as_py()]
         parts = [block for block, _ in unpacked(table.to_batches(), width)]
-        names = ("bins", "y", "draw", "fold")
+        names = BLOCK_COLUMNS[:-1]
         block = Block(*(np.concatenate([getattr(p, n) for p in parts]) for n in names), np.zeros((0, 0)))
         base, margin = places(block, width, bins), np.full(len(block.y), e.start)
 
         def sums(open_: Sequence[Ensemble | None], level: int):
             total = np.zeros((2, 2**level * width * bins))
-            add_sums(total, block, base, margin, e, level, width, bins)
+            add_sums(total, block, base, margin, e, len(e.trees) - 1, level, width, bins)
             return total.reshape(2, 1, 2**level, width, bins)
 
         def grown(number: int) -> None:

@@ -86,6 +86,7 @@ def _tree_params(params, seed):
         seed=seed,
         maxMemoryInMB=params.get("memory_mb", 256),
         maxBins=params.get("max_bins", 32),
+        cacheNodeIds=True,  # else every level walks down all trees again
     )
 
 
@@ -208,6 +209,16 @@ def boost(
     }
 
 
+def shared_out(rows: DataFrame, n_rows: int) -> DataFrame:
+    """Few rows are few tasks; many rows in few partitions are dealt out to all cores, as the
+    passes of a forest over them are long."""
+    tasks = max(1, ceil(n_rows / ROWS_PER_TASK))
+    enough = min(tasks, rows.sparkSession.sparkContext.defaultParallelism)
+    if rows.rdd.getNumPartitions() < enough:
+        return rows.repartition(enough).persist()
+    return rows.coalesce(tasks)
+
+
 def _fit(train, features, label, configs, stages, settings, track, folder) -> dict[str, Fitted]:
     kinds = {name: kind_of(name, params) for name, params in configs.items()}
     known = {*stages, *BOOSTED, *(LINEAR if track == "regression" else (LOGISTIC,))}
@@ -222,8 +233,7 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
     ).persist()
     facts = training_facts(rows, features, LABEL)
     vectorise = assembler(features)
-    # Few rows should not be many tasks. More partitions than there are stay as they are.
-    held = rows.coalesce(max(1, ceil(facts.n_rows / ROWS_PER_TASK)))
+    held = shared_out(rows, facts.n_rows)
     base = vectorise.transform(held)
     if track == "classification":
         base = balanced_weights(base, LABEL, WEIGHT)
@@ -249,6 +259,7 @@ def _fit(train, features, label, configs, stages, settings, track, folder) -> di
         with ThreadPool(max(1, min(settings.parallel_fits, len(jobs)))) as pool:
             done = pool.map(inheritable_thread_target(train.sparkSession)(fit_one), jobs)
     finally:
+        held.unpersist()
         rows.unpersist()
     fitted = {f.name: f for group in done for f in group}
     for name, f in fitted.items():

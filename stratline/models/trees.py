@@ -42,10 +42,10 @@ class Tree:
     def nodes(self, bins: np.ndarray, levels: int) -> np.ndarray:
         """The node of each row after so many levels."""
         at = np.zeros(len(bins), int)
-        rows = np.arange(len(bins))
+        flat, rows = bins.reshape(-1), np.arange(len(bins)) * bins.shape[1]
         for _ in range(levels):
-            feature = self.feature[at]
-            right = bins[rows, np.maximum(feature, 0)] > self.bin[at]
+            feature = self.feature.take(at)
+            right = flat.take(rows + np.maximum(feature, 0)) > self.bin.take(at)
             at = np.where(feature < 0, at, 2 * at + 1 + right)
         return at
 

@@ -348,3 +348,27 @@ def test_boosted_cross_validation_and_missing_values(spark, data):
     empty = df.where("row < 0")
     _, (none,) = boosting.grow(empty, FEATURES, "y", [Plan(trees=2, depth=2)], sinks.table_cut(spark))
     assert none.start == 0 and not none.margins(np.zeros((1, 3), np.uint8)).any()
+
+
+def test_rows_with_equal_bins_are_one_row_with_a_count(spark):
+    x, y = grid_rows(120)
+    pdf = pd.DataFrame({"a": x[:, 0] % 2, "b": x[:, 1] % 3, "c": 1.0, "y": y})
+    df = spark.createDataFrame(pd.concat([pdf] * 3))
+    cuts = boosting.cut_points(df, FEATURES, 63)
+    rows = boosting.merged(df, FEATURES, "y", None, cuts, [Plan()]).collect()
+    expected = pdf.groupby(["a", "b"])["y"].agg(["mean", "size"])
+    assert sorted((round(r.y, 9), r.n) for r in rows) == sorted((round(m, 9), 3 * n) for m, n in expected.itertuples(index=False))
+    # Rows of a different draw or, under logistic loss, label stay apart.
+    assert len(boosting.merged(df, FEATURES, "y", None, cuts, [Plan(subsample=0.5)]).collect()) == 120
+    flags = df.withColumn("y", (df["y"] > 14).cast("double"))
+    logistic = boosting.merged(flags, FEATURES, "y", None, cuts, [Plan(logistic=True)]).collect()
+    assert {r.y for r in logistic} == {0.0, 1.0} and sum(r.n for r in logistic) == 360
+
+
+def test_many_rows_in_one_partition_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 10)
+    rows = spark.range(25).coalesce(1).persist()
+    held = training.shared_out(rows, 25)
+    assert held.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism) and held.count() == 25
+    assert training.shared_out(rows, 5).rdd.getNumPartitions() == 1
+    held.unpersist(), rows.unpersist()
