@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -507,3 +508,21 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, "some words")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_windows_that_cannot_hold_a_passage_are_not_compared(monkeypatch):
+    item = " ".join(f"w{k}" for k in range(30))
+    plan = decontaminate.Search()
+    index = decontaminate.pieces_of([(1, item)], plan)
+    index.idf = np.ones(len(index.terms))
+    index.basis = np.eye(len(index.terms), dtype=np.float32)
+    index.latent = np.stack([index.basis[p].sum(0) for p in index.pieces])
+    index.latent /= np.linalg.norm(index.latent, axis=1, keepdims=True)
+    # Three words of the item again and again, in each stride as often as the item has them.
+    few = " ".join(" ".join([*(f"w{k}" for k in range(s, s + 4)), *(f"x{s}y{k}" for k in range(12))]) for s in (0, 1, 0, 1, 0, 1))
+    asked, plain = [], decontaminate.common_with
+    monkeypatch.setattr(decontaminate, "common_with", lambda *x: asked.append(x) or plain(*x))
+    (block,) = texts.blocks(pa.array([few, "a b c " + item + " d e f"]))
+    found = decontaminate.matches(block, index, plan)
+    assert [(row, piece, share) for row, piece, _, share, *_ in found] == [(1, 0, 1.0)]
+    assert asked and all(len(set(here)) >= 17 for _, size, here in asked if size == 30)
