@@ -3,7 +3,8 @@
 Features are cut into bins at approximate quantiles. Rows that no sum can tell apart (same
 bins, fold and draw, and label, or under squared loss its mean) become one with a count, and
 are packed into written blocks. Every level of a tree is one aggregate: the sums of gradient
-and hessian for each (node, feature, bin). What reaches the driver does not depend on the
+and hessian for each (node, feature, bin), over cached arrays, as a pass of its own query
+would cost more than the sums. What reaches the driver does not depend on the
 number of rows; it picks the split of each node by gain G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2)
 - G^2 / (H + l2) and the leaf value -G / (H + l2), times the rate. Ensembles that are fitted
 together (models, or the folds of a cross-validation) grow in step, so a level of all of them
@@ -17,12 +18,13 @@ depends on nothing else, and copies of a row are drawn together. Nulls lie below
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -34,7 +36,7 @@ from pyspark.ml.param.shared import (
     HasRawPredictionCol,
 )
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratline.models.trees import Ensemble, Plan, Tree, can_split, split
 
@@ -46,6 +48,9 @@ REFRESH = 16
 BLOCK_ROWS = 250_000
 # Rows of a block; the arrays of a pass over it stay in the processor's cache.
 PASS_ROWS = 10_000
+# Sums of all partitions that a pass sends to the driver, at most.
+SENT_BYTES = 16 << 20
+KEPT = StorageLevel.MEMORY_AND_DISK
 BLOCK_COLUMNS = ["bins", "y", "draw", "fold", "n", "margins"]
 BLOCK_SCHEMA = ", ".join(f"{c} binary" for c in BLOCK_COLUMNS)
 
@@ -128,15 +133,25 @@ class Block:
     margins: np.ndarray
 
 
-def unpacked(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[Block, dict]]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            y = np.frombuffer(row["y"], float)
-            yield Block(
-                np.frombuffer(row["bins"], np.uint8).reshape(-1, width), y, np.frombuffer(row["draw"], np.uint64),
-                np.frombuffer(row["fold"], np.int32), np.frombuffer(row["n"], float),
-                np.frombuffer(row["margins"], float).reshape(-1, len(y)),
-            ), row
+def unpacked(row: Mapping, width: int) -> Block:
+    y = np.frombuffer(row["y"], float)
+    return Block(
+        np.frombuffer(row["bins"], np.uint8).reshape(-1, width), y, np.frombuffer(row["draw"], np.uint64),
+        np.frombuffer(row["fold"], np.int32), np.frombuffer(row["n"], float),
+        np.frombuffer(row["margins"], float).reshape(-1, len(y)),
+    )
+
+
+def dealt(blocks: DataFrame, width: int) -> RDD:
+    """The blocks as arrays, dealt out to all cores; a pass over them plans no query."""
+    parts = blocks.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(parts).rdd.map(lambda row: unpacked(row.asDict(), width))
+
+
+def written(blocks: RDD, cut: Cut, spark: SparkSession, name: str, width: int) -> RDD:
+    """The blocks read back from a table of their own."""
+    rows = blocks.map(lambda b: tuple(getattr(b, c).tobytes() for c in BLOCK_COLUMNS))
+    return dealt(cut(spark.createDataFrame(rows, BLOCK_SCHEMA, verifySchema=False), name), width)
 
 
 # --- passes -----------------------------------------------------------------------------
@@ -163,7 +178,7 @@ def slopes(y: np.ndarray, margin: np.ndarray, plan: Plan) -> tuple[np.ndarray, n
 
 def add_sums(total, block: Block, base: np.ndarray, margin: np.ndarray, e: Ensemble, number: int, level: int, width: int, bins: int):
     """Add a block's gradient and hessian sums to total[2, nodes * width * bins]. base is the
-    place of each (row, feature) within the sums of a node; the last tree of the ensemble,
+    place of each (feature, row) within the sums of a node; the last tree of the ensemble,
     with this number, is the one that grows."""
     nodes = 2**level
     at = e.trees[-1].nodes(block.bins, level)
@@ -171,56 +186,51 @@ def add_sums(total, block: Block, base: np.ndarray, margin: np.ndarray, e: Ensem
     if e.plan.without_fold is not None:
         used &= block.fold != e.plan.without_fold
     rows = slice(None) if used.all() else np.flatnonzero(used)
-    slope = slopes(block.y[rows], margin[rows], e.plan)
-    place, base, n = (at[rows] - (nodes - 1)) * (width * bins), base[rows], block.n[rows]
-    for k in range(width):
-        cell = place + base[:, k]
-        for out, w in zip(total, slope):
-            out += np.bincount(cell, w * n, nodes * width * bins)
+    weights = [w * block.n[rows] for w in slopes(block.y[rows], margin[rows], e.plan)]
+    place = (at[rows] - (nodes - 1)) * (width * bins)
+    for column in base:
+        cell = place + column[rows]
+        for out, w in zip(total, weights):
+            out += np.bincount(cell, w, nodes * width * bins)
 
 
 def places(block: Block, width: int, bins: int) -> np.ndarray:
-    return np.arange(width) * bins + block.bins
+    return np.ascontiguousarray((np.arange(width) * bins + block.bins).T)
 
 
-def level_sums(blocks: DataFrame, ensembles: Sequence[Ensemble | None], number: int, level: int, width: int, bins: int):
+def level_sums(blocks: RDD, ensembles: Sequence[Ensemble | None], number: int, level: int, width: int, bins: int):
     """(gradient, hessian) as arrays [ensemble, node of the level, feature, bin], zero for
     ensembles that rest.
 
     The last tree of each ensemble, with this number, is the one that grows; the margins of
-    those before are in the blocks."""
+    those before are in the blocks. Where the sums of all partitions are large they are
+    added up in two steps."""
     shape = (len(ensembles), 2**level, width, bins)
     part = 2**level * width * bins
     growing = [e and Ensemble(e.plan, e.start, e.trees[-1:]) for e in ensembles]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(some: Iterable[Block]) -> Iterator[np.ndarray]:
         total = np.zeros((2, len(growing) * part))
-        for block, _ in unpacked(batches, width):
+        for block in some:
             base = places(block, width, bins)
             for k, e in enumerate(growing):
                 if e is not None:
                     add_sums(total[:, k * part : (k + 1) * part], block, base, e.start + block.margins[k], e, number, level, width, bins)
-        slot = np.flatnonzero((total != 0).any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[0][slot]), pa.array(total[1][slot])], names=["slot", "g", "h"])
+        yield total
 
-    sums = blocks.mapInArrow(run, "slot bigint, g double, h double").groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    found = sums.toArrow()
-    out = np.zeros((2, int(np.prod(shape))))
-    out[:, found.column("slot").to_numpy()] = found.column("g").to_numpy(), found.column("h").to_numpy()
+    large = blocks.getNumPartitions() * 2 * len(growing) * part * 8 > SENT_BYTES
+    out = blocks.mapPartitions(run).treeReduce(np.add, 2 if large else 1)
     return out[0].reshape(shape), out[1].reshape(shape)
 
 
-def refreshed(blocks: DataFrame, ensembles: Sequence[Ensemble], number: int, width: int) -> DataFrame:
+def refreshed(blocks: RDD, ensembles: Sequence[Ensemble], number: int) -> RDD:
     """Blocks whose margins hold the tree of this number too."""
     last = [Ensemble(e.plan, 0.0, e.trees[number : number + 1]) for e in ensembles]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, row in unpacked(batches, width):
-            margins = np.stack([block.margins[k] + e.margins(block.bins) for k, e in enumerate(last)])
-            row = dict(row, margins=margins.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in row.values()], names=list(row))
+    def run(block: Block) -> Block:
+        return replace(block, margins=np.stack([block.margins[k] + e.margins(block.bins) for k, e in enumerate(last)]))
 
-    return blocks.mapInArrow(run, BLOCK_SCHEMA)
+    return blocks.map(run)
 
 
 def starts(rows: DataFrame, label: str, fold: str | None, plans: Sequence[Plan]) -> list[float]:
@@ -272,7 +282,7 @@ def grow(
     blocks = cut(packed(merged(rows, features, label, fold, cuts, plans), len(plans)), "blocks-0")
     if (blocks.agg(F.sum(F.octet_length("n"))).first()[0] or 0) // 8 <= BLOCK_ROWS:
         return cuts, grown_in_tasks(blocks, ensembles, width, bins)
-    held, stale, tree = blocks.persist(), None, 0
+    held, stale, tree = dealt(blocks, width).persist(KEPT), None, 0
 
     def sums(open_: Sequence[Ensemble | None], level: int):
         nonlocal stale
@@ -284,12 +294,12 @@ def grow(
 
     def grown(number: int) -> None:
         nonlocal held, stale, tree
-        fresh = refreshed(held, ensembles, number, width)
+        fresh = refreshed(held, ensembles, number)
         if (number + 1) % REFRESH == 0:
-            fresh = cut(fresh, f"blocks-{number + 1}")
+            fresh = written(fresh, cut, rows.sparkSession, f"blocks-{number + 1}", width)
         if stale is not None:  # no level of this tree was looked at
             stale.unpersist()
-        held, stale, tree = fresh.persist(), held, number + 1
+        held, stale, tree = fresh.persist(KEPT), held, number + 1
 
     try:
         in_step(ensembles, sums, grown)
@@ -306,7 +316,7 @@ def grown_in_tasks(blocks: DataFrame, ensembles: Sequence[Ensemble], width: int,
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         e = ensembles[key[0].as_py()]
-        parts = [block for block, _ in unpacked(table.to_batches(), width)]
+        parts = [unpacked(row, width) for row in table.to_pylist()]
         names = BLOCK_COLUMNS[:-1]
         block = Block(*(np.concatenate([getattr(p, n) for p in parts]) for n in names), np.zeros((0, 0)))
         base, margin = places(block, width, bins), np.full(len(block.y), e.start)

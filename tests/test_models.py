@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from stratline.models import boosting, evaluation, explain, sequence, training
 from stratline.models.evaluation import fold_plan
@@ -372,3 +373,17 @@ def test_many_rows_in_one_partition_are_dealt_out(spark, monkeypatch):
     assert held.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism) and held.count() == 25
     assert training.shared_out(rows, 5).rdd.getNumPartitions() == 1
     held.unpersist(), rows.unpersist()
+
+
+def test_passes_of_boosting_plan_no_query_for_a_level(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 0)
+    monkeypatch.setattr(boosting, "SENT_BYTES", 0)  # sums in two steps
+    arrow, calls = DataFrame.toArrow, []
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: calls.append(self) or arrow(self))
+    x, y = grid_rows(200)
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y})).repartition(3)
+    cuts, (e,) = boosting.grow(df, FEATURES, "y", [Plan(trees=3, depth=2)], sinks.table_cut(spark))
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 1000)
+    _, (alone,) = boosting.grow(df, FEATURES, "y", [Plan(trees=3, depth=2)], sinks.table_cut(spark))
+    bins = boosting.binned(x, cuts)
+    assert e.margins(bins) == pytest.approx(alone.margins(bins), abs=1e-9) and not calls
