@@ -23,10 +23,11 @@ import json
 import math
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -253,13 +254,39 @@ class Lanes:
         self.end, self.ending = texts.Vocabulary(self.key([e for e, _ in ends])), np.array([t for _, t in ends])
         self.pair = texts.Vocabulary(self.key([a << 20 | b for a, b in merges.pairs]))
         self.left, self.right, self.born = (np.array(x) for x in (merges.left, merges.right, merges.born))
+        self.met = np.full(1 << 20, -1)  # the last pair of each slot, and whether it can stand so
+        source, byte_of = np.array([e >> 8 for e, _ in edges]), np.array([e & 255 for e, _ in edges])
+        # Moves by the most frequent symbols are a table; others go down the failure links.
+        frequent = np.argsort(-np.bincount(byte_of, minlength=256), kind="stable")[:32]
+        self.column = np.full(256, -1)
+        self.column[frequent] = np.arange(len(frequent))
+        self.goto = np.zeros((len(states), len(frequent)), np.int32)
+        tabled = self.column[byte_of] >= 0
+        source, byte_of, target = source[tabled], byte_of[tabled], self.child[tabled]
+        for deep in range(int(self.depth.max(initial=0)) + 1):
+            if deep:
+                level = np.flatnonzero(self.depth == deep)
+                self.goto[level] = self.goto[self.fail[level]]
+            here = self.depth[source] == deep
+            self.goto[source[here], self.column[byte_of[here]]] = target[here]
 
     @staticmethod
     def key(numbers) -> np.ndarray:
         return texts.mix(np.asarray(numbers, np.uint64) + np.uint64(1))
 
-    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def neighbours(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Merges.neighbours for many pairs."""
+        pair = a << 20 | b
+        slot = ((pair.astype(np.uint64) * texts.STEP) >> np.uint64(44)).astype(np.int64)
+        known = self.met[slot]
+        out = (known & 1).astype(bool)
+        new = np.flatnonzero(known >> 1 != pair)
+        if len(new):
+            out[new] = self.apart(a[new], b[new])
+            self.met[slot[new]] = pair[new] << 1 | out[new]
+        return out
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out = np.ones(len(a), bool)
         until_a = np.full(len(a), 1 << 40)
         until_b = until_a.copy()
@@ -277,7 +304,10 @@ class Lanes:
         return out
 
     def move(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        out, open_ = np.zeros(len(state), np.int64), np.arange(len(state))
+        column = self.column[symbol]
+        out = self.goto[state, column].astype(np.int64)  # column -1: found below
+        open_ = np.flatnonzero(column < 0)
+        out[open_], state, symbol = 0, state[open_], symbol[open_]
         while len(open_):
             got = self.edge.find(self.key(state << 8 | symbol))
             there = got >= 0
@@ -286,23 +316,29 @@ class Lanes:
             open_, symbol, state = open_[again], symbol[again], self.fail[state[again]]
         return out
 
-    def settle(self, at, lanes, sizes, tokens, found, size, wait) -> np.ndarray:
-        """Note the tokens that may stand after what comes before them; give the others back."""
-        before = np.where(size <= at, tokens[lanes, np.maximum(at - size, 0)], -1)
+    def settle(self, at, lanes, sizes, tokens, found, size) -> np.ndarray:
+        """Note the tokens that may stand after what comes before them; tell which may not."""
+        before = np.where(size <= at, tokens[lanes, np.maximum(at - size, 0)], -1).astype(np.int64)
         fits = before < 0
-        fits[~fits] = self.apart(before[~fits], found[~fits])
+        fits[~fits] = self.neighbours(before[~fits], found[~fits])
         tokens[lanes[fits], at], sizes[lanes[fits], at] = found[fits], size[fits]
-        return wait[~fits]
+        return ~fits
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Tokens of each word; the words must not be empty."""
-        order = sorted(range(len(words)), key=lambda k: -len(words[k]))
-        length = np.array([len(words[k]) for k in order])
+        sizes, ids = self.encoded(words)
+        ends = np.cumsum(sizes).tolist()
+        return [ids[end - n : end].tolist() for n, end in zip(sizes.tolist(), ends)]
+
+    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of tokens of each word, and the tokens end to end."""
+        given = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-given, kind="stable")
+        length = given[order]
         longest = int(length[0]) if len(length) else 0
-        symbols = np.zeros((len(words), longest), np.int64)
-        for lane, k in enumerate(order):
-            symbols[lane, : length[lane]] = np.frombuffer(words[k], np.uint8)
-        tokens, sizes = np.full((len(words), longest), -1), np.zeros((len(words), longest), np.int64)
+        symbols = np.zeros((len(words), longest), np.uint8)
+        symbols[np.arange(longest) < length[:, None]] = np.frombuffer(b"".join([words[k] for k in order.tolist()]), np.uint8)
+        tokens, sizes = np.full((len(words), longest), -1, np.int32), np.zeros((len(words), longest), np.int32)
         state = np.zeros(len(words), np.int64)
         for at in range(longest):
             running = int(np.searchsorted(-length, -(at + 1), "left"))  # more symbols follow
@@ -312,27 +348,72 @@ class Lanes:
             while len(wait):
                 got = self.end.find(self.key(place << 8 | symbols[wait, at]))
                 there = got >= 0
-                left = self.settle(at, wait[there], sizes, tokens, self.ending[got[there]], self.depth[place[there]] + 1, wait[there])
                 stay = ~there
-                stay[there] = np.isin(wait[there], left)
+                stay[there] = self.settle(at, wait[there], sizes, tokens, self.ending[got[there]], self.depth[place[there]] + 1)
                 wait, place = wait[stay], self.fail[place[stay]]
             # Lanes that go on.
             state[:running] = node = self.move(state[:running], symbols[:running, at])
             wait = np.arange(running)
             node = np.where(self.token[node] >= 0, node, self.link[node])
             while len(wait):
-                left = self.settle(at, wait, sizes, tokens, self.token[node], self.depth[node], wait)
-                node = self.link[node[np.isin(wait, left)]]
-                wait = left
-        out: list[list[int]] = [[]] * len(words)
-        token_rows, size_rows = tokens.tolist(), sizes.tolist()
-        for lane, k in enumerate(order):
-            at, found, row, size = int(length[lane]) - 1, [], token_rows[lane], size_rows[lane]
-            while at >= 0:
-                found.append(row[at])
-                at -= size[at]
-            out[k] = found[::-1]
-        return out
+                stay = self.settle(at, wait, sizes, tokens, self.token[node], self.depth[node])
+                wait, node = wait[stay], self.link[node[stay]]
+        # Back from the last symbol of every lane, a token of each at a time.
+        back, lane, at = [], np.arange(len(words)), length - 1
+        number = np.zeros(len(words), np.int64)
+        while len(lane):
+            back.append((lane, tokens[lane, at]))
+            number[lane] += 1
+            at = at - sizes[lane, at]
+            lane, at = lane[at >= 0], at[at >= 0]
+        found = np.zeros(len(words), np.int64)
+        found[order] = number
+        last = np.cumsum(found)[order] - 1
+        ids = np.zeros(int(found.sum()), np.int32)
+        for step, (lane, token) in enumerate(back):
+            ids[last[lane] - step] = token
+        return found, ids
+
+
+def running(counts: np.ndarray) -> np.ndarray:
+    """Running total with a leading zero."""
+    return np.concatenate(([0], np.cumsum(counts)))
+
+
+class Known:
+    """Ids of words, end to end in arrays, with the place of every word."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.ends, self.ids = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.int32)
+        self.rows = 0  # the first end is 0
+
+    def __len__(self) -> int:
+        return self.rows
+
+    def add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        used = int(self.ends[self.rows])
+        to, end = self.rows + len(words), used + len(ids)
+        if to >= len(self.ends):
+            self.ends = np.resize(self.ends, 2 * to)
+        if end > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * end)
+        self.ends[self.rows + 1 : to + 1] = used + np.cumsum(sizes)
+        self.ids[used:end] = ids
+        self.place.update(zip(words, range(self.rows, to)))
+        self.rows = to
+
+    def places(self, words: Iterable[str], count: int) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, count)
+
+    def of(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of the words at some places, and the ids end to end."""
+        first = self.ends[place]
+        sizes = self.ends[place + 1] - first
+        ends = np.cumsum(sizes)
+        at = np.repeat(first - ends + sizes, sizes)
+        at += np.arange(len(at))
+        return sizes, self.ids[at]
 
 
 class Tokenizer:
@@ -345,8 +426,7 @@ class Tokenizer:
         self.lanes = Lanes(self.merges)
         self.cached_words, self.longest_lane = cached_words, longest_lane
         # Two generations: a full cache becomes the older one, and what is used moves on.
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known, self.older = Known(), Known()
         marks = sorted(self.merges.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.piece = {i: t.encode() for i, t in self.merges.pieces.items()}
@@ -354,43 +434,53 @@ class Tokenizer:
     def learn(self, chunks: set[str]) -> None:
         """Put the ids of texts without white space into the cache; no word of the pattern
         reaches beyond one, and a word is a text that the pattern leaves whole."""
-        if len(self.known) > self.cached_words:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        parts, fresh = {}, {}
-        for chunk in chunks:
-            if chunk in known:
-                continue
-            if (ids := older.get(chunk)) is not None:
-                known[chunk] = ids
-                continue
-            found = [chunk] if chunk.isascii() and chunk.isalpha() else WORD.findall(chunk)
-            if found != [chunk]:
-                parts[chunk] = found
-            for word in found:
-                if word not in known and word not in fresh:
-                    if (ids := older.get(word)) is not None:
-                        known[word] = ids
-                    else:
-                        fresh[word] = word.encode()
-        short = [w for w, b in fresh.items() if len(b) <= self.longest_lane]
-        for at in range(0, len(short), 20_000):
-            some = short[at : at + 20_000]
-            known.update(zip(some, self.lanes.encode([fresh[w] for w in some])))
-        for word, found in fresh.items():
+        fresh, parts = [], {}
+        for chunk in self.unknown(chunks):
+            if chunk.isascii() and chunk.isalpha():
+                fresh.append(chunk)
+            else:
+                parts[chunk] = WORD.findall(chunk)
+        fresh += self.unknown(set(chain.from_iterable(parts.values())).difference(fresh))
+        as_bytes = [w.encode() for w in fresh]
+        short = [k for k, b in enumerate(as_bytes) if len(b) <= self.longest_lane]
+        for at in range(0, len(short), 60_000):
+            some = short[at : at + 60_000]
+            self.known.add([fresh[k] for k in some], *self.lanes.encoded([as_bytes[k] for k in some]))
+        for word, found in zip(fresh, as_bytes):
             if len(found) > self.longest_lane:
                 symbols = found.decode("latin-1").translate(self.letters)
-                known[word] = [*self.encoder.feed(symbols[:-1]), *self.encoder.finish(symbols[-1])]
-        for chunk, found in parts.items():
-            known[chunk] = list(chain.from_iterable([known[w] for w in found]))
-
-    def folded(self, text: str) -> list[str]:
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+                ids = [*self.encoder.feed(symbols[:-1]), *self.encoder.finish(symbols[-1])]
+                self.known.add([word], np.array([len(ids)]), np.array(ids, np.int32))
+        parts = {chunk: found for chunk, found in parts.items() if found != [chunk]}
+        counts = np.fromiter(map(len, parts.values()), np.int64, len(parts))
+        sizes, ids = self.known.of(self.known.places(chain.from_iterable(parts.values()), int(counts.sum())))
+        self.known.add([*parts], np.diff(running(sizes)[running(counts)]), ids)
+
+    def unknown(self, some: set[str]) -> set[str]:
+        """Those without ids so far; what only the older cache knows is taken over."""
+        new = some.difference(self.known.place)
+        rest = new.difference(self.older.place)
+        old = [*new.difference(rest)]
+        self.known.add(old, *self.older.of(self.older.places(old, len(old))))
+        return rest
+
+    def folded(self, text: str) -> str:
+        """Lower case, with words that white space of ASCII parts."""
+        ascii_ = text.isascii()
+        if not ascii_:
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
         # str.split() also cuts at four separators that are no white space to the tokenizer.
-        return [x for x in WHITE.split(text) if x] if OTHER_SPACE.search(text) else text.split()
+        if OTHER_SPACE.search(text):
+            return " ".join(WHITE.split(text))
+        return text if ascii_ else " ".join(text.split())
 
-    def encode_all(self, some: Iterable[str], step: int = 1 << 20) -> Iterator[list[int]]:
+    def encode_all(self, some: Iterable[str], step: int = 1 << 21) -> Iterator[list[int]]:
         """Ids of each text, about step characters at a time."""
+        return (ids.tolist() for ids in self.arrays(some, step))
+
+    def arrays(self, some: Iterable[str], step: int = 1 << 21) -> Iterator[np.ndarray]:
+        """encode_all, with arrays."""
         waiting, size = [], 0
         for text in some:
             waiting.append(text)
@@ -400,24 +490,31 @@ class Tokenizer:
                 waiting, size = [], 0
         yield from self.encode_step(waiting)
 
-    def encode_step(self, some: list[str]) -> Iterator[list[int]]:
+    def encode_step(self, some: list[str]) -> Iterator[np.ndarray]:
         marked = [self.marks.split(t) if self.marks and "<" in t else [t] for t in some]
-        folded = [[self.folded(part) if k % 2 == 0 else part for k, part in enumerate(parts)] for parts in marked]
-        new = set()
-        for parts in folded:
-            for part in parts[::2]:
-                new.update(part)
-        self.learn(new)
-        known = self.known
-        for parts in folded:
-            ids: list[int] = []
-            for k, part in enumerate(parts):
-                if k % 2:
-                    ids.append(self.merges.special[part])
-                else:
-                    for chunk in part:
-                        ids += known[chunk]
-            yield ids
+        plain = [self.folded(part) for parts in marked for part in parts[::2]]
+        # Arrow splits and numbers the words; only different ones become strings of Python.
+        lists = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        counts = lists.offsets.to_numpy()
+        different = words.dictionary.to_pylist()
+        if len(self.known) > self.cached_words:
+            self.older, self.known = self.known, Known()
+        place = np.fromiter(map(self.known.place.get, different, repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            some = [different[k] for k in new.tolist()]
+            self.learn(set(some))
+            place[new] = self.known.places(some, len(some))
+        sizes, ids = self.known.of(place[words.indices.to_numpy()])
+        cuts = running(sizes)[counts].tolist()
+        pieces = (ids[a:b] for a, b in zip(cuts, cuts[1:]))
+        for parts in marked:
+            if len(parts) == 1:
+                yield next(pieces)
+            else:
+                special = self.merges.special
+                yield np.concatenate([np.array([special[part]], np.int32) if k % 2 else next(pieces) for k, part in enumerate(parts)])
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))

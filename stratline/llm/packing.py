@@ -137,11 +137,10 @@ def pack(docs: DataFrame, vocabulary_path: str, plan: Packing = Packing(), folde
         coder = bpe.tokenizer(content.value)
         block, size = [], 0
         for batch in batches:
-            ids_of = coder.encode_all(texts.column(batch, "text").to_pylist())
+            ids_of = coder.arrays(texts.column(batch, "text").to_pylist())
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of):
-                ids.append(plan.end_id)
-                block.append((doc, np.array(ids, np.int32)))
-                size += len(ids)
+                block.append((doc, np.append(ids, np.int32(plan.end_id))))
+                size += len(ids) + 1
                 if size >= plan.block_tokens:
                     yield pack_block(block, plan, folder)
                     block, size = [], 0

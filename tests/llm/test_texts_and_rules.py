@@ -222,3 +222,19 @@ def test_digests_of_odd_rows(spark, coders):
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         expected.append((doc, len(ids), sha(" ".join(map(str, ids))), sha(other.decode(ids, skip_special_tokens=False))))
     assert sorted(map(tuple, rows), key=str) == sorted(expected, key=str)
+
+
+def test_words_are_numbered_once_in_arrays(coders):
+    own, _ = coders
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéßж19'#") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    gaps = [" ", "\n", "\x1c", "\x85", " ", "  ", "　", "<|endoftext|>"]
+    some = ["", " ", "Σ" * 70, *("".join(rng.choice(words) + rng.choice(gaps) for _ in range(30)) for _ in range(60))]
+    small = bpe.Tokenizer(bpe.vocabulary(queries.VOCABULARY), cached_words=40)  # both generations of the cache
+    for text, ids in zip(some, small.arrays(some, 300)):
+        assert ids.dtype == np.int32 and ids.tolist() == own.encode(text)
+    alone = [own.merges.following(state, symbol) for state in ("", "th", "zz") for symbol in "aq"]
+    states = ["", *sorted(own.merges.starts)]
+    number = [states.index(s) for s in ("", "th", "zz") if s in states]
+    moved = own.lanes.move(np.repeat(number, 2), np.tile(np.frombuffer(b"aq", np.uint8), len(number)))
+    assert [states[k] for k in moved] == [a for a, s in zip(alone, np.repeat(["", "th", "zz"], 2)) if s in states]
