@@ -137,7 +137,7 @@ def pack(docs: DataFrame, vocabulary_path: str, plan: Packing = Packing(), folde
         coder = bpe.tokenizer(content.value)
         block, size = [], 0
         for batch in batches:
-            ids_of = coder.arrays(texts.column(batch, "text").to_pylist())
+            ids_of = coder.arrays(texts.column(batch, "text").to_pylist(), 1 << 22)
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of):
                 block.append((doc, np.append(ids, np.int32(plan.end_id))))
                 size += len(ids) + 1
