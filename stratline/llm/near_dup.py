@@ -17,11 +17,15 @@ and m of these for x, b and k for y, P shingles of the pivot and S differences i
 x and y share P - m - k + S shingles of P + a + b - S; so similarity t asks for
 S >= (m + k + t (a + b) - (1 - t) P) / (1 + t). A member x that is not linked to the pivot has
 m + t a > (1 - t) P, so S > (k + t b) / (1 + t) of the k + b differences of y. Members meet only
-on differences, the ones they have beside the pivot first, and each needs to show only so
-many that fewer than that stay hidden. So no pair of a bucket is lost, and members that
-differ from the pivot in their own ways never meet. Differences at which members of several
-classes meet are buckets again, with pivots of their own; after `turns` of these, members
-of different classes that still meet and whose counts allow it are compared in pairs.
+on differences. Members of one class are not compared, so pivots whose members are all
+linked to it, or of one class, are done. The members of another pivot lie in one task if
+there are at most `members` of them with `differences` in all, and what each two have in
+common is counted there. With more, they meet through a shuffle, on the differences they
+have beside the pivot first, and each needs to show only so many that fewer than that stay
+hidden. So no pair of a bucket is lost, and members that differ from the pivot in their own
+ways never meet. Differences at which members of several classes meet are buckets again,
+with pivots of their own; after `turns` of these, members of different classes that still
+meet and whose counts allow it are compared in pairs.
 
 Texts with the same words are one class from the start (null and empty texts, which have
 no words, form one class too); only one of them goes on. Texts of fewer than five words
@@ -33,10 +37,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructType
 
 from stratline.llm import graph, sieve, texts
@@ -52,6 +58,8 @@ class Darts:
     band_rows: int = 5
     weighted: bool = False  # count how often a shingle occurs
     turns: int = 1  # of pivots, before what is left is compared in pairs
+    members: int = 4096  # of a pivot, compared in one task
+    differences: int = 1 << 18  # from the pivot, of all its members; 2 MB
 
     @property
     def coordinates(self) -> int:
@@ -137,7 +145,7 @@ def band_keys(values: np.ndarray, darts: Darts) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, darts: Darts) -> DataFrame:
-    """(id, whole, n, bands): a hash of the words, their number of shingles, the band keys.
+    """(id, whole, second, bands): a hash of the words, the band keys.
 
     The hash of the words has two independent halves."""
 
@@ -154,7 +162,7 @@ def sketch(docs: DataFrame, darts: Darts) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(block.first_row, block.rows),
-                        pa.array(whole.view(np.int64)),
+                                        pa.array(whole.view(np.int64)),
                         pa.array(second.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys.reshape(-1).view(np.int64))),
                     ],
@@ -211,9 +219,9 @@ SHARE = 1000  # keys with more than this part of all rows are looked up by broad
 
 
 def differences(pairs: DataFrame, sets: DataFrame, darts: Darts) -> DataFrame:
-    """(pivot, node, linked, p, extra, missing, shown, own) of every pivot and member: whether
-    they are similar, shingles of the pivot, those beside it and those missed, and the
-    differences to be met on by any member (shown) and by one that is not linked (own)."""
+    """(pivot, node, linked, p, extra, missing, token) of every pivot and member: whether they
+    are similar, the numbers of shingles of the pivot, of those beside it and of those missed,
+    and these differences, the ones beside it first, each kind in the order of its hashes."""
     t = darts.similarity
 
     def compared(items: bytes, counts: bytes, of: bytes, of_counts: bytes) -> tuple:
@@ -223,20 +231,14 @@ def differences(pairs: DataFrame, sets: DataFrame, darts: Darts) -> DataFrame:
         linked = (len(x) - a) / max(1, len(p) + a) >= t
         # The last bit tells the kinds apart.
         token = np.concatenate([extra << np.uint64(1), missing << np.uint64(1) | np.uint64(1)]).view(np.int64)
-        # Hidden differences are fewer than any link to a member that is not linked needs.
-        least = int(np.floor((m + t * a) / (1 + t) + 1e-9)) + 1
-        shown = token[: max(0, len(token) - least + 1)]
-        excess = int(np.ceil(m + t * a - (1 - t) * len(p) - 1e-9))
-        own = None if linked else token[: max(0, len(token) - max(excess, 1) + 1)]
-        return linked, len(p), a, m, shown, own
+        return linked, len(p), a, m, token
 
-    # An own list hides len(token) - len(own) = extra + missing - len(own) differences.
-    names = ["pivot", "node", "linked", "p", "extra", "missing", "shown", "own"]
-    kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    names = ["pivot", "node", "linked", "p", "extra", "missing", "token"]
+    kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in (whole.slice(at, 500) for at in range(0, whole.num_rows, 500)):
                 found = [compared(*x) for x in zip(*(batch.column(k).to_pylist() for k in range(2, 6)))]
                 cols = [pa.array(c, kind) for c, kind in zip(zip(*found), kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=names)
@@ -244,7 +246,7 @@ def differences(pairs: DataFrame, sets: DataFrame, darts: Darts) -> DataFrame:
     left = sets.select("node", F.col("items").alias("x"), F.col("counts").alias("cx"))
     right = sets.select(F.col("node").alias("pivot"), F.col("items").alias("y"), F.col("counts").alias("cy"))
     both = pairs.join(left, "node").join(right, "pivot").select("pivot", "node", "x", "cx", "y", "cy")
-    schema = "pivot bigint, node bigint, linked boolean, p int, extra int, missing int, shown array<bigint>, own array<bigint>"
+    schema = "pivot bigint, node bigint, linked boolean, p int, extra int, missing int, token array<bigint>"
     return both.mapInArrow(run, schema)
 
 
@@ -258,16 +260,75 @@ def whole_set(items: bytes, counts: bytes) -> np.ndarray:
     return np.unique(texts.mix(np.repeat(x, n) + time.astype(np.uint64) * texts.STEP))
 
 
-def open_buckets(found: DataFrame, labels: DataFrame, cut, name: str) -> DataFrame:
-    """(band, node, own, and what differences() says of it): members by the differences they
-    can meet on, for differences with an own one and members of several classes."""
+def open_stars(found: DataFrame, labels: DataFrame, darts: Darts, cut, name: str) -> tuple[DataFrame, DataFrame]:
+    """What differences() says of the members, and their classes (label), of pivots that have
+    members of several classes and one that is not linked: first of pivots whose members are
+    compared in one task, then of the others, with the least m + t a of any member (least) and
+    of one that is not linked (least_own)."""
     known = found.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    known = cut(known.withColumn("far", F.col("missing") + darts.similarity * F.col("extra")), f"{name}-known")
+    sizes = known.groupBy("pivot").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.count("*").alias("n"),
+        F.sum(F.col("extra").cast("bigint") + F.col("missing")).alias("differences"),
+        F.min("far").alias("least"),
+        F.min(F.when(~F.col("linked"), F.col("far"))).alias("least_own"),
+    )
+    one_task = (F.col("n") <= darts.members) & (F.col("differences") <= darts.differences)
+    sizes = sizes.where("least_own is not null and low <> high").select("pivot", "n", "least", "least_own", one_task.alias("one_task"))
+    members = cut(looked_up(known, cut(sizes, f"{name}-stars"), ["pivot"], "n", SHARE).drop("n"), f"{name}-members")
+    return members.where("one_task"), members.where("not one_task")
+
+
+def within(members: DataFrame, darts: Darts) -> DataFrame:
+    """(a, b): similar members of different classes, one of them not linked to their pivot."""
+    t = darts.similarity
+
+    def run(star: pa.Table) -> pa.Table:
+        node, label, linked, p, extra, missing = (
+            star[c].to_numpy().astype(kind) for c, kind in (("node", int), ("label", int), ("linked", bool), ("p", int), ("extra", int), ("missing", int))
+        )
+        n, sizes = len(node), extra + missing
+        cuts = np.concatenate(([0], np.cumsum(sizes)))
+        _, number, count = np.unique(pc.list_flatten(star["token"]).to_numpy(), return_inverse=True, return_counts=True)
+        has = np.repeat(np.arange(n), sizes)[np.argsort(number, kind="stable")]  # members with each difference
+        first = np.cumsum(count) - count
+        a, b = [node[:0]], [node[:0]]
+        for x in np.flatnonzero(~linked):
+            own = number[cuts[x] : cuts[x + 1]]
+            ends = np.cumsum(count[own])
+            at = np.repeat(first[own] - ends + count[own], count[own]) + np.arange(ends[-1])
+            common = np.bincount(has[at], minlength=n)
+            similar = (p - missing[x] - missing + common) / np.maximum(1, p + extra[x] + extra - common) >= t
+            y = np.flatnonzero(similar & (label != label[x]) & (linked | (np.arange(n) > x)))
+            a.append(np.minimum(node[x], node[y]))
+            b.append(np.maximum(node[x], node[y]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    used = members.select("pivot", "node", "label", "linked", "p", "extra", "missing", "token")
+    return used.groupBy("pivot").applyInArrow(run, "a bigint, b bigint")
+
+
+def open_buckets(known: DataFrame, darts: Darts, cut, name: str) -> DataFrame:
+    """(band, node, own, and what open_stars() says of it): members by the differences they
+    can meet on, for differences with an own one and members of several classes."""
+    t = darts.similarity
+    total = F.col("extra") + F.col("missing")
+    room = F.col("far") - (1 - t) * F.col("p")
+    # Hidden differences are fewer than any link needs: to a member that is not linked, and for
+    # one that is not linked (own) to any member.
+    least = F.greatest(F.floor(F.col("far") / (1 + t) + 1e-9) + 1, F.ceil((room + F.col("least_own")) / (1 + t) - 1e-9))
+    least_own = F.greatest(F.lit(1), F.ceil(room - 1e-9), F.ceil((room + F.col("least")) / (1 + t) - 1e-9))
     facts = ["pivot", "node", "label", "p", "extra", "missing"]
-    hidden = lambda c: (F.col("extra") + F.col("missing") - F.size(c)).alias("hidden")
+
+    def shown(rows: DataFrame, least: Column, own: bool) -> DataFrame:
+        size = F.greatest(F.lit(0), total - least + 1).cast("int")
+        each = rows.select(*facts, (total - size).alias("hidden"), F.explode(F.slice("token", F.lit(1), size)).alias("token"))
+        return each.withColumn("own", F.lit(own))
+
     # A shown difference that is also an own one counts as own.
-    each = known.select(*facts, hidden("shown"), F.explode("shown").alias("token"), F.lit(False).alias("own")).unionByName(
-        known.where("not linked").select(*facts, hidden("own"), F.explode("own").alias("token"), F.lit(True).alias("own"))
-    )
+    each = shown(known, least, False).unionByName(shown(known.where("not linked"), least_own, True))
     each = cut(each.withColumn("band", F.xxhash64("pivot", "token")).drop("token"), f"{name}-tokens")
     sizes = each.groupBy("band").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.max("own").alias("any"), F.count("*").alias("n")
@@ -326,16 +387,18 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     whole_of = node_texts(text_rows, darts, wanted).join(used, ["whole", "second"]).dropDuplicates(["node"]).select("node", "text")
     sets = cut(shingle_sets(whole_of, darts), "sets")
     rank = members.groupBy("node").agg(F.max("rank.rank").alias("rank"))
-    buckets, links, labels = members.select("band", "node", F.lit(True).alias("own")), None, None
+    buckets, links = members.select("band", "node", F.lit(True).alias("own")), []
     for turn in range(darts.turns):
         pairs = stars(buckets, rank, cut, f"turn-{turn}")
         found = cut(differences(pairs, sets, darts), f"differences-{turn}")
-        fresh = found.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        links = fresh if links is None else links.unionByName(fresh)
-        labels = graph.components(links, cut, f"labels-{turn}")
-        buckets = open_buckets(found, labels, cut, f"turn-{turn}")
+        links.append(found.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        labels = graph.components(reduce(DataFrame.unionByName, links), cut, f"labels-{turn}")
+        small, large = open_stars(found, labels, darts, cut, f"turn-{turn}")
+        links.append(cut(within(small, darts), f"within-{turn}"))
+        buckets = open_buckets(large, darts, cut, f"turn-{turn}")
     others = cut(verified(meetings(buckets, darts), sets, darts), "verified")
-    labels = graph.components(links.unionByName(others.where("linked").select("a", "b")), cut, "labels")
+    links.append(others.where("linked").select("a", "b"))
+    labels = graph.components(reduce(DataFrame.unionByName, links), cut, "labels")
     named = nodes.select("node", "whole", "second", "least").join(labels, "node", "left")
     named = cut(named.withColumn("label", F.coalesce("label", "node")), "named")
     # A class may hold a third of all nodes: its smallest id is found by an aggregate.

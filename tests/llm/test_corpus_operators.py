@@ -250,6 +250,57 @@ def test_chain_of_near_copies_is_one_class(spark):
     assert near_dup.keep_one(docs).count() == 1
 
 
+def recorded(monkeypatch) -> dict[str, int]:
+    """Rows of each table that near_dup writes, by name."""
+    rows, table_cut = {}, near_dup.sinks.table_cut
+
+    def counting(spark):
+        cut = table_cut(spark)
+
+        def write(df, name):
+            table = cut(df, name)
+            rows[name] = table.count()
+            return table
+
+        return write
+
+    monkeypatch.setattr(near_dup.sinks, "table_cut", counting)
+    return rows
+
+
+def family(rng, members: int) -> list[tuple[int, str]]:
+    """Copies of copies, near the limit of similarity."""
+    found = [words(rng, 90).split()]
+    while len(found) < members:
+        other = list(rng.choice(found))
+        for _ in range(rng.randint(1, 3)):
+            other[rng.randrange(len(other))] = words(rng, 1)
+        found.append(other)
+    return [(k, " ".join(x)) for k, x in enumerate(found)]
+
+
+@pytest.mark.parametrize("limit", [{}, {"members": 3}, {"differences": 0}])
+def test_few_members_of_a_pivot_are_not_dealt_out_by_difference(spark, monkeypatch, limit):
+    rows = family(random.Random(33), 70)
+    written = recorded(monkeypatch)
+    got = {r.id: r.class_id for r in near_dup.classes(docs_frame(spark, rows), near_dup.Darts(**limit)).collect()}
+    assert got == classes_by_force(rows) and len(set(got.values())) > 3
+    assert (written["turn-0-tokens"] == 0) == (limit == {})
+
+
+def test_texts_that_differ_from_one_pivot_only_do_not_meet(spark, monkeypatch):
+    """Pivots with linked members alone, or with one member, have nothing to compare further."""
+    rng = random.Random(35)
+    rows = []
+    for _ in range(20):
+        base = words(rng, 60).split()
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join([*base[:-12], *words(rng, 12).split()]))]
+    written = recorded(monkeypatch)
+    got = {r.id: r.class_id for r in near_dup.classes(docs_frame(spark, rows), near_dup.Darts(members=0)).collect()}
+    assert got == classes_by_force(rows) and len(set(got.values())) > 20
+    assert written["differences-0"] and not written["turn-0-tokens"]
+
+
 def test_signatures_agree_with_similarity():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 62, 300).astype(np.uint64)
