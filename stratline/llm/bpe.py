@@ -530,16 +530,13 @@ class Tokenizer:
         yield machine.decode(b"", True)
 
 
-_tokenizers: dict[str, Tokenizer] = {}
-
-
 def tokenizer(content: str) -> Tokenizer:
-    """The worker's tokenizer for a vocabulary file; its word cache serves all tasks."""
+    """The worker's tokenizer for a vocabulary file; its word cache serves all tasks of a stage."""
     key = hashlib.md5(content.encode()).hexdigest()
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = Tokenizer(content)
-    return _tokenizers[key]
+    if key not in texts.kept:
+        texts.kept.clear()
+        texts.kept[key] = Tokenizer(content)
+    return texts.kept[key]
 
 
 def vocabulary(path: str, limit: int = 64 << 20) -> str:

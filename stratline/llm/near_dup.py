@@ -145,7 +145,7 @@ def band_keys(values: np.ndarray, darts: Darts) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, darts: Darts) -> DataFrame:
-    """(id, whole, second, bands): a hash of the words, the band keys.
+    """(id, key, whole, second, bands): hashes of the text and of its words, the band keys.
 
     The hash of the words has two independent halves."""
 
@@ -162,15 +162,21 @@ def sketch(docs: DataFrame, darts: Darts) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(block.first_row, block.rows),
-                                        pa.array(whole.view(np.int64)),
+                        batch.column(2).slice(block.first_row, block.rows),
+                        pa.array(whole.view(np.int64)),
                         pa.array(second.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys.reshape(-1).view(np.int64))),
                     ],
-                    names=["id", "whole", "second", "bands"],
+                    names=["id", "key", "whole", "second", "bands"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "id bigint, whole bigint, second bigint, bands array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"), text_key().alias("key"))
+    return rows.mapInArrow(run, "id bigint, key bigint, whole bigint, second bigint, bands array<bigint>")
+
+
+def text_key() -> Column:
+    """A hash of the text that needs no Python; never null."""
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def shingle_sets(rows: DataFrame, darts: Darts) -> DataFrame:
@@ -368,15 +374,16 @@ def stars(buckets: DataFrame, rank: DataFrame, cut, name: str) -> DataFrame:
 
 
 def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
-    """(id, whole, second, class_id, first): one row for each row of docs.
+    """(id, key, whole, second, class_id, first, alone): one row for each row of docs.
 
     class_id is the smallest id of the row's class; first marks the texts (whole, second)
-    of that smallest id, so that one text of a class has it."""
+    of that smallest id, so that one text of a class has it; alone says that the class has
+    no other row."""
     spark = docs.sparkSession
     cut = sinks.table_cut(spark)
     rows = cut(sketch(docs, darts), "sketches")
     # One node for each different sequence of words, numbered by a hash of its two hashes.
-    nodes = rows.groupBy("whole", "second").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
+    nodes = rows.groupBy("whole", "second").agg(F.min("id").alias("least"), F.first("bands").alias("bands"), F.count("*").alias("copies"))
     nodes = cut(nodes.withColumn("node", F.xxhash64("whole", "second")), "nodes")
     keys = nodes.select("node", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
@@ -399,16 +406,16 @@ def classes(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     others = cut(verified(meetings(buckets, darts), sets, darts), "verified")
     links.append(others.where("linked").select("a", "b"))
     labels = graph.components(reduce(DataFrame.unionByName, links), cut, "labels")
-    named = nodes.select("node", "whole", "second", "least").join(labels, "node", "left")
+    named = nodes.select("node", "whole", "second", "least", "copies").join(labels, "node", "left")
     named = cut(named.withColumn("label", F.coalesce("label", "node")), "named")
     # A class may hold a third of all nodes: its smallest id is found by an aggregate.
     least = named.groupBy("label").agg(
-        F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("head"), F.count("*").alias("n")
+        F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("head"), F.count("*").alias("n"), F.sum("copies").alias("rows")
     )
     heads = looked_up(named, cut(least, "least"), ["label"], "n", SHARE).select(
-        "whole", "second", F.col("head.least").alias("class_id"), (F.col("head.node") == F.col("node")).alias("first")
+        "whole", "second", F.col("head.least").alias("class_id"), (F.col("head.node") == F.col("node")).alias("first"), (F.col("rows") == 1).alias("alone")
     )
-    return rows.select("id", "whole", "second").join(cut(heads, "heads"), ["whole", "second"])
+    return rows.select("id", "key", "whole", "second").join(cut(heads, "heads"), ["whole", "second"])
 
 
 def ranked(keys: DataFrame) -> DataFrame:
@@ -449,12 +456,17 @@ def second_half(key: np.ndarray, count: np.ndarray, row: np.ndarray, rows: int)
 
 
 def keep_one(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
-    """One document of each class: the one with the smallest id. All columns stay."""
+    """One document of each class: the one with the smallest id. All columns stay.
+
+    Rows that are surely alone in their class stay where they are."""
     spark = docs.sparkSession
     cut = sinks.table_cut(spark)
-    stay = classes(docs, darts).where("first").where(F.col("id").eqNullSafe(F.col("class_id")))
     names = {c: f"_{k}_{c}" for k, c in enumerate(("id", "whole", "second"))}
-    stay = cut(stay.select(*(F.col(c).alias(n) for c, n in names.items())).distinct(), "stay")
+    stays = (F.col("first") & F.col("id").eqNullSafe(F.col("class_id"))).alias("_stays")
+    shared = classes(docs, darts).where("not alone")
+    shared = cut(shared.select("key", *(F.col(c).alias(n) for c, n in names.items()), stays), "shared")
+    may = sieve.Sieve(shared, "key")
+    shared = shared.drop("key").distinct()
     columns = docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,15 +476,18 @@ def keep_one(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
                 part = batch.slice(block.first_row, block.rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(whole), pa.array(second)], names=[*columns, names["whole"], names["second"]])
 
-    keyed = docs.mapInArrow(run, with_keys(docs, names))
+    keyed = docs.where(may.column(text_key())).mapInArrow(run, with_keys(docs, names))
     keyed = keyed.withColumn(names["id"], F.col("doc_id").cast("bigint"))
-    same = [keyed[names[c]].eqNullSafe(stay[names[c]]) for c in names]
-    kept = keyed.join(stay, same[0] & same[1] & same[2], "left_semi")
+    same = [keyed[n].eqNullSafe(shared[n]) for n in names.values()]
+    kept = keyed.join(shared, same[0] & same[1] & same[2], "left")
+    kept = kept.where(shared["_stays"].isNull() | shared["_stays"]).select(*(keyed[c] for c in (*columns, *names.values())))
     # Repeated rows share id and words; one of them stays.
-    return kept.dropDuplicates(list(names.values())).select(*columns)
+    kept = kept.dropDuplicates(list(names.values())).select(*columns)
+    return kept.unionAll(docs.where(~may.column(text_key())))
 
 
-def with_keys(docs: DataFrame, names: dict[str, str]):
+def with_keys(docs: DataFrame, names: dict[str, str]) -> StructType:
+    """The columns of docs and the two halves of the hash of the words, by their names."""
     schema = StructType(list(docs.schema.fields))
     for c in ("whole", "second"):
         schema = schema.add(names[c], LongType())

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stratline.llm import decontaminate, labelled, line_dedup, near_dup, packing, quality, queries, texts, toxicity, warc
+from stratline.llm import bpe, decontaminate, labelled, line_dedup, near_dup, packing, quality, queries, texts, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, label string, key string"
@@ -301,6 +301,23 @@ def test_texts_that_differ_from_one_pivot_only_do_not_meet(spark, monkeypatch):
     assert written["differences-0"] and not written["turn-0-tokens"]
 
 
+def test_documents_alone_in_their_class_stay_where_they_are(spark, monkeypatch):
+    rng = random.Random(34)
+    rows = [(k, words(rng, 50)) for k in range(40)] + [(None, words(rng, 50)), (None, None), (77, "")]
+    docs = docs_frame(spark, [*rows, rows[5], (50, rows[5][1]), (51, rows[6][1]), rows[40]])
+    written = recorded(monkeypatch)
+    kept = sorted(((r.doc_id, r.text) for r in near_dup.keep_one(docs).collect()), key=str)
+    assert kept == sorted([*rows[:41], rows[42]], key=str)
+    assert written["shared"] == 3 + 2 + 2 + 2
+
+
+def test_tasks_on_blocks_free_the_words_of_the_encoder():
+    coder = bpe.tokenizer(bpe.vocabulary(queries.VOCABULARY))
+    assert bpe.tokenizer(bpe.vocabulary(queries.VOCABULARY)) is coder
+    list(texts.blocks(pa.array(["a b"])))
+    assert bpe.tokenizer(bpe.vocabulary(queries.VOCABULARY)) is not coder
+
+
 def test_signatures_agree_with_similarity():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 62, 300).astype(np.uint64)
