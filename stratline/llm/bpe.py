@@ -37,6 +37,9 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 # The white space of the tokenizer's \s, its word pattern, its byte letters.
 WHITE = regex.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^ \p{L}\p{N}]+")
+# Of digests(), which runs where earlier stages have left little room: words in the cache, and
+# characters encoded at once.
+CACHED_WORDS, STEP = 200_000, 1 << 20
 OTHER_SPACE = regex.compile("[\x1c-\x1f]")
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -530,12 +533,12 @@ class Tokenizer:
         yield machine.decode(b"", True)
 
 
-def tokenizer(content: str) -> Tokenizer:
+def tokenizer(content: str, **bounds: int) -> Tokenizer:
     """The worker's tokenizer for a vocabulary file; its word cache serves all tasks of a stage."""
-    key = hashlib.md5(content.encode()).hexdigest()
+    key = f"{hashlib.md5(content.encode()).hexdigest()} {bounds}"
     if key not in texts.kept:
         texts.kept.clear()
-        texts.kept[key] = Tokenizer(content)
+        texts.kept[key] = Tokenizer(content, **bounds)
     return texts.kept[key]
 
 
@@ -553,11 +556,11 @@ def digests(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     content = docs.sparkSession.sparkContext.broadcast(vocabulary(vocabulary_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokenizer(content.value)
+        coder = tokenizer(content.value, cached_words=CACHED_WORDS)
         number = {i: str(i) for i in coder.piece}
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
-            for ids in coder.encode_all(texts.column(batch, "text").to_pylist()):
+            for ids in coder.encode_all(texts.values(texts.column(batch, "text")), STEP):
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(" ".join([number[i] for i in ids]).encode()).hexdigest())
                 decoded = hashlib.sha256()

@@ -461,7 +461,8 @@ def keep_one(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
     Rows that are surely alone in their class stay where they are."""
     spark = docs.sparkSession
     cut = sinks.table_cut(spark)
-    names = {c: f"_{k}_{c}" for k, c in enumerate(("id", "whole", "second"))}
+    names = {c: f"_{k}_{c}" for k, c in enumerate(("id", "whole", "second", "key"))}
+    key = names.pop("key")
     stays = (F.col("first") & F.col("id").eqNullSafe(F.col("class_id"))).alias("_stays")
     shared = classes(docs, darts).where("not alone")
     shared = cut(shared.select("key", *(F.col(c).alias(n) for c, n in names.items()), stays), "shared")
@@ -471,12 +472,15 @@ def keep_one(docs: DataFrame, darts: Darts = Darts()) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Sifted here: a step of Python before this one would take a second worker for each task.
+            used = may.has(batch.column(len(columns)).to_numpy(zero_copy_only=False))
+            batch = batch.select(range(len(columns))).filter(pa.array(used))
             for block in texts.blocks(texts.column(batch, "text")):
                 whole, second = identity(block, darts)
                 part = batch.slice(block.first_row, block.rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(whole), pa.array(second)], names=[*columns, names["whole"], names["second"]])
 
-    keyed = docs.where(may.column(text_key())).mapInArrow(run, with_keys(docs, names))
+    keyed = docs.select("*", text_key().alias(key)).mapInArrow(run, with_keys(docs, names))
     keyed = keyed.withColumn(names["id"], F.col("doc_id").cast("bigint"))
     same = [keyed[n].eqNullSafe(shared[n]) for n in names.values()]
     kept = keyed.join(shared, same[0] & same[1] & same[2], "left")

@@ -331,6 +331,50 @@ def test_signatures_agree_with_similarity():
     assert (heavy[0] == heavy[1]).mean() == pytest.approx(240 * 1.5 / (900 + 450 - 360), abs=0.03)
 
 
+def test_one_step_of_python_in_a_task_that_keeps_documents(spark):
+    """Two in a row take two workers for each task, which stay and hold memory."""
+    docs = docs_frame(spark, [(k, f"a b c d e f g {k % 3}") for k in range(9)])
+    plan = near_dup.keep_one(docs)._jdf.queryExecution().sparkPlan().treeString().splitlines()
+    depth, steps = [len(line) - len(line.lstrip(" :+-")) for line in plan], 0
+    for k, line in enumerate(plan):
+        if "MapInArrow" in line:
+            steps += 1
+            below = itertools.takewhile(lambda j: depth[j] > depth[k], range(k + 1, len(plan)))
+            assert not [plan[j] for j in below if "EvalPython" in plan[j]]
+    assert steps
+
+
+def test_digests_hold_few_texts_and_words(monkeypatch):
+    made = []
+
+    class Column:
+        def __init__(self, rows):
+            self.rows = rows
+
+        def __len__(self):
+            return len(self.rows)
+
+        def slice(self, at, rows):
+            return Column(self.rows[at : at + rows])
+
+        def to_pylist(self):
+            made.append(len(self.rows))
+            return self.rows
+
+    some = [str(k) for k in range(1000)]
+    given = texts.values(Column(some), rows=300)
+    assert next(given) == "0" and made == [300]
+    assert [*given] == some[1:] and max(made) <= 300
+
+    monkeypatch.setattr(texts, "kept", {})
+    content = bpe.vocabulary(queries.VOCABULARY)
+    few = bpe.tokenizer(content, cached_words=2)
+    assert few.cached_words == 2 and bpe.tokenizer(content, cached_words=2) is few and len(texts.kept) == 1
+    rng = random.Random(3)
+    rows = [words(rng, 5) for _ in range(20)]
+    assert [*few.encode_all(iter(rows), 10)] == [*bpe.Tokenizer(content).encode_all(rows)]
+
+
 def test_no_near_duplicates_in_an_empty_table(spark):
     empty = docs_frame(spark, [(1, "x")]).limit(0)
     assert near_dup.classes(empty).count() == 0 and near_dup.keep_one(empty).count() == 0
