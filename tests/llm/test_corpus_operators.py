@@ -344,6 +344,18 @@ def test_one_step_of_python_in_a_task_that_keeps_documents(spark):
     assert steps
 
 
+def test_stages_send_whole_texts_in_small_batches(spark):
+    import corpus_pipeline
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for given, expected in (("10000", "1024"), ("0", "1024"), ("7", "7")):
+        spark.conf.set(setting, given)
+        for _, stage in corpus_pipeline.STAGES[-1:]:
+            out = stage(spark, docs_frame(spark, [(k, f"w {k}") for k in range(30)]), SF)
+            assert spark.conf.get(setting) == expected and out.count() == 30
+    spark.conf.unset(setting)
+
+
 def test_digests_hold_few_texts_and_words(monkeypatch):
     made = []
 
